@@ -121,7 +121,7 @@ def plurality(df: DataFrame, key: str, label: str) -> DataFrame:
     """Most frequent label per key; the smallest label wins ties (argmax takes the first index)."""
     per_label = df.groupBy(key, label).agg(F.count(F.lit(1)).alias("_n"))
     return per_label.groupBy(key).agg(
-        F.max_by(F.col(label), F.struct(F.col("_n"), -F.col(label))).alias("winner"),
+        F.min_by(F.col(label), F.struct(-F.col("_n"), F.col(label))).alias("winner"),
         F.max("_n").alias("votes"),
     )
 
