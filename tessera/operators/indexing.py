@@ -59,3 +59,18 @@ def with_row_index(
     if total_name:
         out = out.withColumn(total_name, F.col("_total"))
     return out.drop("_mid", "_pid", "_local", "_off", "_total")
+
+
+def with_group_index(
+    df: DataFrame, by: Sequence[str], order: Sequence[str | Column], name: str = "row_idx", start: int = 0
+) -> DataFrame:
+    """A consecutive index inside each ``by`` group (like ``row_number() OVER (PARTITION BY by
+    ORDER BY order)`` minus one) that stays parallel when one group holds most rows: the global
+    index over (by, order) minus the index of the group's first row."""
+    idx = with_row_index(df, [*by, *order], "_gidx")
+    starts = idx.groupBy(*by).agg(F.min("_gidx").alias("_g0"))
+    return (
+        idx.join(starts, list(by))
+        .withColumn(name, F.col("_gidx") - F.col("_g0") + F.lit(start))
+        .drop("_gidx", "_g0")
+    )
