@@ -128,15 +128,19 @@ def asof_forward(grid: DataFrame, curve: DataFrame, x: str, y: str, by: Sequence
 
     Generic form for arbitrary grids: the grid points are unioned with the curve rows, ordered by
     value (grid points first at equal values, so a curve row equal to x is found) and each grid point takes the next curve row through
-    ``first(ignorenulls)`` over a forward frame; no pairwise join.  ``by`` separates independent
+    the nearest following curve row; no pairwise join.  ``by`` separates independent
     curves; without it the union is ordered as one sequence."""
     g = grid.select(*by, F.col(x).cast("double").alias("_v"), F.lit(0).alias("_kind"),
                     F.col(x).alias("_x"), F.lit(None).cast("long").alias("_pos"))
     c = curve.select(*by, F.col(y).cast("double").alias("_v"), F.lit(1).alias("_kind"),
                      F.lit(None).cast(grid.schema[x].dataType).alias("_x"), F.col("pos").cast("long").alias("_pos"))
     u = g.unionByName(c)
-    w = Window.partitionBy(*by).orderBy("_v", "_kind", "_pos").rowsBetween(0, Window.unboundedFollowing)
-    out = u.withColumn("pos", F.first("_pos", ignorenulls=True).over(w))
+    # the forward search is written as a running frame over the reversed order (a frame ending at
+    # the current row is evaluated incrementally; one reaching the end would be recomputed per row)
+    w = Window.partitionBy(*by).orderBy(F.desc("_v"), F.desc("_kind"), F.desc("_pos")).rowsBetween(
+        Window.unboundedPreceding, 0
+    )
+    out = u.withColumn("pos", F.last("_pos", ignorenulls=True).over(w))
     return out.filter(F.col("_kind") == 0).select(*by, F.col("_x").alias(x), "pos")
 
 
