@@ -10,6 +10,12 @@ def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and hand it to ``body`` as a lambda variable (otherwise a lambda that
+    refers to an expression evaluates it once per element)."""
+    return F.try_element_at(F.transform(F.array(value), body), F.lit(1))
+
+
 def array_sum(col: str | Column) -> Column:
     return F.aggregate(_c(col), F.lit(0.0), lambda a, x: a + x.cast("double"))
 
@@ -78,10 +84,15 @@ def whiten(col: str | Column) -> Column:
     """Per-row mean removal and division by max(population std, 1/sqrt(n))."""
     c = _c(col)
     n = F.size(c).cast("double")
-    mean = array_sum(c) / n
-    var = F.aggregate(c, F.lit(0.0), lambda a, x: a + (x.cast("double") - mean) * (x.cast("double") - mean)) / n
-    adj = F.greatest(F.sqrt(var), F.lit(1.0) / F.sqrt(n))
-    return F.transform(c, lambda x: (x.cast("double") - mean) / adj)
+
+    def body(mean):
+        var = F.aggregate(c, F.lit(0.0), lambda a, x: a + (x.cast("double") - mean) * (x.cast("double") - mean)) / n
+        return let(
+            F.greatest(F.sqrt(var), F.lit(1.0) / F.sqrt(n)),
+            lambda adj: F.transform(c, lambda x: (x.cast("double") - mean) / adj),
+        )
+
+    return let(array_sum(c) / n, body)
 
 
 def softmax_t(col: str | Column, t: float) -> Column:
@@ -89,8 +100,7 @@ def softmax_t(col: str | Column, t: float) -> Column:
     c = _c(col)
     temp = 1.0 if t == 0 else float(t)
     e = F.transform(c, lambda p: F.exp(F.log(p.cast("double")) / F.lit(temp)))
-    s = F.aggregate(e, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(e, lambda x: x / s)
+    return let(e, lambda ev: let(F.aggregate(ev, F.lit(0.0), lambda a, x: a + x), lambda s: F.transform(ev, lambda x: x / s)))
 
 
 def draw_index(probs: str | Column, u: Column) -> Column:
@@ -101,7 +111,7 @@ def draw_index(probs: str | Column, u: Column) -> Column:
         c, lambda x, i: F.aggregate(F.slice(c, 1, i + 1), F.lit(0.0), lambda a, y: a + y.cast("double"))
     )
     hit = F.filter(F.transform(running, lambda r, i: F.when(r > u, i)), lambda z: z.isNotNull())
-    return F.coalesce(F.element_at(hit, 1), F.size(c) - 1)
+    return F.coalesce(F.try_element_at(hit, F.lit(1)), F.size(c) - 1)
 
 
 def discounted_max(col: str | Column, beta: float) -> Column:
@@ -119,7 +129,7 @@ def top_k(scores: str | Column, k: int, names: Column | None = None) -> Column:
         return F.transform(best, lambda s: F.struct(s["idx"].alias("idx"), (-s["neg"]).alias("score")))
     return F.transform(
         best,
-        lambda s: F.struct(s["idx"].alias("idx"), F.element_at(names, s["idx"] + 1).alias("name"), (-s["neg"]).alias("score")),
+        lambda s: F.struct(s["idx"].alias("idx"), F.try_element_at(names, s["idx"] + 1).alias("name"), (-s["neg"]).alias("score")),
     )
 
 

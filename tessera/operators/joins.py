@@ -110,7 +110,7 @@ def assign_bucket(df: DataFrame, value: Column, bounds: Sequence[tuple[int, int]
     hits = F.filter(
         F.transform(pairs, lambda p, i: F.when((value >= p["lo"]) & (value < p["hi"]), i)), lambda x: x.isNotNull()
     )
-    return df.withColumn(name, F.element_at(hits, 1).cast("int"))
+    return df.withColumn(name, F.try_element_at(hits, F.lit(1)).cast("int"))
 
 
 def assign_bucket_join(df: DataFrame, value: str, buckets: DataFrame) -> DataFrame:

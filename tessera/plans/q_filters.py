@@ -129,7 +129,7 @@ def q_sql_over_view(spark, sf_dir):
        WHERE page_num IS NOT NULL""",
 )
 def q_coerce(spark, sf_dir):
-    pg = table(spark, sf_dir, "pages").select("page_id", F.element_at(F.split("url", "/"), -1).alias("page_num"))
+    pg = table(spark, sf_dir, "pages").select("page_id", F.try_element_at(F.split("url", "/"), F.lit(-1)).alias("page_num"))
     return B.coerce_dropna(pg, ["page_num"])
 
 
