@@ -342,7 +342,7 @@ def q_bbox(spark, sf_dir):
 
 @register(
     "map_route_weights",
-    """WITH c AS (SELECT user_id, event_type, CAST(count(*) * 100 / sum(count(*)) OVER (PARTITION BY user_id) AS BIGINT) AS w
+    """WITH c AS (SELECT user_id, event_type, CAST(floor(count(*) * 100 / sum(count(*)) OVER (PARTITION BY user_id)) AS BIGINT) AS w
                   FROM events GROUP BY user_id, event_type)
        SELECT user_id, event_type AS route, w + CASE WHEN event_type = min(event_type) OVER (PARTITION BY user_id)
               THEN 100 - sum(w) OVER (PARTITION BY user_id) ELSE 0 END AS weight FROM c""",
