@@ -40,5 +40,6 @@ def load_all() -> None:
         q_sources,
         q_streaming,
         q_text,
+        q_udfs,
         q_windows,
     )
