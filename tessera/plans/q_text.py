@@ -227,3 +227,69 @@ def q_repetition_sample(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     s = d.select("doc_id", X.trim_sample(F.lower(X.mark_breaks("text"))).alias("sample"))
     return s.filter(F.col("sample").isNotNull())
+
+
+# ---------------------------------------------------------------------------- subword vocabularies
+def _turn_token_counts(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations")
+    return c.select(F.explode(X.alnum_tokens("text")).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _turn_vocab(spark, sf_dir, min_count=20):
+    from tessera.operators import subword as SW
+
+    return SW.subword_vocab(_turn_token_counts(spark, sf_dir), min_count)
+
+
+@register("txt_subword_train")
+def q_subword_train(spark, sf_dir):
+    """Subword vocabulary learnt from the conversation turns (minimum count 20)."""
+    from tessera.operators import subword as SW
+
+    return SW.vocab_frame(spark, _turn_vocab(spark, sf_dir))
+
+
+@register("txt_subword_search")
+def q_subword_search(spark, sf_dir):
+    """Minimum count searched in 1..64 for a vocabulary of about 400 subtokens (threshold 50)."""
+    from tessera.operators import subword as SW
+
+    voc = SW.subword_search(_turn_token_counts(spark, sf_dir), 400, 50, 1, 64)
+    return SW.vocab_frame(spark, voc)
+
+
+@register("txt_subword_encode")
+def q_subword_encode(spark, sf_dir):
+    from tessera.operators import subword as SW
+
+    c = table(spark, sf_dir, "conversations").select(F.concat_ws(":", "conv_id", "turn").alias("key"), "text")
+    return SW.subword_encode(c, "key", "text", _turn_vocab(spark, sf_dir), add_eos=True)
+
+
+@register("txt_subword_decode")
+def q_subword_decode(spark, sf_dir):
+    """Encode then decode every turn; ``same`` tells whether the text came back unchanged."""
+    from tessera.operators import subword as SW
+
+    voc = _turn_vocab(spark, sf_dir)
+    c = table(spark, sf_dir, "conversations").select(F.concat_ws(":", "conv_id", "turn").alias("key"), "text")
+    enc = SW.subword_encode(c, "key", "text", voc)
+    dec = SW.subword_decode(enc, "ids", voc, "text_back")
+    return dec.join(c, "key").select("key", "text_back", (F.col("text_back") == F.col("text")).alias("same"))
+
+
+@register("txt_prepare_pairs")
+def q_prepare_pairs(spark, sf_dir):
+    """Pair each user turn with the reply, encode both with the end id, assign 4 round-robin shards
+    and a seeded shuffle key."""
+    from tessera.operators import subword as SW
+    from tessera.operators.joins import pair_turns
+    from tessera.operators.indexing import with_row_index
+
+    voc = _turn_vocab(spark, sf_dir)
+    p = pair_turns(table(spark, sf_dir, "conversations")).withColumn("key", F.concat_ws(":", "conv_id", "turn"))
+    src = SW.subword_encode(p.select("key", "source"), "key", "source", voc, add_eos=True).withColumnRenamed("ids", "src_ids")
+    tgt = SW.subword_encode(p.select("key", "target"), "key", "target", voc, add_eos=True).withColumnRenamed("ids", "tgt_ids")
+    j = src.join(tgt, "key")
+    sh = with_row_index(j, ["key"], "_i").withColumn("shard", (F.col("_i") % 4).cast("int")).drop("_i")
+    return sh.withColumn("shuffle_key", F.xxhash64("key", F.lit(5))).orderBy("shard", "shuffle_key")
