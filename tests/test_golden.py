@@ -181,3 +181,31 @@ def test_hash_split_disjoint_complete(spark):
     counts = {r.split: r["count"] for r in s.groupBy("split").count().collect()}
     assert sum(counts.values()) == 1000 and set(counts) == {0, 1}
     assert 600 < counts[0] < 800
+
+
+def test_subword_prefix_counts_and_round_trip(spark):
+    from tessera.operators import subword as SW
+
+    tc = spark.createDataFrame([("abc", 5)], "token string, n long")
+    alphabet = SW.alphabet_of(tc, "token", [])
+    counts = {r.sub: r["count"] for r in SW._substring_counts(tc, list(alphabet), alphabet, 1).collect()}
+    assert counts == {s: 5 for s in ["a", "ab", "abc", "abc_", "b", "bc", "bc_", "c", "c_", "_"]}
+    df = spark.createDataFrame([(0, "testing 123")], "k long, s string")
+    enc = SW.subword_encode(df, "k", "s", ["123_", "test", "ing_"])
+    assert enc.first().ids == [1, 2, 0]
+    assert SW.subword_decode(enc, "ids", ["123_", "test", "ing_"]).first().text == "testing 123"
+
+
+def test_fixed_records_reader(spark, tmp_path):
+    import struct
+
+    from tessera.sources.io import read_fixed_records
+
+    p = tmp_path / "imgs"
+    p.mkdir()
+    (p / "a.bin").write_bytes(struct.pack(">iii", 2051, 2, 4) + bytes([0, 255, 51, 102, 255, 0, 0, 0]))
+    rows = read_fixed_records(spark, str(p), 4, 12, 2051).orderBy("record").collect()
+    assert [r.pixels for r in rows] == [[0.0, 1.0, 0.2, 0.4], [1.0, 0.0, 0.0, 0.0]]
+    (p / "a.bin").write_bytes(struct.pack(">iii", 7, 2, 4) + bytes(8))
+    with pytest.raises(Exception):
+        read_fixed_records(spark, str(p), 4, 12, 2051).collect()
