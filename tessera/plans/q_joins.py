@@ -130,27 +130,27 @@ def q_range_bucket(spark, sf_dir):
 @register(
     "join_asof_forward",
     """WITH c AS (SELECT row_number() OVER w - 1 AS pos, sum(l_quantity) OVER w AS y FROM lineitem
-                  WINDOW w AS (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey ROWS UNBOUNDED PRECEDING)),
+                  WINDOW w AS (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice ROWS UNBOUNDED PRECEDING)),
             g AS (SELECT range * 5000.0 AS x FROM range(0, 320))
        SELECT g.x, (SELECT min(pos) FROM c WHERE c.y >= g.x) AS pos FROM g""",
 )
 def q_asof(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    curve = running_sums(li, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], {"y": F.col("l_quantity")}, index_name="pos")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    curve = running_sums(li, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"], {"y": F.col("l_quantity")}, index_name="pos")
     return C.asof_forward_grid(curve, "y", "l_quantity", 320, 5000.0)
 
 
 @register(
     "join_asof_forward_generic",
     """WITH c AS (SELECT row_number() OVER w - 1 AS pos, sum(l_quantity) OVER w AS y FROM lineitem
-                  WINDOW w AS (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey ROWS UNBOUNDED PRECEDING)),
+                  WINDOW w AS (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice ROWS UNBOUNDED PRECEDING)),
             g AS (SELECT DISTINCT o_totalprice * 3 AS x FROM orders)
        SELECT g.x, (SELECT min(pos) FROM c WHERE c.y >= g.x) AS pos FROM g""",
 )
 def q_asof_generic(spark, sf_dir):
     """The generic form: grid points are data (three times each order price)."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    curve = running_sums(li, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], {"y": F.col("l_quantity")}, index_name="pos")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    curve = running_sums(li, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"], {"y": F.col("l_quantity")}, index_name="pos")
     grid = table(spark, sf_dir, "orders").select((F.col("o_totalprice") * 3).alias("x")).distinct()
     return C.asof_forward(grid, curve, "x", "y")
 

@@ -259,3 +259,26 @@ def q_bin_expected(spark, sf_dir):
 
 
 _ = math
+
+
+# ---------------------------------------------------------------------------- smooth sensitivity
+@register("dp_local_sensitivity")
+def q_local_sens(spark, sf_dir):
+    """Local sensitivity at each distance for the Gaussian maximum and the threshold check over
+    the model votes (6 voting slices, 10 classes)."""
+    from tessera.plans.derived import model_votes
+
+    v = model_votes(spark, sf_dir)
+    g = P.local_sensitivity_gnmax(v, "vec_id", "votes", 6, 2.0, 5.0).withColumnRenamed("ls", "ls_gnmax")
+    t = P.local_sensitivity_threshold(v, "vec_id", "votes", 6, 4.0, 2.0, 5.0).withColumnRenamed("ls", "ls_threshold")
+    return g.join(t, ["vec_id", "d"]).select("vec_id", "d", r6("ls_gnmax").alias("ls_gnmax"), r6("ls_threshold").alias("ls_threshold"))
+
+
+@register("dp_smooth_release")
+def q_smooth_release(spark, sf_dir):
+    """Best beta of the smooth-sensitivity release over all model-vote queries (order 5)."""
+    from tessera.plans.derived import model_votes
+
+    betas = [x / 100.0 / 5.0 for x in range(30, 50)]
+    r = P.smooth_release(model_votes(spark, sf_dir), "vec_id", "votes", 6, 4.0, 2.0, 2.0, 5.0, betas)
+    return r.select(*[r6(c).alias(c) for c in ["beta", "ss", "sigma_ss", "cost", "rdp_cum"]])
