@@ -58,9 +58,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+# Tables whose rows hold free text: per-row work on them (regular expressions, tokenisers) is
+# CPU-bound, so their scan must run in parallel.
+TEXT_TABLES = {"documents", "pages", "conversations", "benchmark"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one of the test tables (one parquet file each)."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """Read one of the test tables (one parquet file each).  Text tables are spread over the
+    cores when the scan itself cannot be split."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(df) if name in TEXT_TABLES else df
+
+
+def spread(df: DataFrame, min_bytes: int = 4 << 20) -> DataFrame:
+    """Hash-repartition (on the first, key column: deterministic, no sort) an input whose scan
+    yields fewer partitions than there are cores, e.g. a large file written as one row group.  On
+    a cluster, inputs of many files or row groups already scan in parallel and come back
+    unchanged, so no shuffle is added there; inputs under ``min_bytes`` are left alone too."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        size = 0
+        for f in df.inputFiles():
+            p = jvm.org.apache.hadoop.fs.Path(f)
+            size += p.getFileSystem(conf).getFileStatus(p).getLen()
+    except Exception:  # noqa: BLE001 - sizes unknown: keep the scan as it is
+        return df
+    return df.repartition(cores, df.columns[0]) if size >= min_bytes else df
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
