@@ -185,3 +185,39 @@ def q_cache(spark, sf_dir):
 
     A.cache_or_compute(spark, path, compute)
     return A.cache_or_compute(spark, path, compute)
+
+
+# The header of the fixed-record files (magic number 2051, then a zero word).
+MAGIC = 2051
+_HEADER_LEN = 8
+_REC_LEN = 64
+
+
+@register(
+    "read_fixed_records",
+    """SELECT CAST(vec_id // 4096 AS BIGINT) AS bucket, row_number() OVER (PARTITION BY vec_id // 4096 ORDER BY vec_id) - 1 AS record,
+              list_transform(embedding, lambda x: round(least(greatest(floor((x::DOUBLE + 0.5) * 127), 0), 127) / 255.0, 6)) AS pixels
+       FROM embeddings""",
+)
+def q_fixed_records(spark, sf_dir):
+    """Embeddings quantised to 7-bit pixels are written as fixed-length records after an
+    8-byte big-endian header (one file per block of 4096 ids, so a file never grows with the
+    data; ASCII-safe bytes so Spark's text writer stores them unchanged) and read back through
+    ``read_fixed_records``."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.floor(F.col("vec_id") / 4096).alias("bucket"), "embedding")
+    px = F.transform("embedding", lambda x: F.least(F.greatest(F.floor((x.cast("double") + 0.5) * 127), F.lit(0)), F.lit(127)))
+    rec = e.select("bucket", "vec_id", F.array_join(F.transform(px, lambda b: F.chr(b)), "").alias("rec"))
+    files = rec.groupBy("bucket").agg(
+        F.concat(
+            F.lit("\u0000\u0000\u0008\u0003\u0000\u0000\u0000\u0000"),
+            F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("vec_id", "rec"))), lambda s: s["rec"]), ""),
+        ).alias("value")
+    )
+    path = scratch_path(spark, "fixed-records")
+    files.write.partitionBy("bucket").text(path)
+    r = A.read_fixed_records(spark, path, _REC_LEN, _HEADER_LEN, MAGIC)
+    return r.select(
+        F.regexp_extract("path", r"bucket=(\d+)", 1).cast("bigint").alias("bucket"),
+        "record",
+        F.transform("pixels", lambda x: F.round(x, 6)).alias("pixels"),
+    )

@@ -76,10 +76,10 @@ def spread(df: DataFrame, min_bytes: int = 4 << 20) -> DataFrame:
     a cluster, inputs of many files or row groups already scan in parallel and come back
     unchanged, so no shuffle is added there; inputs under ``min_bytes`` are left alone too."""
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
     try:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= cores:
+            return df
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         size = 0
