@@ -209,3 +209,27 @@ def test_fixed_records_reader(spark, tmp_path):
     (p / "a.bin").write_bytes(struct.pack(">iii", 7, 2, 4) + bytes(8))
     with pytest.raises(Exception):
         read_fixed_records(spark, str(p), 4, 12, 2051).collect()
+
+
+# Local-sensitivity arrays of the smooth-sensitivity analysis (published test cases).
+LS_GNMAX_RIGHT = [3.13503646e-17, 1.60178280e-08, 5.90681786e-03] + [5.99981308e+00] * 7
+LS_GNMAX_LEFT = [0.0] * 298 + [2.77693450548e-7, 2.10853979548e-6] + [2.73113623988e-6] * 1700
+LS_THRESHOLD_16 = [0] * 3 + [
+    1.48454129e-04, 1.47826870e-02, 3.94153241e-02, 6.45775697e-02, 9.01543247e-02, 1.16054002e-01,
+    1.42180452e-01, 1.42180452e-01, 1.48454129e-04, 1.47826870e-02, 3.94153241e-02, 6.45775697e-02,
+    9.01543266e-02, 1.16054000e-01, 1.42180452e-01, 1.68302106e-01, 1.93127860e-01] + [0] * 10
+LS_THRESHOLD_2 = [
+    1.60212079e-01, 2.07021132e-01, 2.07021132e-01, 1.93127860e-01, 1.68302106e-01, 1.42180452e-01,
+    1.16054002e-01, 9.01543247e-02, 6.45775697e-02, 3.94153241e-02, 1.47826870e-02, 1.48454129e-04] + [0] * 18
+
+
+def test_local_sensitivity_gnmax_golden():
+    assert P.local_sens_gnmax_py([10, 0, 0], 10, 0.5, 1.5) == pytest.approx(LS_GNMAX_RIGHT, rel=1e-6, abs=0)
+    assert P.local_sens_gnmax_py([1000, 500, 300, 200, 0], 2000, 250.0, 10.0) == pytest.approx(LS_GNMAX_LEFT, rel=1e-6, abs=0)
+
+
+@pytest.mark.parametrize("t,expected", [(16.0, LS_THRESHOLD_16), (2.0, LS_THRESHOLD_2)])
+def test_local_sensitivity_threshold_golden(spark, t, expected):
+    df = spark.createDataFrame([(0, [20, 10, 0])], "k long, votes array<long>")
+    rows = P.local_sensitivity_threshold(df, "k", "votes", 30, t, 2.0, 10.0).orderBy("d").collect()
+    assert [r.ls for r in rows] == pytest.approx(expected, rel=1e-6, abs=1e-12)
