@@ -136,21 +136,50 @@ def throughput(df: DataFrame, step: str, seconds: str, every_n: int, warm_steps:
     )
 
 
+def running_min(
+    df: DataFrame,
+    order: Sequence[str],
+    values: dict[str, Column],
+    by: Sequence[str] = (),
+    inclusive: bool = True,
+) -> DataFrame:
+    """Running minimum (of numbers or structs) in ``order`` within ``by`` groups, up to and
+    including the row or strictly before it.
+
+    Two levels again, but the chunks need no row numbers: a range partitioning on (by, order)
+    cuts the ordered rows into contiguous chunks (its partition id), minima are taken inside each
+    (group, chunk) and combined with the prefix minimum of the preceding chunks of the group.  A
+    group holding most rows spans many chunks and so many tasks."""
+    cols = [*by, *order]
+    idx = df.repartitionByRange(*cols).withColumn("_chunk", F.spark_partition_id())
+    names = list(values)
+    for n, e in values.items():
+        idx = idx.withColumn(f"_v_{n}", e)
+    end = 0 if inclusive else -1
+    w_local = Window.partitionBy(*by, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
+    local = idx.select("*", *[F.min(f"_v_{n}").over(w_local).alias(f"_l_{n}") for n in names])
+    totals = idx.groupBy(*by, "_chunk").agg(*[F.min(f"_v_{n}").alias(f"_t_{n}") for n in names])
+    w_prev = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*by, "_chunk", *[F.min(f"_t_{n}").over(w_prev).alias(f"_o_{n}") for n in names])
+    out = local.join(offsets, [*by, "_chunk"])
+    for n in names:
+        # least() skips nulls: the first rows of a group keep a null "before" value
+        out = out.withColumn(n, F.least(F.col(f"_l_{n}"), F.col(f"_o_{n}")))
+    return out.drop("_chunk", *[f"_{p}_{n}" for n in names for p in "vlo"])
+
+
 def best_so_far(df: DataFrame, order: str, loss: str, by: Sequence[str] = ()) -> DataFrame:
     """Best loss before each row and whether this row strictly improves on it."""
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    prev = F.min(loss).over(w)
-    return df.withColumn("best_before", prev).withColumn(
-        "improved", F.col("best_before").isNull() | (F.col(loss) < F.col("best_before"))
-    )
+    r = running_min(df, [order], {"best_before": F.col(loss)}, by, inclusive=False)
+    return r.withColumn("improved", F.col("best_before").isNull() | (F.col(loss) < F.col("best_before")))
 
 
 def early_stop(df: DataFrame, order: str, loss: str, k: int, by: Sequence[str] = ()) -> DataFrame:
     """First round at which the best round so far is at least ``k`` rounds old (no strict
-    improvement for ``k`` rounds); null when training never stops."""
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    best_round = F.min_by(F.col(order), F.struct(F.col(loss), F.col(order))).over(w)
-    marked = df.withColumn("_best_round", best_round)
+    improvement for ``k`` rounds); null when training never stops.  The best round so far is the
+    running minimum of (loss, round), so ties keep the earlier round."""
+    r = running_min(df, [order], {"_best": F.struct(F.col(loss).alias("l"), F.col(order).alias("r"))}, by)
+    marked = r.withColumn("_best_round", F.col("_best.r"))
     return marked.groupBy(*by).agg(
         F.min(F.when(F.col(order) - F.col("_best_round") >= k, F.col(order))).alias("stop_round"),
         F.min_by(F.col(order), F.struct(F.col(loss), F.col(order))).alias("best_round"),

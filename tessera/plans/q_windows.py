@@ -123,13 +123,11 @@ def q_best_so_far(spark, sf_dir):
 
 
 def _rounds(spark, sf_dir):
-    ev = table(spark, sf_dir, "events")
-    return ev.select(
-        "user_id",
-        "event_type",
-        "value",
-        F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")).alias("round"),
-    )
+    from tessera.operators.indexing import with_group_index
+
+    ev = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
+    # rounds numbered per user from 1 (a group index: parallel even for one dominant user)
+    return with_group_index(ev, ["user_id"], ["event_id"], "round", start=1).drop("event_id")
 
 
 _ROUNDS_SQL = "(SELECT user_id, event_type, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS round FROM events)"
