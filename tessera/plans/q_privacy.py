@@ -85,7 +85,19 @@ def q_eps_moments(spark, sf_dir):
     return e.select(r6("eps").alias("eps"), "best_moment", r6("eps_data_independent").alias("eps_data_independent"))
 
 
-@register("dp_sensitivity_at_k")
+def _sens_sql():
+    def moved(j):
+        return f"list_transform(s, lambda x, i: CASE WHEN i = 1 THEN x - ({j}) WHEN i = 2 THEN x + ({j}) ELSE x END)"
+
+    E = 2 * NOISE_EPS
+    val = _logmgf_sql(f"({_q_sql().replace('votes', 'm1')})", E, "8.0")
+    val2 = _logmgf_sql(f"({_q_sql().replace('votes', 'm2')})", E, "8.0")
+    return f"""WITH v AS (SELECT user_id, list_sort(list_transform(votes, lambda x: x::DOUBLE), 'DESC') AS s FROM {SQL_EVENT_VOTES}),
+                    m AS (SELECT user_id, CAST(k AS INTEGER) AS k, s, {moved('k')} AS m1, {moved('k + 1')} AS m2 FROM v, range(0, 4) r(k))
+               SELECT user_id, k, round(CASE WHEN s[1] < s[2] + k THEN 0.0 ELSE {val2} - {val} END, 6) AS sens FROM m"""
+
+
+@register("dp_sensitivity_at_k", _sens_sql())
 def q_sens(spark, sf_dir):
     """Sensitivity of the moment bound at distances 0..3 for moment 8 (checked in the tests
     against a direct evaluation)."""
@@ -94,7 +106,23 @@ def q_sens(spark, sf_dir):
     return ks.select("user_id", "k", r6(P.sens_at_k("votes", NOISE_EPS, 8.0, F.col("k").cast("double"))).alias("sens"))
 
 
-@register("dp_smooth_sensitivity")
+def _smooth_sql(beta=0.2):
+    def moved(j):
+        return f"list_transform(s, lambda x, i: CASE WHEN i = 1 THEN x - ({j}) WHEN i = 2 THEN x + ({j}) ELSE x END)"
+
+    E = 2 * NOISE_EPS
+    val = _logmgf_sql(f"({_q_sql().replace('votes', 'm1')})", E, "8.0")
+    val2 = _logmgf_sql(f"({_q_sql().replace('votes', 'm2')})", E, "8.0")
+    return f"""WITH v AS (SELECT user_id, list_sort(list_transform(votes, lambda x: x::DOUBLE), 'DESC') AS s FROM {SQL_EVENT_VOTES}),
+                    kk AS (SELECT user_id, s, unnest(range(0, CAST(s[1] AS BIGINT) + 1)) AS k FROM v),
+                    m AS (SELECT user_id, k, s, {moved('k')} AS m1, {moved('k + 1')} AS m2 FROM kk),
+                    e AS (SELECT user_id, k, CASE WHEN s[1] < s[2] + k THEN 0.0 ELSE {val2} - {val} END AS sens FROM m),
+                    st AS (SELECT user_id, min(k) FILTER (WHERE k >= 1 AND sens = 0.0) AS stop FROM e GROUP BY user_id)
+               SELECT user_id, round(max(exp(-{beta} * k) * sens), 6) AS smooth_sens FROM e JOIN st USING (user_id)
+               WHERE stop IS NULL OR k <= stop GROUP BY user_id"""
+
+
+@register("dp_smooth_sensitivity", _smooth_sql())
 def q_smooth(spark, sf_dir):
     return P.smoothed_sens(_v(spark, sf_dir), "user_id", "votes", NOISE_EPS, 8.0, 0.2).select(
         "user_id", r6("smooth_sens").alias("smooth_sens")
