@@ -268,7 +268,7 @@ def q_subword_encode(spark, sf_dir):
     return SW.subword_encode(c, "key", "text", _turn_vocab(spark, sf_dir), add_eos=True)
 
 
-@register("txt_subword_decode")
+@register("txt_subword_decode", "SELECT conv_id || ':' || turn AS key, text AS text_back, true AS same FROM conversations")
 def q_subword_decode(spark, sf_dir):
     """Encode then decode every turn; ``same`` tells whether the text came back unchanged."""
     from tessera.operators import subword as SW
