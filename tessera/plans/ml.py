@@ -24,11 +24,9 @@ from pyspark.ml.feature import (
     StringIndexerModel,
     VectorAssembler,
 )
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def string_index(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -144,5 +142,3 @@ def save_model(model: PipelineModel, path: str) -> None:
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
-
-__all__ = ["array_to_vector", "vector_to_array", "F"]

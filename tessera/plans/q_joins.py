@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.arrays import argmax
 from tessera.operators import joins as C
 from tessera.operators.text import bucket_bounds, vocab_sorted
 from tessera.operators.windows import running_sums
@@ -202,5 +201,3 @@ def q_baseline_diff(spark, sf_dir):
     base = p.groupBy("vec_id").agg(F.array(*[F.count_if(F.col("pred") == i) for i in range(10)]).alias("votes"))
     return C.baseline_diff(votes, base, "vec_id", "votes")
 
-
-_ = argmax  # re-exported for the multi-model example

@@ -3,8 +3,6 @@ five classes), and the bin aggregates of section D that need per-query costs."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import functions as F
 
 from tessera.operators import aggregates as D
@@ -286,8 +284,6 @@ def q_bin_expected(spark, sf_dir):
     return D.bin_sum(b, "bin", "p").select("bin", r6("sum_value").alias("sum_value"), "n")
 
 
-_ = math
-
 
 # ---------------------------------------------------------------------------- smooth sensitivity
 @register("dp_local_sensitivity")

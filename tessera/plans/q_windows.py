@@ -3,7 +3,6 @@ sums are exact whatever the order of addition."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.functions.arrays import discounted_max
