@@ -39,11 +39,20 @@ def q_predict_columns(spark, sf_dir):
     return p.select("vec_id", "label", "label_id")
 
 
-@register("udf_predict_probabilities")
+@register(
+    "udf_predict_probabilities",
+    _CENTROID_SQL
+    + """, p AS (SELECT vec_id, c, dist, exp(-(dist - min(dist) OVER (PARTITION BY vec_id))) AS e FROM d),
+            q AS (SELECT vec_id, c, dist, e / sum(e) OVER (PARTITION BY vec_id) AS p FROM p)
+       SELECT vec_id, CAST(arg_min(c, (dist, c)) AS VARCHAR) AS label, CAST(arg_min(c, (dist, c)) AS INTEGER) AS label_id, """
+    + ", ".join(f"round(max(p) FILTER (WHERE c = {i}), 6) AS prob_{i}" for i in range(10))
+    + " FROM q GROUP BY vec_id",
+)
 def q_predict_probs(spark, sf_dir):
     e = _emb(spark, sf_dir)
     cent = U.fit_centroids(e, "embedding", "label")
-    return U.predict_columns(e, "vec_id", "embedding", cent, [str(i) for i in range(cent.shape[0])])
+    p = U.predict_columns(e, "vec_id", "embedding", cent, [str(i) for i in range(cent.shape[0])])
+    return p.select("vec_id", "label", "label_id", *[F.round(f"prob_{i}", 6).alias(f"prob_{i}") for i in range(cent.shape[0])])
 
 
 @register(
