@@ -93,7 +93,11 @@ def q_census(spark, sf_dir):
     return f.select("c_custkey", vector_to_array("features").alias("features"))
 
 
-@register("ml_feature_stages")
+@register(
+    "ml_feature_stages",
+    """SELECT o_orderkey, CAST((SELECT count(DISTINCT o_orderpriority) FROM orders) + (SELECT count(DISTINCT o_orderstatus) FROM orders) + 1
+              AS INTEGER) AS n_features FROM orders""",
+)
 def q_feature_stages(spark, sf_dir):
     """Fitted chain of feature stages applied to the orders (one vector per order)."""
     o = table(spark, sf_dir, "orders")
