@@ -5,7 +5,10 @@ every row into one task.  ``with_row_index`` instead
 
 1. range-partitions on the (total) order key and sorts inside each partition,
 2. takes the in-partition position from ``monotonically_increasing_id`` (partition id in the high
-   bits, record number in the low 33 bits),
+   bits, record number in the low 33 bits) and materialises this once with a reliable
+   ``checkpoint`` in the shared folder: the counting branch and the numbering branch must see the
+   very same partitions, and two independent range shuffles (different samples, different
+   coalescing) would not guarantee that,
 3. counts rows per partition (one row per partition, a size bounded by the partition count, so it
    is broadcast safely) and turns the counts into starting offsets.
 
@@ -45,6 +48,9 @@ def with_row_index(
         .withColumn("_pid", F.shiftright(F.col("_mid"), 33))
         .withColumn("_local", F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)))
     )
+    from tessera.session import cut_lineage
+
+    staged = cut_lineage(staged)
     counts = staged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     # the counts table holds one row per partition: its window runs on a tiny input
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -151,10 +151,14 @@ def running_min(
     (group, chunk) and combined with the prefix minimum of the preceding chunks of the group.  A
     group holding most rows spans many chunks and so many tasks."""
     cols = [*by, *order]
+    from tessera.session import cut_lineage
+
     idx = df.repartitionByRange(*cols).withColumn("_chunk", F.spark_partition_id())
     names = list(values)
     for n, e in values.items():
         idx = idx.withColumn(f"_v_{n}", e)
+    # both branches below must see the same chunk ids: materialise them once
+    idx = cut_lineage(idx)
     end = 0 if inclusive else -1
     w_local = Window.partitionBy(*by, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
     local = idx.select("*", *[F.min(f"_v_{n}").over(w_local).alias(f"_l_{n}") for n in names])
