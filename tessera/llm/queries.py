@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import packing
+from tessera.llm import packing, sharding
 from tessera.llm.common import documents
 
 
@@ -14,9 +14,16 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op3_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(documents(spark, sf_dir))
+
+
 def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path())
 
 
-QUERIES = {"op4_pack": op4_pack}
+QUERIES = {
+    "op3_shard": op3_shard,
+    "op4_pack": op4_pack,
+}
 ORACLE: dict[str, str] = {}
