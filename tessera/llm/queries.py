@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import packing, sharding
+from tessera.llm import langid, packing, sharding
 from tessera.llm.common import documents
 
 
@@ -22,8 +22,13 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path())
 
 
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_documents(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op3_shard": op3_shard,
     "op4_pack": op4_pack,
+    "op9_langid": op9_langid,
 }
 ORACLE: dict[str, str] = {}
