@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import langid, packing, sharding
+from tessera.llm import langid, packing, sharding, toxicity
 from tessera.llm.common import documents
 
 
@@ -22,6 +22,10 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path())
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_documents(documents(spark, sf_dir))
 
@@ -29,6 +33,7 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_shard": op3_shard,
     "op4_pack": op4_pack,
+    "op5_toxicity": op5_toxicity,
     "op9_langid": op9_langid,
 }
 ORACLE: dict[str, str] = {}
