@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import langid, packing, sharding, toxicity
+from tessera.llm import langid, packing, quality, sharding, toxicity
 from tessera.llm.common import documents
 
 
@@ -26,6 +26,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(documents(spark, sf_dir))
+
+
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_documents(documents(spark, sf_dir))
 
@@ -34,6 +38,7 @@ QUERIES = {
     "op3_shard": op3_shard,
     "op4_pack": op4_pack,
     "op5_toxicity": op5_toxicity,
+    "op7_quality": op7_quality,
     "op9_langid": op9_langid,
 }
 ORACLE: dict[str, str] = {}
