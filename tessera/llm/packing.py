@@ -12,6 +12,7 @@ from __future__ import annotations
 import bisect
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -25,26 +26,30 @@ END_ID = 2
 CAPACITY = 1024
 #: Groups that each length's numbering is spread over.
 SALT = 128
-#: Words that a worker keeps with their ids.
-CACHE_WORDS = 300_000
+#: Words in one generation of a worker's cache; it keeps two, and what is used passes to the younger.
+CACHE_WORDS = 500_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 class CachedEncoder:
-    """Byte-level BPE ids of whole texts as little-endian 32-bit bytes, with a bounded word cache.
+    """Byte-level BPE ids of whole texts as little-endian 32-bit bytes, with bounded word caches.
 
     The pre-tokenizer never joins a single space between two non-spaces to what stands before it, so
     a text may be encoded word by word, each with its leading space.  Texts with other white space
-    around a space are cut only where that holds."""
+    around a space are cut only where that holds.  A word new to the cache is cut once more into
+    letters and marks, which the pre-tokenizer also keeps apart, as those parts repeat more often."""
 
     _cut = re.compile(r"(?<=\S)(?= \S)")
+    _parts = re.compile(r"( ?[^\W\d_]+)([^\w\s']+)?(?:(\n)([^\W\d_]+)([^\w\s']+)?)?")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.words: dict[str, bytes] = {}  # a space stands before each
+        self.older: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
 
     def _learn(self, chunks: set[str]) -> None:
@@ -54,20 +59,53 @@ class CachedEncoder:
         for i in range(0, len(new), 4096):
             part = new[i : i + 4096]
             for chunk, enc in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self.known[chunk] = b"".join(x.to_bytes(4, "little") for x in enc.ids)
+                self.known[chunk] = struct.pack(f"<{len(enc.ids)}I", *enc.ids)
 
-    def chunks(self, text: str) -> list[str]:
-        parts = text.split(" ")
-        if all(parts) and not any(p[0].isspace() or p[-1].isspace() for p in parts):
-            return [parts[0], *(" " + p for p in parts[1:])]
+    def _parted(self, chunk: str) -> list[str]:
+        m = self._parts.fullmatch(chunk)
+        if not m:
+            return [chunk]
+        parts = [g for g in m.groups() if g]
+        return parts if m[1].lstrip(" ").isalpha() and (m[4] is None or m[4].isalpha()) else [chunk]
+
+    def _cut_all(self, text: str) -> list[str]:
         return [c for c in self._cut.split(text) if c]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        cut = [self.chunks(t) for t in texts]
-        self._learn(set().union(*cut))
+        if len(self.words) > CACHE_WORDS:
+            self.older, self.words = self.words, {}
+        words, older, plans, need = self.words, self.older, [], set()
+        fresh: dict[str, list[str]] = {}
+        for t in texts:
+            row = t.split(" ")
+            first = row[0]
+            new = []
+            for p in [p for p in row if p not in words and p not in fresh]:
+                if p in older:
+                    words[p] = older[p]
+                else:
+                    new.append(p)
+            if not first or first[-1].isspace() or any(not p or p[0].isspace() or p[-1].isspace() for p in new):
+                row = [self._parted(c) for c in self._cut_all(t)]
+                need.update(p for c in row for p in c)
+                plans.append((None, row))
+                continue
+            for p in new:
+                fresh[p] = self._parted(" " + p)
+            head = self._parted(first)
+            need.update(head)
+            plans.append((head, row))
+        for parts in fresh.values():
+            need.update(parts)
+        self._learn(need)
         known = self.known
-        for c in cut:
-            yield b"".join([known[x] for x in c])
+        for p, parts in fresh.items():
+            words[p] = b"".join([known[x] for x in parts])
+        for head, row in plans:
+            if head is None:
+                yield b"".join([known[x] for c in row for x in c])
+            else:
+                yield b"".join([known[x] for x in head] + [words[p] for p in row[1:]])
 
 
 _ENCODERS: dict[str, CachedEncoder] = {}
