@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import langid, packing, quality, sharding, toxicity
+from tessera.llm import langid, packing, quality, sharding, substring, toxicity
 from tessera.llm.common import documents
 
 
@@ -14,6 +14,10 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(documents(spark, sf_dir))
+
+
 def op3_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir))
 
@@ -35,6 +39,7 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring": op1_substring,
     "op3_shard": op3_shard,
     "op4_pack": op4_pack,
     "op5_toxicity": op5_toxicity,
