@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import langid, packing, quality, sharding, substring, toxicity
+from tessera.llm import langid, neardup, packing, quality, sharding, substring, toxicity
 from tessera.llm.common import documents
 
 
@@ -34,6 +34,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(documents(spark, sf_dir))
 
 
+def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, sf_dir))
+
+
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_documents(documents(spark, sf_dir))
 
@@ -44,6 +48,7 @@ QUERIES = {
     "op4_pack": op4_pack,
     "op5_toxicity": op5_toxicity,
     "op7_quality": op7_quality,
+    "op8_neardup": op8_neardup,
     "op9_langid": op9_langid,
 }
 ORACLE: dict[str, str] = {}
