@@ -24,18 +24,19 @@ SAMPLE = 1 << 16
 #: A group of equal texts stays in one range unless it is larger than a shard over this.
 WHOLE = 16
 
-_MIN, _MAX = -(1 << 63), (1 << 63) - 1
+_MIN, _MAX = -(1 << 63) + 1, (1 << 63) - 1
 Key = tuple[int, int]
 
 
 def _values(spark: SparkSession, columns: list[str], rows: list[tuple]) -> DataFrame:
     """A small table of whole numbers as an inline VALUES relation."""
-    body = ", ".join("(" + ", ".join(f"{x}L" if x != _MIN else "bigint('-9223372036854775808')" for x in r) + ")" for r in rows)
+    body = ", ".join("(" + ", ".join(f"{x}L" for x in r) + ")" for r in rows)
     return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(columns)})")
 
 
 def _longs(values: list[int]) -> Column:
-    return F.from_json(F.lit(str(values)), "array<bigint>") if len(values) < 2 else F.expr(f"transform(split('{','.join(map(str, values))}', ','), x -> bigint(x))")
+    """A constant array, folded into the plan once."""
+    return F.expr(f"array({','.join(f'{x}L' for x in values)})")
 
 
 def range_of(splitters: list[Key]) -> Column:
