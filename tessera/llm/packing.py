@@ -50,12 +50,19 @@ class CachedEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.words: dict[str, bytes] = {}  # a space stands before each
         self.older: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # words and parts as they stand
+        self.before: dict[str, bytes] = {}
 
     def _learn(self, chunks: set[str]) -> None:
+        """Have the ids of all chunks in ``known``."""
         if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        new = list(chunks - self.known.keys())
+            self.before, self.known = self.known, {}
+        new = []
+        for c in chunks - self.known.keys():
+            if c in self.before:
+                self.known[c] = self.before[c]
+            else:
+                new.append(c)
         for i in range(0, len(new), 4096):
             part = new[i : i + 4096]
             for chunk, enc in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):

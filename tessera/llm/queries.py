@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import langid, neardup, packing, quality, sharding, substring, toxicity
+from tessera.llm import decontam, langid, neardup, packing, quality, sharding, substring, toxicity
 from tessera.llm.common import documents
 
 
@@ -42,6 +42,10 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_documents(documents(spark, sf_dir))
 
 
+def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES = {
     "op1_substring": op1_substring,
     "op3_shard": op3_shard,
@@ -50,5 +54,6 @@ QUERIES = {
     "op7_quality": op7_quality,
     "op8_neardup": op8_neardup,
     "op9_langid": op9_langid,
+    "op10_decontam": op10_decontam,
 }
 ORACLE: dict[str, str] = {}
