@@ -1,9 +1,10 @@
 """Benchmark decontamination: every passage of every document queries a BM25 index of the test items.
 
-The index holds BM25 weights divided by the item's own score, so one threshold fits all items.  Its
-posting lists are in blocks with their greatest weight, and block-max WAND skips what can't reach the
-threshold; a passage whose terms together can't reach it needs no list at all.  Every item above the
-threshold is then verified by the shingles of its question and its answer in the passage.
+The index holds BM25 weights divided by the item's own score, so one threshold fits all items.  Items
+of like length are neighbours and make up blocks, of which each posting list knows its greatest
+weight.  The block maxima of a passage's terms, summed for each block, rule out most blocks at once;
+block-max WAND searches the others and skips what can't reach the threshold.  Every item above it is
+then verified by the shingles of its question and its answer in the passage.
 
 The index is broadcast in parts of bounded size; documents stay where they are, without a shuffle.
 """
@@ -13,6 +14,7 @@ from __future__ import annotations
 import heapq
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
@@ -26,8 +28,8 @@ K1, B = 1.2, 0.75
 #: Share of an item's own score that a passage must reach to be verified.
 THRESHOLD = 0.5
 SHINGLE, OVERLAP = 5, 0.75
-#: Postings of a block, and characters of the items in one part of the index.
-BLOCK, PART_CHARS = 64, 16 << 20
+#: Items of a block, and characters of the items in one part of the index.
+BLOCK, PART_CHARS = 4, 16 << 20
 #: Least words between the beginnings of passages, which are twice as long.
 STEP = 64
 
@@ -60,7 +62,7 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]], block: int = BLOCK):
         self.items = [(i, t, tokens(t)) for i, t in items]
-        self.items = [x for x in self.items if x[2]]
+        self.items = sorted((x for x in self.items if x[2]), key=lambda x: (len(x[2]), x[0]))
         n = len(self.items)
         mean = sum(len(w) for _, _, w in self.items) / max(n, 1)
         df = Counter(t for _, _, w in self.items for t in set(w))
@@ -76,28 +78,44 @@ class Index:
         self.docs = [[d for d, _ in p] for p in lists]
         self.weights = [[x for _, x in p] for p in lists]
         self.block = block
-        self.maxima = [[max(x[k : k + block]) for k in range(0, len(x), block)] for x in self.weights]
+        self.blocks = -(-n // block)
+        self.maxima: list[dict[int, float]] = []
+        for p in lists:
+            most: dict[int, float] = {}
+            for d, x in p:
+                most[d // block] = max(x, most.get(d // block, 0.0))
+            self.maxima.append(most)
+        # the maxima once more, list after list
+        self._from = np.concatenate([[0], np.cumsum([len(m) for m in self.maxima], dtype=np.int64)])
+        self._block = np.fromiter((b for m in self.maxima for b in m), np.int64)
+        self._most = np.fromiter((x for m in self.maxima for x in m.values()), np.float64)
         self.top = np.array([max(x) for x in self.weights] or [0.0])
         self._shingles: dict[int, tuple[set, set, set]] = {}
 
-    def search(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
-        """Block-max WAND: all items whose weights for ``terms`` (distinct) reach the threshold."""
+    def promising(self, passages: list[np.ndarray], threshold: float) -> list[tuple[int, int]]:
+        """(passage, block) where the block maxima of the passage's distinct terms reach the threshold."""
+        terms = np.concatenate(passages)
+        owner = np.repeat(np.arange(len(passages)), [len(p) for p in passages])
+        n = self._from[terms + 1] - self._from[terms]
+        at = np.repeat(self._from[terms] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        cell = np.repeat(owner, n) * self.blocks + self._block[at]
+        sums = np.bincount(cell, self._most[at], len(passages) * self.blocks)
+        return [divmod(c, self.blocks) for c in np.flatnonzero(sums >= threshold - 1e-6).tolist()]
+
+    def search(self, terms: list[int], threshold: float, first: int = 0, end: int = 1 << 62) -> list[tuple[int, float]]:
+        """Block-max WAND: the items from ``first`` to before ``end`` whose weights for ``terms``
+        (distinct) reach the threshold."""
         docs, weights, block = self.docs, self.weights, self.block
         found, limit = [], threshold - 1e-9
-        at = dict.fromkeys(terms, 0)
-        queue = [(docs[t][0], t) for t in terms]
+        at = {t: bisect_left(docs[t], first) for t in terms}
+        queue = [(docs[t][k], t) for t, k in at.items() if k < len(docs[t]) and docs[t][k] < end]
         heapq.heapify(queue)
 
         def advance(t: int, to: int) -> None:
             """Put the list of ``t`` back at its first item from ``to`` on."""
-            p, k, n = docs[t], at[t], len(docs[t])
-            while k + block < n and p[min(k - k % block + block, n) - 1] < to:  # whole blocks first
-                k = k - k % block + block
-            while k < n and p[k] < to:
-                k += 1
-            at[t] = k
-            if k < n:
-                heapq.heappush(queue, (p[k], t))
+            at[t] = k = bisect_left(docs[t], to, at[t])
+            if k < len(docs[t]) and docs[t][k] < end:
+                heapq.heappush(queue, (docs[t][k], t))
 
         while queue:
             # lists in the order of their current item, until their greatest weights may suffice
@@ -120,14 +138,13 @@ class Index:
                     else:
                         heapq.heappush(queue, (d, t))
                 continue
-            if sum(self.maxima[t][at[t] // block] for _, t in taken) >= limit:
+            if sum(self.maxima[t][pivot // block] for _, t in taken) >= limit:
                 score = sum(weights[t][at[t]] for _, t in taken)
                 if score >= limit:
                     found.append((pivot, score))
                 to = pivot + 1
-            else:  # nothing before the end of the shortest block, or the next list's item, can suffice
-                ends = [docs[t][min(at[t] - at[t] % block + block, len(docs[t])) - 1] for _, t in taken]
-                to = min(min(ends) + 1, queue[0][0] if queue else 1 << 62)
+            else:  # nothing before the end of the block, or the next list's item, can suffice
+                to = min((pivot // block + 1) * block, queue[0][0] if queue else 1 << 62)
             for _, t in taken:
                 advance(t, max(to, pivot + 1))
         return found
@@ -159,20 +176,20 @@ class Index:
         starts = np.arange(0, max(1, len(words) - step), step)
         lo, hi = np.searchsorted(known, starts), np.searchsorted(known, starts + 2 * step)
         best: dict[int, tuple] = {}
-        for s, a, b in zip(starts.tolist(), lo.tolist(), hi.tolist(), strict=True):
-            if sums[b] - sums[a] < threshold - 1e-6:
-                continue
-            terms = np.unique(ids[known[a:b]])
-            if self.top[terms].sum() < threshold - 1e-6:
-                continue
-            inside = None
-            for d, score in self.search(terms.tolist(), threshold):
-                passage = words[s : s + 2 * step]
-                inside = shingles(passage) if inside is None else inside
-                q, r, whole = self.overlaps(d, inside, passage)
-                if whole >= OVERLAP or (q >= OVERLAP and r >= OVERLAP):
-                    row = (whole, score, q, r)
-                    best[d] = max(best.get(d, row), row)
+        passages = [(x, np.unique(ids[known[i:j]])) for x, i, j in zip(starts.tolist(), lo.tolist(), hi.tolist(), strict=True) if sums[j] - sums[i] >= threshold - 1e-6]
+        for k in range(0, len(passages), 256):
+            part = passages[k : k + 256]
+            inside: dict[int, set] = {}
+            for m, b in self.promising([t for _, t in part], threshold):
+                s, terms = part[m]
+                for d, score in self.search(terms.tolist(), threshold, b * self.block, (b + 1) * self.block):
+                    passage = words[s : s + 2 * step]
+                    if m not in inside:
+                        inside[m] = shingles(passage)
+                    q, r, whole = self.overlaps(d, inside[m], passage)
+                    if whole >= OVERLAP or (q >= OVERLAP and r >= OVERLAP):
+                        row = (whole, score, q, r)
+                        best[d] = max(best.get(d, row), row)
         return [(self.items[d][0], score, q, r, whole) for d, (whole, score, q, r) in sorted(best.items())]
 
 
