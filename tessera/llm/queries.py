@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontam, langid, neardup, packing, quality, sharding, substring, toxicity
+from tessera.llm import decontam, langid, neardup, packing, ppm, quality, sharding, substring, toxicity
 from tessera.llm.common import documents
 
 
@@ -18,6 +18,10 @@ def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(documents(spark, sf_dir))
 
 
+def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score_documents(documents(spark, sf_dir))
+
+
 def op3_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir))
 
@@ -48,6 +52,7 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring": op1_substring,
+    "op2_ppm": op2_ppm,
     "op3_shard": op3_shard,
     "op4_pack": op4_pack,
     "op5_toxicity": op5_toxicity,
