@@ -227,9 +227,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """The documents with one of each group: the smallest id, one row of it; rows without a shingle or
     without an id stay.  All columns as they are."""
-    gone = near_duplicates(docs.select("doc_id", "text")).where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti")
+    found = near_duplicates(docs.select("doc_id", "text")).where(~F.col("kept") & F.col("doc_id").isNotNull())
+    gone = written(found.select("doc_id").distinct(), "neardup-gone")
     many = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("doc_id")
-    once = left.join(many, "doc_id", "left_anti")
-    twice = left.join(many, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    once = docs.join(gone.unionByName(many).distinct(), "doc_id", "left_anti")
+    twice = docs.join(many, "doc_id", "left_semi").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
     return once.unionByName(twice).select(*[F.col(f"`{c}`") for c in docs.columns])
