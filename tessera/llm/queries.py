@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontam, langid, neardup, packing, ppm, quality, sharding, substring, toxicity
+from tessera.llm import decontam, langid, licenses, neardup, packing, ppm, quality, sharding, substring, toxicity
 from tessera.llm.common import documents
 
 
@@ -34,6 +34,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(documents(spark, sf_dir))
 
@@ -56,9 +60,10 @@ QUERIES = {
     "op3_shard": op3_shard,
     "op4_pack": op4_pack,
     "op5_toxicity": op5_toxicity,
+    "op6_licenses": op6_licenses,
     "op7_quality": op7_quality,
     "op8_neardup": op8_neardup,
     "op9_langid": op9_langid,
     "op10_decontam": op10_decontam,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op6_licenses": licenses.oracle()}
