@@ -70,24 +70,26 @@ def label_index(df: DataFrame, col: str, labels: DataFrame, label_col: str, idx_
 
 def encode_words(df: DataFrame, key: str, words: str, vocab: DataFrame, word_col: str = "word",
                  id_col: str = "id") -> DataFrame:
-    """Token arrays to vocabulary ids, order kept: ``posexplode`` + equi join + ordered regroup.
-    Words missing from the vocabulary are dropped (the reference raises on them)."""
-    ex = df.select(key, F.posexplode(words).alias("_p", word_col))
-    j = ex.join(vocab.select(word_col, id_col), word_col, "inner")
-    return j.groupBy(key).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct(F.col("_p"), F.col(id_col)))), lambda s: s[id_col]).alias("ids")
-    )
+    """Token arrays to vocabulary ids, order kept: ``posexplode_outer`` + equi join + ordered regroup.
+    A row without tokens has an empty array; a word missing from the vocabulary is an error.  The
+    join is hinted, as an estimate of the exploded side from its arrays is far too small."""
+    ex = df.select(key, F.posexplode_outer(words).alias("_p", word_col))
+    j = ex.join(vocab.select(word_col, id_col).hint("merge"), word_col, "left")
+    known = F.when(F.col(word_col).isNotNull() & F.col(id_col).isNull(), F.raise_error(F.concat(F.lit("not in the vocabulary: "), F.col(word_col)))).otherwise(F.col(id_col))
+    pairs = j.select(key, F.struct(F.col("_p").alias("p"), known.alias("id")).alias("_s"))
+    listed = F.filter(F.array_sort(F.collect_list("_s")), lambda s: s["id"].isNotNull())
+    return pairs.groupBy(key).agg(F.transform(listed, lambda s: s["id"]).alias("ids"))
 
 
 def unkify(df: DataFrame, key: str, words: str, vocab: DataFrame, word_col: str = "word",
            unk: str = "*UNK*") -> DataFrame:
-    """Replace words outside the vocabulary by ``unk`` and rejoin the string with single blanks."""
-    ex = df.select(key, F.posexplode(words).alias("_p", "_w"))
+    """Replace words outside the vocabulary by ``unk`` and rejoin the string with single blanks; a
+    row without words gives the empty string."""
+    ex = df.select(key, F.posexplode_outer(words).alias("_p", "_w"))
     v = vocab.select(F.col(word_col).alias("_w"), F.lit(True).alias("_known")).distinct()
-    j = ex.join(v, "_w", "left").withColumn("_o", F.when(F.col("_known"), F.col("_w")).otherwise(F.lit(unk)))
-    return j.groupBy(key).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_p", "_o"))), lambda s: s["_o"]), " ").alias("text")
-    )
+    j = ex.join(v, "_w", "left").withColumn("_o", F.when(F.col("_known"), F.col("_w")).when(F.col("_w").isNotNull(), F.lit(unk)))
+    listed = F.array_sort(F.collect_list(F.struct("_p", "_o")))
+    return j.groupBy(key).agg(F.array_join(F.transform(listed, lambda s: s["_o"]), " ").alias("text"))
 
 
 def pending(todo: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -126,22 +128,28 @@ def asof_forward(grid: DataFrame, curve: DataFrame, x: str, y: str, by: Sequence
     """For each grid point x, the position of the first curve row whose running value ``y`` is
     >= x (null when none): ``searchsorted(y, x, side='left')``.
 
-    Generic form for arbitrary grids: the grid points are unioned with the curve rows, ordered by
-    value (grid points first at equal values, so a curve row equal to x is found) and each grid point takes the next curve row through
-    the nearest following curve row; no pairwise join.  ``by`` separates independent
-    curves; without it the union is ordered as one sequence."""
+    Grid points and curve rows are ordered by value together (grid points first at equal values), so
+    a grid point takes the next curve row's position.  The order is cut into contiguous chunks, the
+    partitions of a range partitioning that is written once; the answer comes from the point's own
+    chunk or else from the first later chunk with a curve row (a table of one row a chunk).  ``by``
+    separates independent curves."""
+    from tessera.session import cut_lineage
+
     g = grid.select(*by, F.col(x).cast("double").alias("_v"), F.lit(0).alias("_kind"),
                     F.col(x).alias("_x"), F.lit(None).cast("long").alias("_pos"))
     c = curve.select(*by, F.col(y).cast("double").alias("_v"), F.lit(1).alias("_kind"),
                      F.lit(None).cast(grid.schema[x].dataType).alias("_x"), F.col("pos").cast("long").alias("_pos"))
-    u = g.unionByName(c)
-    # the forward search is written as a running frame over the reversed order (a frame ending at
-    # the current row is evaluated incrementally; one reaching the end would be recomputed per row)
-    w = Window.partitionBy(*by).orderBy(F.desc("_v"), F.desc("_kind"), F.desc("_pos")).rowsBetween(
-        Window.unboundedPreceding, 0
-    )
-    out = u.withColumn("pos", F.last("_pos", ignorenulls=True).over(w))
-    return out.filter(F.col("_kind") == 0).select(*by, F.col("_x").alias(x), "pos")
+    order = [*by, "_v", "_kind", "_pos"]
+    u = cut_lineage(g.unionByName(c).repartitionByRange(*order).withColumn("_chunk", F.spark_partition_id()))
+    # a running frame over the reversed order ends at the current row, so it is evaluated incrementally
+    inside = Window.partitionBy(*by, "_chunk").orderBy(*[F.desc(k) for k in order[len(by):]]).rowsBetween(Window.unboundedPreceding, 0)
+    near = u.withColumn("pos", F.last("_pos", ignorenulls=True).over(inside)).filter(F.col("_kind") == 0)
+    firsts = u.filter(F.col("_kind") == 1).groupBy(*by, "_chunk").agg(F.min("_pos").alias("_first"))
+    open_chunks = near.filter(F.col("pos").isNull()).select(*by, "_chunk").distinct().withColumnRenamed("_chunk", "_own")
+    later = open_chunks.join(firsts, list(by)) if by else open_chunks.crossJoin(F.broadcast(firsts))  # chunks, not rows
+    later = later.filter(F.col("_chunk") > F.col("_own")).groupBy(*by, "_own").agg(F.min("_first").alias("_next"))
+    out = near.join(later.withColumnRenamed("_own", "_chunk"), [*by, "_chunk"], "left")
+    return out.select(*by, F.col("_x").alias(x), F.coalesce("pos", "_next").alias("pos"))
 
 
 def asof_forward_grid(curve: DataFrame, y: str, inc: str, n_points: int, step: float) -> DataFrame:
@@ -161,8 +169,8 @@ def asof_forward_grid(curve: DataFrame, y: str, inc: str, n_points: int, step: f
     return grid.join(hits, "k", "left").select((F.col("k") * step).alias("x"), "pos")
 
 
-def join_models(dfs: Sequence[DataFrame], key: str) -> DataFrame:
-    """Join the answers of several models on the request id into one row (chained equi joins)."""
+def join_answers(dfs: Sequence[DataFrame], key: str) -> DataFrame:
+    """Join the answers of several estimators on the request id into one row (chained equi joins)."""
     out = dfs[0]
     for d in dfs[1:]:
         out = out.join(d, key, "inner")

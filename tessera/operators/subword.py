@@ -4,7 +4,7 @@ Training round (repeated ``rounds`` times):
 
 1. every distinct token (with its corpus count) is escaped and split greedily against the current
    vocabulary; from each split start, all substrings to the end of the token receive the token's
-   count (pandas UDF per token, then ``explode`` + ``groupBy().sum()``);
+   count (the split is a pandas UDF, the substrings are ``explode`` + ``groupBy().sum()``);
 2. substrings below ``min_count`` are dropped; from the longest down, a substring whose count is
    still >= ``min_count`` is kept and its count is taken off all its proper prefixes.  A
    substring of length >= 2 only affects strings with the same first two characters, so this
@@ -24,45 +24,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.text import ESCAPE_CHARS, RESERVED_TOKENS, alnum_tokens, join_tokens, split_to_subtokens, unescape_py
-
-
-def escape_py(token: str, alphabet: set) -> str:
-    t = token.replace("\\", "\\\\").replace("_", "\\u")
-    return "".join(c if c in alphabet and c != "\n" else f"\\{ord(c)};" for c in t) + "_"
+from tessera.operators.text import ESCAPE_CHARS, RESERVED_TOKENS, alnum_tokens, escape_token, join_tokens, longest_match, subtokens, unescape_token
 
 
 def alphabet_of(token_counts: DataFrame, token: str = "token", reserved: Sequence[str] = RESERVED_TOKENS) -> list[str]:
-    """Characters of all tokens plus those of the reserved tokens and the escape characters (a
-    set bounded by the character repertoire)."""
-    chars = token_counts.select(F.explode(F.split(token, "")).alias("c")).where(F.col("c") != "").distinct()
-    found = {r.c for r in chars.collect()}
-    found |= {c for t in reserved for c in t}
-    found |= set(ESCAPE_CHARS)
-    return sorted(found)
+    """Characters of all tokens, of the reserved tokens and of escapes, sorted (a set bounded by the
+    character repertoire)."""
+    fixed = "".join(reserved) + ESCAPE_CHARS
+    found = token_counts.select(F.explode(F.split(F.col(token), "")).alias("c")).distinct().agg(
+        F.array_sort(F.array_union(F.collect_set("c"), F.split(F.lit(fixed), ""))).alias("a")
+    )
+    return [c for c in found.first()["a"] if c]
 
 
-def _substring_counts(token_counts: DataFrame, vocab: list[str], alphabet: list[str], max_len: int) -> DataFrame:
-    sc = token_counts.sparkSession.sparkContext
-    b_vocab = sc.broadcast(set(vocab))
-    b_alpha = sc.broadcast(set(alphabet))
+def _splitter(df: DataFrame, vocab: Sequence[str]):
+    """Escaped token to the array of its vocabulary entries."""
+    shared = df.sparkSession.sparkContext.broadcast(list(vocab))
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
-    def substrings(tokens: pd.Series) -> pd.Series:
-        voc, alpha = b_vocab.value, b_alpha.value
-        out = []
-        for tok in tokens:
-            t = escape_py(tok, alpha)
-            subs = split_to_subtokens(t, voc, max_len)
-            res, start = [], 0
-            for s in subs:
-                res.extend(t[start:end] for end in range(start + 1, len(t) + 1))
-                start += len(s)
-            out.append(res)
-        return pd.Series(out)
-
-    ex = token_counts.select(F.explode(substrings("token")).alias("sub"), "n")
-    return ex.groupBy("sub").agg(F.sum("n").alias("count"))
+    def split(tokens: pd.Series) -> pd.Series:
+        pattern = longest_match(shared.value)
+        return tokens.map(lambda t: subtokens(pattern, t))
+
+    return split
+
+
+def _constants(values: Sequence[str]):
+    return F.array(*[F.lit(v) for v in values])
+
+
+def _substring_counts(token_counts: DataFrame, vocab: list[str], alphabet: list[str]) -> DataFrame:
+    """Count of every substring that begins where the split of a token begins an entry."""
+    split = _splitter(token_counts, vocab)
+    t = token_counts.select(escape_token("token", _constants(alphabet)).alias("t"), "n")
+    lengths = t.withColumn("_l", F.transform(split("t"), F.length))
+    begins = F.transform("_l", lambda x, i: F.aggregate(F.slice("_l", 1, i), F.lit(1), lambda a, y: a + y))
+    starts = lengths.select("t", "n", F.explode(begins).alias("s"))
+    ends = F.explode(F.sequence(F.lit(1), F.length("t") - F.col("s") + 1)).alias("k")
+    subs = starts.select("t", "n", "s", ends).select(F.substr("t", F.col("s"), F.col("k")).alias("sub"), "n")
+    return subs.groupBy("sub").agg(F.sum("n").alias("count"))
 
 
 def _reduce_branch(min_count: int, alphabet: set, reserved: set):
@@ -88,8 +88,7 @@ def _reduce_branch(min_count: int, alphabet: set, reserved: set):
 
 def subword_round(token_counts: DataFrame, vocab: list[str], alphabet: list[str], min_count: int,
                   reserved: Sequence[str] = RESERVED_TOKENS) -> list[str]:
-    max_len = max(len(s) for s in vocab)
-    counts = _substring_counts(token_counts, vocab, alphabet, max_len).filter(F.col("count") >= 1)
+    counts = _substring_counts(token_counts, vocab, alphabet).filter(F.col("count") >= 1)
     alpha, res = set(alphabet), set(reserved)
     long_ = counts.filter((F.length("sub") >= 2) & (F.col("count") >= min_count))
     kept = long_.groupBy(F.substring("sub", 1, 2).alias("_p2")).applyInPandas(
@@ -122,20 +121,19 @@ def subword_vocab(token_counts: DataFrame, min_count: int, rounds: int = 4,
 
 def subword_search(token_counts: DataFrame, target: int, threshold: int, lo: int = 1, hi: int = 1000,
                    reserved: Sequence[str] = RESERVED_TOKENS) -> list[str]:
-    """Binary search of the minimum count for a vocabulary within ``threshold`` of ``target``
-    (the closest size tried otherwise)."""
-    token_counts = token_counts.select("token", "n").cache()
-
-    def bisect(a: int, b: int) -> list[str]:
-        cur = (a + b) // 2
-        voc = subword_vocab(token_counts, cur, reserved=reserved)
-        val = len(voc)
-        if abs(val - target) < threshold or a >= b or cur < 2:
-            return voc
-        other = bisect(cur + 1, b) if val > target else bisect(a, cur - 1)
-        return other if abs(len(other) - target) < abs(val - target) else voc
-
-    return bisect(lo, hi)
+    """The vocabulary within ``threshold`` of ``target`` entries, or else the closest of those tried
+    while the interval of minimum counts is halved."""
+    token_counts = token_counts.select("token", "n").persist()
+    tried: list[list[str]] = []
+    while lo <= hi:
+        count = (lo + hi) // 2
+        tried.append(subword_vocab(token_counts, count, reserved=reserved))
+        size = len(tried[-1])
+        if abs(size - target) < threshold or count < 2:
+            break
+        lo, hi = (count + 1, hi) if size > target else (lo, count - 1)
+    token_counts.unpersist()
+    return min(tried, key=lambda v: abs(len(v) - target))
 
 
 def vocab_frame(spark: SparkSession, vocab: Sequence[str]) -> DataFrame:
@@ -143,38 +141,29 @@ def vocab_frame(spark: SparkSession, vocab: Sequence[str]) -> DataFrame:
 
 
 def subword_encode(df: DataFrame, key: str, text: str, vocab: Sequence[str], add_eos: bool = False) -> DataFrame:
-    """Text to subtoken ids: alphanumeric split, then each distinct token is escaped and split once
-    (pandas UDF with the broadcast vocabulary) and joined back by position."""
-    sc = df.sparkSession.sparkContext
-    index = {s: i for i, s in enumerate(vocab)}
-    alphabet = {c for s in vocab for c in s}
-    max_len = max(len(s) for s in vocab)
-    b = sc.broadcast((index, alphabet, max_len))
-
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def encode_tokens(tokens: pd.Series) -> pd.Series:
-        idx, alpha, ml = b.value
-        return pd.Series([[idx[s] for s in split_to_subtokens(escape_py(t, alpha), idx, ml)] for t in tokens])
-
-    toks = df.select(key, F.posexplode(alnum_tokens(text)).alias("pos", "token"))
-    distinct = toks.select("token").distinct().withColumn("ids", encode_tokens("token"))
-    j = toks.join(distinct, "token")
-    enc = j.groupBy(key).agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("pos", "ids"))), lambda s: s["ids"])).alias("ids"))
-    if add_eos:
-        enc = enc.withColumn("ids", F.concat("ids", F.array(F.lit(1))))
-    return enc
+    """Text to subtoken ids: alphanumeric split, escape, greedy split of each distinct token (pandas
+    UDF with the broadcast vocabulary), joined back by position.  A text without a token has no ids
+    (but the end id, if asked for)."""
+    alphabet = sorted({c for s in vocab for c in s})
+    numbers = vocab_frame(df.sparkSession, vocab)
+    toks = df.select(key, F.posexplode_outer(alnum_tokens(text)).alias("pos", "token"))
+    distinct = toks.where(F.col("token").isNotNull()).select("token").distinct()
+    entries = distinct.select("token", escape_token("token", _constants(alphabet)).alias("t"))
+    entries = entries.select("token", F.posexplode(_splitter(df, vocab)("t")).alias("k", "subtoken"))
+    # bound of the broadcast: the vocabulary
+    ids = entries.join(F.broadcast(numbers), "subtoken").groupBy("token").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("k", "id"))), lambda x: x["id"]).alias("ids")
+    )
+    j = toks.join(ids.hint("merge"), "token", "left")
+    parts = F.filter(F.array_sort(F.collect_list(F.struct("pos", "ids"))), lambda x: x["ids"].isNotNull())
+    enc = j.groupBy(key).agg(F.flatten(F.transform(parts, lambda x: x["ids"])).alias("ids"))
+    return enc.withColumn("ids", F.concat("ids", F.array(F.lit(1)))) if add_eos else enc
 
 
 def subword_decode(df: DataFrame, ids: str, vocab: Sequence[str], out: str = "text") -> DataFrame:
     """Ids back to text: ids outside the vocabulary are dropped, subtokens joined, split on '_',
     each piece unescaped, tokens joined (blank only between alphanumeric tokens)."""
-    voc = F.array(*[F.lit(s) for s in vocab])
-    n = len(vocab)
-    pieces = F.transform(F.filter(F.col(ids), lambda i: (i >= 0) & (i < n)), lambda i: F.try_element_at(voc, i + 1))
+    voc = _constants(vocab)
+    pieces = F.transform(F.filter(F.col(ids), lambda i: (i >= 0) & (i < len(vocab))), lambda i: F.get(voc, i))
     parts = F.filter(F.split(F.array_join(pieces, ""), "_"), lambda s: s != "")
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def unescape_all(arrs: pd.Series) -> pd.Series:
-        return pd.Series([[unescape_py(t) for t in a] for a in arrs])
-
-    return df.withColumn(out, join_tokens(unescape_all(parts)))
+    return df.withColumn(out, join_tokens(F.transform(parts, unescape_token)))

@@ -77,7 +77,8 @@ def _words(df):
     "join_vocab_encode",
     f"""WITH w AS (SELECT doc_id, unnest({_WORDS_SQL}) AS word, unnest(range(len({_WORDS_SQL}))) AS p FROM documents),
             v AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS id FROM (SELECT DISTINCT word FROM w))
-       SELECT doc_id, list(id ORDER BY p) AS ids FROM w JOIN v USING (word) GROUP BY doc_id""",
+       SELECT documents.doc_id, coalesce(list(id ORDER BY p) FILTER (WHERE id IS NOT NULL), []) AS ids
+       FROM documents LEFT JOIN (SELECT w.doc_id, id, p FROM w JOIN v USING (word)) e USING (doc_id) GROUP BY documents.doc_id""",
 )
 def q_vocab_encode(spark, sf_dir):
     d = _words(table(spark, sf_dir, "documents"))
@@ -89,15 +90,15 @@ def q_vocab_encode(spark, sf_dir):
     "join_unknown_token",
     f"""WITH w AS (SELECT doc_id, unnest({_WORDS_SQL}) AS word, unnest(range(len({_WORDS_SQL}))) AS p FROM documents),
             v AS (SELECT DISTINCT unnest({_WORDS_SQL}) AS word FROM benchmark)
-       SELECT doc_id, string_agg(CASE WHEN v.word IS NULL THEN '*UNK*' ELSE w.word END, ' ' ORDER BY p) AS text
-       FROM w LEFT JOIN v ON w.word = v.word GROUP BY doc_id""",
+       SELECT d.doc_id, coalesce(string_agg(CASE WHEN w.word IS NULL THEN NULL WHEN v.word IS NULL THEN '*UNK*' ELSE w.word END, ' ' ORDER BY p), '') AS text
+       FROM documents d LEFT JOIN w ON d.doc_id = w.doc_id LEFT JOIN v ON w.word = v.word GROUP BY d.doc_id""",
 )
 def q_unkify(spark, sf_dir):
     d = _words(table(spark, sf_dir, "documents"))
     vocab = _words(table(spark, sf_dir, "benchmark").withColumnRenamed("item_id", "doc_id")).select(
         F.explode("words").alias("word")
     )
-    return C.unkify(d.filter(F.size("words") > 0), "doc_id", "words", vocab)
+    return C.unkify(d, "doc_id", "words", vocab)
 
 
 @register(
@@ -130,13 +131,14 @@ def q_range_bucket(spark, sf_dir):
     "join_asof_forward",
     """WITH c AS (SELECT row_number() OVER w - 1 AS pos, sum(l_quantity) OVER w AS y FROM lineitem
                   WINDOW w AS (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice ROWS UNBOUNDED PRECEDING)),
-            g AS (SELECT range * 5000.0 AS x FROM range(0, 320))
+            g AS (SELECT range * 5000.0 AS x FROM range(0, (SELECT CAST(floor(max(y) / 5000) AS BIGINT) + 2 FROM c)))
        SELECT g.x, (SELECT min(pos) FROM c WHERE c.y >= g.x) AS pos FROM g""",
 )
 def q_asof(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
     curve = running_sums(li, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"], {"y": F.col("l_quantity")}, index_name="pos")
-    return C.asof_forward_grid(curve, "y", "l_quantity", 320, 5000.0)
+    total = li.agg(F.sum("l_quantity")).first()[0] or 0
+    return C.asof_forward_grid(curve, "y", "l_quantity", int(total // 5000) + 2, 5000.0)
 
 
 @register(
@@ -182,7 +184,7 @@ def q_cross_grid(spark, sf_dir):
 def q_multi_model(spark, sf_dir):
     p = model_predictions(spark, sf_dir)
     parts = [p.filter(F.col("model") == m).select("vec_id", F.col("pred").alias(f"model_{m}")) for m in range(3)]
-    return C.join_models(parts, "vec_id")
+    return C.join_answers(parts, "vec_id")
 
 
 @register(

@@ -48,20 +48,19 @@ def q_join_tokens(spark, sf_dir):
 @register(
     "str_escape_token",
     """WITH a AS (SELECT list_distinct(flatten(list(string_split(text, '')))) || string_split('\\_u;0123456789', '') AS alphabet
-                  FROM documents WHERE lang = 'en'),
+                  FROM documents),
             t AS (SELECT DISTINCT unnest(list_filter(runs, lambda t, i: t <> ' ' OR i = 1 OR i = len(runs))) AS token
-                  FROM (SELECT regexp_extract_all(text, '[\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+') AS runs FROM benchmark))
+                  FROM (SELECT regexp_extract_all(html, '[\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+') AS runs FROM pages))
        SELECT token, array_to_string(list_transform(string_split(replace(replace(token, '\\', '\\\\'), '_', '\\u'), ''),
                 lambda c: CASE WHEN list_contains(alphabet, c) AND c <> chr(10) THEN c ELSE '\\' || unicode(c) || ';' END), '') || '_' AS escaped
        FROM t, a""",
 )
 def q_escape(spark, sf_dir):
-    """Escape the tokens of the benchmark texts against the alphabet of the English documents."""
-    en = _docs(spark, sf_dir).filter(F.col("lang") == "en")
-    alphabet = en.select(F.explode(F.split("text", "")).alias("c")).agg(
+    """Escape the tokens of the web pages against the alphabet of all documents."""
+    alphabet = _docs(spark, sf_dir).select(F.explode(F.split("text", "")).alias("c")).agg(
         F.array_union(F.collect_set("c"), F.split(F.lit(X.ESCAPE_CHARS), "")).alias("alphabet")
     )
-    toks = table(spark, sf_dir, "benchmark").select(F.explode(X.alnum_tokens("text")).alias("token")).distinct()
+    toks = table(spark, sf_dir, "pages").select(F.explode(X.alnum_tokens("html")).alias("token")).distinct()
     # the alphabet is one row of distinct characters (bounded by the character set)
     return toks.crossJoin(F.broadcast(alphabet)).select("token", X.escape_token("token", F.col("alphabet")).alias("escaped"))
 
@@ -197,8 +196,8 @@ def _rv(c):
 
 @register(
     "math_pixel_scale",
-    """SELECT vec_id, list_transform(embedding, lambda x: round(x::DOUBLE / 255.0, 6)) AS unit,
-              list_transform(embedding, lambda x: round(x::DOUBLE / 127.5 - 1.0, 6)) AS signed FROM embeddings""",
+    """SELECT vec_id, list_transform(embedding, lambda x: round(x::DOUBLE / 255.0, 6) + 0.0) AS unit,
+              list_transform(embedding, lambda x: round(x::DOUBLE / 127.5 - 1.0, 6) + 0.0) AS signed FROM embeddings""",
 )
 def q_pixel(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")

@@ -27,7 +27,7 @@ _MSG_SQL = """(SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS "part
     "st_kafka_range",
     f"""SELECT topic, "partition", "offset", value, 0 AS range_idx FROM {_MSG_SQL} WHERE topic = 'click' AND "offset" BETWEEN 0 AND 4
         UNION ALL SELECT topic, "partition", "offset", value, 1 FROM {_MSG_SQL} WHERE topic = 'click' AND "offset" >= 5
-        UNION ALL SELECT topic, "partition", "offset", value, 1000 FROM {_MSG_SQL} WHERE topic = 'error' AND "offset" >= 0""",
+        UNION ALL SELECT topic, "partition", "offset", value, 2 FROM {_MSG_SQL} WHERE topic = 'error' AND "offset" >= 0""",
 )
 def q_kafka_range(spark, sf_dir):
     m = _messages(spark, sf_dir)

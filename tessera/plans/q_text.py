@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import text as X
-from tessera.operators.text import bucket_bounds
 from tessera.plans.catalog import register
 from tessera.session import table
 
@@ -41,14 +40,40 @@ _LINES_SQL = """
 """
 
 
-@register("agg_token_counts", _LINES_SQL.format(limit=20000))
-def q_token_counts(spark, sf_dir):
+@register("agg_token_counts_limited", _LINES_SQL.format(limit=20000))
+def q_token_counts_limited(spark, sf_dir):
+    """The form with a budget of characters a source, spread evenly over its lines."""
     d = table(spark, sf_dir, "documents")
     lines = d.select("source", "doc_id", F.posexplode(F.split("text", "\n")).alias("ln", "line"))
     size = d.groupBy("source").agg(F.sum(F.octet_length("text") + 1).alias("size"))
     return X.token_counts(lines, "source", ["doc_id", "ln"], "line", 20000, size)
 
 
+@register(
+    "agg_token_counts",
+    """SELECT token, count(*) AS n FROM (
+         SELECT unnest(list_filter(runs, lambda t, i: t <> ' ' OR i = 1 OR i = len(runs))) AS token FROM (
+           SELECT regexp_extract_all(regexp_replace(line, '^\\s+|\\s+$', '', 'g'), '[\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+') AS runs FROM (
+             SELECT unnest(string_split(text, chr(10))) AS line FROM documents))) GROUP BY token""",
+)
+def q_token_counts(spark, sf_dir):
+    lines = table(spark, sf_dir, "documents").select("source", "doc_id", F.posexplode(F.split("text", "\n")).alias("ln", "line"))
+    return X.token_counts(lines, "source", ["doc_id", "ln"], "line")
+
+
+@register(
+    "agg_ngram_table",
+    """WITH w AS (SELECT conv_id, turn, list_filter(string_split(text, ' '), lambda t: t <> '') AS w FROM conversations),
+            g AS (SELECT conv_id, turn, o AS n_order, unnest(list_transform(range(1, greatest(len(w) - o + 2, 1)), lambda i: array_to_string(w[i:i + o - 1], ' '))) AS ngram
+                  FROM w, range(1, 5) r(o))
+       SELECT conv_id, turn, CAST(n_order AS INTEGER) AS "order", ngram, count(*) AS n FROM g GROUP BY ALL""",
+)
+def q_ngram_table(spark, sf_dir):
+    """Counts of the n-grams of order 1 to 4 of every conversation turn."""
+    c = table(spark, sf_dir, "conversations").select(F.struct("conv_id", "turn").alias("k"), F.filter(F.split("text", " "), lambda t: t != "").alias("w"))
+    return X.ngram_counts(c, "k", "w", 4).select("k.conv_id", "k.turn", "order", "ngram", "n")
+
+
 @register(
     "agg_vocab_sorted",
     f"SELECT word, row_number() OVER (ORDER BY word) - 1 AS id FROM (SELECT DISTINCT unnest({_WORDS_SQL}) AS word FROM documents)",
@@ -178,21 +203,21 @@ def q_rouge_l(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------------- corpus jobs
-def _bucket_sql(max_length):
-    lo, hi = bucket_bounds(max_length)
-    return "(VALUES " + ", ".join(f"({i}, {a}, {b}, {4096 // b})" for i, (a, b) in enumerate(zip(lo, hi))) + ") b(bucket, lo, hi, bs)"
-
-
 @register(
     "txt_length_batches",
-    f"""WITH d AS (SELECT doc_id, len({_WORDS_SQL}) AS n FROM documents),
-            b AS (SELECT doc_id, n, bucket, bs FROM d JOIN {_bucket_sql(2048)} ON n >= lo AND n < hi WHERE bs > 0),
+    f"""WITH RECURSIVE d AS (SELECT doc_id, len({_WORDS_SQL}) AS n FROM documents),
+            m AS (SELECT max(n) AS mx FROM d),
+            g(x) AS (SELECT {X.MIN_BOUNDARY}::BIGINT UNION ALL
+                     SELECT greatest(x + 1, CAST(floor(x::DOUBLE * {X.BOUNDARY_SCALE}::DOUBLE) AS BIGINT)) FROM g, m WHERE x < mx),
+            e AS (SELECT 0 AS lo UNION SELECT x FROM g, m WHERE x < mx),
+            o AS (SELECT CAST(row_number() OVER (ORDER BY lo) - 1 AS INTEGER) AS bucket, lo, coalesce(lead(lo) OVER (ORDER BY lo), mx + 1) AS hi FROM e, m),
+            b AS (SELECT doc_id, n, bucket, greatest(1, CAST(floor(4096 / hi) AS BIGINT)) AS bs FROM d JOIN o ON n >= lo AND n < hi),
             r AS (SELECT doc_id, n, bucket, CAST(floor((row_number() OVER (PARTITION BY bucket ORDER BY doc_id) - 1) / bs) AS BIGINT) AS batch FROM b)
        SELECT doc_id, bucket, batch, max(n) OVER (PARTITION BY bucket, batch) AS pad_to FROM r""",
 )
 def q_length_batches(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", F.size(lower_words()).alias("n"))
-    b = X.length_batches(d, "doc_id", F.col("n"), 4096, 2048)
+    b = X.length_batches(d, "doc_id", F.col("n"), 4096)
     return b.select("doc_id", "bucket", "batch", "pad_to")
 
 
@@ -202,11 +227,11 @@ def q_length_batches(spark, sf_dir):
                    SELECT c, count(*) AS n FROM (SELECT unnest(string_split(props, '')) AS c FROM events) WHERE c <> '' GROUP BY c)),
             e AS (SELECT event_id, unnest(string_split(props, '')) AS c, unnest(range(length(props))) AS p FROM events),
             ids AS (SELECT event_id, list(idx ORDER BY p) AS ids FROM e JOIN c USING (c) GROUP BY event_id)
-       SELECT event_id, list_slice(list_concat(list_transform(range(32), lambda x: 0), ids), len(ids) + 1, len(ids) + 32) AS ids FROM ids""",
+       SELECT event_id, list_slice(list_concat(list_transform(range(1024), lambda x: 0), ids), len(ids) + 1, len(ids) + 1024) AS ids FROM ids""",
 )
 def q_log_encode(spark, sf_dir):
     """Request text to fixed-length character ids: trained character index (falling frequency),
-    encode, pad / cut on the left to 32."""
+    encode, pad / cut on the left to 1024."""
     from tessera.functions.arrays import pad_left
     from tessera.operators.joins import encode_words
 
@@ -214,7 +239,7 @@ def q_log_encode(spark, sf_dir):
     idx = X.char_rank(ev, "props").select(F.col("char").alias("word"), F.col("idx").alias("id"))
     chars = ev.select("event_id", F.filter(F.split("props", ""), lambda c: c != "").alias("chars"))
     enc = encode_words(chars, "event_id", "chars", idx)
-    return enc.select("event_id", pad_left("ids", 32).alias("ids"))
+    return enc.select("event_id", pad_left("ids", 1024).alias("ids"))
 
 
 @register(
@@ -253,10 +278,10 @@ def q_subword_train(spark, sf_dir):
 
 @register("txt_subword_search")
 def q_subword_search(spark, sf_dir):
-    """Minimum count searched in 1..64 for a vocabulary of about 400 subtokens (threshold 50)."""
+    """Minimum count searched in 1..1000 for a vocabulary of about 400 subtokens (threshold 50)."""
     from tessera.operators import subword as SW
 
-    voc = SW.subword_search(_turn_token_counts(spark, sf_dir), 400, 50, 1, 64)
+    voc = SW.subword_search(_turn_token_counts(spark, sf_dir), 400, 50, 1, 1000)
     return SW.vocab_frame(spark, voc)
 
 

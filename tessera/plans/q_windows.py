@@ -188,30 +188,24 @@ def q_shard_blocks(spark, sf_dir):
 @register(
     "win_next_token_pairs",
     """SELECT doc_id, s AS start, w[s:s + 7] AS input, w[s + 1:s + 8] AS target FROM (
-         SELECT doc_id, w, CAST((doc_id * 7919) % (len(w) - 8) AS BIGINT) + 1 AS s FROM (
+         SELECT doc_id, w, unnest(range(1, len(w) - 7)) AS s FROM (
            SELECT doc_id, string_split(text, ' ') AS w FROM documents) WHERE len(w) > 8)""",
 )
 def q_next_token_pairs(spark, sf_dir):
-    """One training window per document at a position fixed by the document id (the reference
-    draws it at random); ``shifted_windows`` gives all positions."""
+    """The training windows of all positions of all documents."""
     d = table(spark, sf_dir, "documents").select("doc_id", F.split("text", " ").alias("w")).filter(F.size("w") > 8)
-    s = (F.pmod(F.col("doc_id") * 7919, F.size("w") - 8) + 1).cast("long")
-    return d.select(
-        "doc_id",
-        s.alias("start"),
-        F.slice("w", s.cast("int"), 8).alias("input"),
-        F.slice("w", (s + 1).cast("int"), 8).alias("target"),
-    )
+    every = d.select("doc_id", F.posexplode(W.shifted_windows("w", 8)).alias("p", "s"))
+    return every.select("doc_id", (F.col("p") + 1).cast("long").alias("start"), "s.input", "s.target")
 
 
 @register(
     "win_char_sequences",
     """SELECT doc_id, s AS start, substring(text, s + 1, 40) AS chars, substring(text, s + 41, 1) AS next_char FROM (
-         SELECT doc_id, text, unnest(range(0, length(text) - 40, 997)) AS s FROM documents WHERE length(text) > 40)""",
+         SELECT doc_id, text, unnest(range(0, length(text) - 40, 20)) AS s FROM documents WHERE length(text) > 40)""",
 )
 def q_char_sequences(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "text").filter(F.length("text") > 40)
-    return d.select("doc_id", F.explode(W.char_sequences("text", 40, 997)).alias("s")).select(
+    return d.select("doc_id", F.explode(W.char_sequences("text", 40, 20)).alias("s")).select(
         "doc_id", F.col("s.start").cast("bigint").alias("start"), "s.chars", "s.next_char"
     )
 

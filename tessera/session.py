@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,18 +34,22 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names a shared file system folder and is only read here.  When it
-    is unset (local tests) a private folder is created and registered."""
+    On a cluster this setting must name a folder of a shared file system; without it this raises, as
+    a folder of one machine would lose what other machines write.  Only a session with a local master,
+    as in tests, gets a private folder."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -52,6 +57,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, which need not share the driver's folders.  Once for
+    an application."""
+    context = spark.sparkContext
+    if getattr(context, "_tessera_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    handle, path = tempfile.mkstemp(prefix="tessera-", suffix=".zip")
+    os.close(handle)
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    context.addPyFile(path)
+    context._tessera_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder (never a machine-local temp folder)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
@@ -64,31 +88,11 @@ TEXT_TABLES = {"documents", "pages", "conversations", "benchmark"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one of the test tables (one parquet file each).  Text tables are spread over the
-    cores when the scan itself cannot be split."""
+    """Read one of the test tables.  A file of one row group can't be split by the partition size of
+    the scan; a text table with fewer partitions than cores is dealt out by its key."""
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread(df) if name in TEXT_TABLES else df
-
-
-def spread(df: DataFrame, min_bytes: int = 4 << 20) -> DataFrame:
-    """Hash-repartition (on the first, key column: deterministic, no sort) an input whose scan
-    yields fewer partitions than there are cores, e.g. a large file written as one row group.  On
-    a cluster, inputs of many files or row groups already scan in parallel and come back
-    unchanged, so no shuffle is added there; inputs under ``min_bytes`` are left alone too."""
-    spark = df.sparkSession
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= cores:
-            return df
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        size = 0
-        for f in df.inputFiles():
-            p = jvm.org.apache.hadoop.fs.Path(f)
-            size += p.getFileSystem(conf).getFileStatus(p).getLen()
-    except Exception:  # noqa: BLE001 - sizes unknown: keep the scan as it is
-        return df
-    return df.repartition(cores, df.columns[0]) if size >= min_bytes else df
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, df.columns[0]) if name in TEXT_TABLES and df.rdd.getNumPartitions() < cores else df
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -66,10 +66,11 @@ def read_files_base64(spark: SparkSession, path: str, glob: str = "*") -> DataFr
     return b.select(F.col("path").alias("filename"), F.base64("content").alias("b64"))
 
 
-def read_fixed_records(spark: SparkSession, path: str, rec_len: int, header_len: int, magic: int) -> DataFrame:
+def read_fixed_records(spark: SparkSession, path: str, rec_len: int, header_len: int, magic: int, trailer_len: int = 0) -> DataFrame:
     """Fixed-length binary records after a big-endian header whose first 4 bytes must equal
     ``magic``; bytes become pixels scaled to 0..1.  Files are split into records inside
-    ``mapInPandas`` (one file per task batch); a bad magic number fails the job."""
+    ``mapInPandas`` (one file per task batch), without ``trailer_len`` bytes at their end; a bad magic
+    number or a truncated record fails the job."""
     files = spark.read.format("binaryFile").load(path).select("path", "content")
 
     def split(it):
@@ -79,9 +80,11 @@ def read_fixed_records(spark: SparkSession, path: str, rec_len: int, header_len:
                 (m,) = struct.unpack(">i", bytes(content[:4]))
                 if m != magic:
                     raise ValueError(f"invalid magic number {m} in {p}")
-                body = np.frombuffer(bytes(content[header_len:]), dtype=np.uint8)
-                n = len(body) // rec_len
-                recs = body[: n * rec_len].reshape(n, rec_len).astype(np.float64) / 255.0
+                body = np.frombuffer(bytes(content[header_len : len(content) - trailer_len]), dtype=np.uint8)
+                n, rest = divmod(len(body), rec_len)
+                if rest:
+                    raise ValueError(f"truncated record at the end of {p}")
+                recs = body.reshape(n, rec_len).astype(np.float64) / 255.0
                 out_path += [p] * n
                 out_idx += list(range(n))
                 out_vals += [r.tolist() for r in recs]

@@ -37,12 +37,12 @@ def offset_range(messages: DataFrame, specs: Mapping[str, Sequence[tuple[int, in
     """The same selection over a message table (topic, partition, offset, value): several
     inclusive ranges per topic, -1 meaning to the end, joined in listed order."""
     parts = []
-    for i, (topic, ranges) in enumerate(specs.items()):
-        for j, (a, b) in enumerate(ranges):
+    for topic, ranges in specs.items():
+        for a, b in ranges:
             cond = (F.col("topic") == topic) & (F.col("offset") >= a)
             if b != -1:
                 cond = cond & (F.col("offset") <= b)
-            parts.append(messages.filter(cond).withColumn("range_idx", F.lit(i * 1000 + j)))
+            parts.append(messages.filter(cond).withColumn("range_idx", F.lit(len(parts))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -75,9 +75,12 @@ def input_batches(df: DataFrame, order: Sequence[str], k: int, drop_remainder: b
     return b.drop("_i", "_n", *(["_h"] if seed is not None else []))
 
 
-def file_stream(spark: SparkSession, folder: str, name: str, schema) -> DataFrame:
-    """Incremental read of one parquet table file of a folder."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").option("maxFilesPerTrigger", 1).parquet(folder)
+def file_stream(spark: SparkSession, folder: str, name: str, schema, files_per_trigger: int | None = None) -> DataFrame:
+    """Incremental read of one parquet table file of a folder; ``files_per_trigger`` limits a batch."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(folder)
 
 
 def drain_to_parquet(stream: DataFrame, spark: SparkSession, name: str, mode: str = "append") -> DataFrame:

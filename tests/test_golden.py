@@ -111,12 +111,12 @@ def test_zscore_sample(spark):
     assert r.zc == pytest.approx(16.25) and r.zd == pytest.approx(15.125) and r.c == "cat_lover"
 
 
-def test_sampled_gaussian_golden():
-    assert P.rdp_sampled_gaussian(0.1, 2, 5) * 10 == pytest.approx(0.07737, abs=1e-5)
-    vals = [P.rdp_sampled_gaussian(0.01, 2.5, a) * 50 for a in [1.5, 2.5, 5, 50, 100]]
-    assert vals == pytest.approx([0.00065, 0.001085, 0.00218075, 0.023846, 167.416307], abs=1e-5)
-    assert P.rdp_sampled_gaussian(0, 10, 20) == 0
-    assert P.rdp_sampled_gaussian(1, 10, 20) == pytest.approx(0.1)
+def test_sampled_gaussian_golden(spark):
+    runs = [(0.1, 2.0, 5.0, 10), *((0.01, 2.5, a, 50) for a in (1.5, 2.5, 5.0, 50.0, 100.0)), (0.0, 10.0, 20.0, 1), (1.0, 10.0, 20.0, 1)]
+    df = spark.createDataFrame(runs, "q double, noise double, order double, steps int").coalesce(1)
+    cost = P.rdp_sampled_gaussian(F.col("q"), F.col("noise"), F.col("order")) * F.col("steps")
+    vals = [r.v for r in df.select(cost.alias("v")).collect()]
+    assert vals == pytest.approx([0.07737, 0.00065, 0.001085, 0.00218075, 0.023846, 167.416307, 0.0, 0.1], abs=1e-5)
 
 
 def test_privacy_spent_golden(spark):
@@ -188,7 +188,7 @@ def test_subword_prefix_counts_and_round_trip(spark):
 
     tc = spark.createDataFrame([("abc", 5)], "token string, n long")
     alphabet = SW.alphabet_of(tc, "token", [])
-    counts = {r.sub: r["count"] for r in SW._substring_counts(tc, list(alphabet), alphabet, 1).collect()}
+    counts = {r.sub: r["count"] for r in SW._substring_counts(tc, list(alphabet), alphabet).collect()}
     assert counts == {s: 5 for s in ["a", "ab", "abc", "abc_", "b", "bc", "bc_", "c", "c_", "_"]}
     df = spark.createDataFrame([(0, "testing 123")], "k long, s string")
     enc = SW.subword_encode(df, "k", "s", ["123_", "test", "ing_"])
@@ -223,9 +223,14 @@ LS_THRESHOLD_2 = [
     1.16054002e-01, 9.01543247e-02, 6.45775697e-02, 3.94153241e-02, 1.47826870e-02, 1.48454129e-04] + [0] * 18
 
 
-def test_local_sensitivity_gnmax_golden():
-    assert P.local_sens_gnmax_py([10, 0, 0], 10, 0.5, 1.5) == pytest.approx(LS_GNMAX_RIGHT, rel=1e-6, abs=0)
-    assert P.local_sens_gnmax_py([1000, 500, 300, 200, 0], 2000, 250.0, 10.0) == pytest.approx(LS_GNMAX_LEFT, rel=1e-6, abs=0)
+@pytest.mark.parametrize(
+    "votes,teachers,sigma,order,expected",
+    [([10, 0, 0], 10, 0.5, 1.5, LS_GNMAX_RIGHT), ([1000, 500, 300, 200, 0], 2000, 250.0, 10.0, LS_GNMAX_LEFT)],
+)
+def test_local_sensitivity_gnmax_golden(spark, votes, teachers, sigma, order, expected):
+    df = spark.createDataFrame([(0, votes)], "k long, votes array<long>")
+    rows = P.local_sensitivity_gnmax(df, "k", "votes", teachers, sigma, order).orderBy("d").collect()
+    assert [r.ls for r in rows] == pytest.approx(expected, rel=1e-6, abs=1e-16)
 
 
 @pytest.mark.parametrize("t,expected", [(16.0, LS_THRESHOLD_16), (2.0, LS_THRESHOLD_2)])
