@@ -153,13 +153,13 @@ def train(texts: DataFrame, entries: int = ENTRIES, order: int = ORDER) -> list[
         if kept > entries:
             break
         least = r["n"]
-    pdf = every.where((F.col("n") >= least) | (F.col("k") == 0)).toPandas()
+    table = every.where((F.col("n") >= least) | (F.col("k") == 0)).toArrow()
+    of, code, n = (table[c].to_numpy() for c in ("k", "code", "n"))
     out = []
     for k in range(order + 1):
-        part = pdf[pdf["k"] == k]
-        code = part["code"].to_numpy().astype(np.uint64)
-        by = np.argsort(code)
-        out.append((code[by], part["n"].to_numpy()[by]))
+        at = np.flatnonzero(of == k)
+        at = at[np.argsort(code[at])]
+        out.append((code[at].astype(np.uint64), n[at]))
     return out
 
 
