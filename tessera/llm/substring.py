@@ -29,7 +29,7 @@ WIDTH = 35
 #: Words of a minimiser.
 TRIPLE = 3
 #: Words of a block of documents, and of a bucket on average.
-BLOCK_WORDS, BUCKET_WORDS = 1_000_000, 2_000_000
+BLOCK_WORDS, BUCKET_WORDS = 1_000_000, 1_000_000
 #: A triple is frequent if it is more than this share of all words; blocks report those they hold so often.
 FREQUENT_SHARE, FREQUENT_IN_BLOCK = 1 / (1 << 20), 24
 
