@@ -75,7 +75,7 @@ def features(docs: DataFrame, text: str = "text") -> DataFrame:
         (F.length(t) - without("!")).cast("long").alias("n_bangs"),
         (F.length(t) - without(MARKS)).cast("long").alias("n_marks"),
     )
-    out = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "_f"], F.explode(F.array(counts)).alias("_g"))
+    out = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.array(counts)).alias("_g"))
     flat = F.struct(*[F.coalesce(F.col(p).cast("long"), F.lit(0)).alias(p.split(".")[-1]) for p in (
         "_g.w.n_words", "_g.word_chars", "_g.n_symbols", "_g.l.n_dup_lines", "_g.w.n_repeat_words", "_g.l.n_lines",
         "_g.w.n_distinct", "_g.w.n_common", "_g.n_capitals", "_g.n_bangs", "_g.l.n_ended", "_g.n_marks", "_g.w.n_marked",
@@ -194,5 +194,8 @@ def quality_report(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that are kept, all columns as they are."""
-    model = fit(features(docs.select("text")).select(*[v.alias(k) for k, v in rules().items()]))
-    return judge(features(docs), model).where("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    names = {c: c if c == "text" else f"c{k}" for k, c in enumerate(docs.columns)}  # none that is used here
+    inner = docs.select(*[F.col(f"`{c}`").alias(x) for c, x in names.items()])
+    found = written(features(inner), "quality-documents")  # features once, beside their documents
+    model = fit(found.select(*[v.alias(k) for k, v in rules().items()]))
+    return judge(found, model).where("kept").select(*[F.col(x).alias(c) for c, x in names.items()])

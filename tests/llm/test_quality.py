@@ -43,7 +43,9 @@ def test_odd_rows(spark):
     df = spark.createDataFrame([(*r, True, 1) for r in rows], "doc_id long, text string, kept boolean, _f int")
     out = Counter(tuple(r[c] for c in ("doc_id", *COLUMNS)) for r in Q.quality_report(df).collect())
     assert out == Counter((i, *brute(t)) for i, t in rows)
-    assert Q.quality_report(df.limit(0)).count() == 0 and Q.keep_good(df.limit(0)).columns == df.columns
+    assert Q.quality_report(df.limit(0)).count() == 0 and Q.keep_good(df.limit(0)).dtypes == df.dtypes
+    good = spark.createDataFrame([(7, "The house of the man is old and it was built for the king. " * 3 + " ".join(f"Word{k} and more." for k in range(40)), True, 5)], df.schema)
+    assert [tuple(r) for r in Q.keep_good(good).select("doc_id", "kept", "_f").collect()] == [(7, True, 5)]
 
 
 def em(patterns, names, rounds=60):
