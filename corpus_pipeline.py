@@ -3,11 +3,13 @@ benchmark decontamination, packing.  Each stage works on all that the one before
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import decontam, neardup, packing, quality, substring
-from tessera.llm.common import documents, written
+from tessera.llm.common import discard, documents, noting, written
 from tessera.llm.queries import tokenizer_path
 
 
@@ -37,12 +39,31 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, tokenizer_path())
 
 
+_before: list[str] = []
+
+
+def _stage(function, first: bool = False):
+    """A stage that begins by deleting the intermediate tables of the stage before it, whose result
+    has been written by then; the first one has none before it."""
+
+    @functools.wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if not first:
+            discard(spark, _before)
+        with noting() as paths:
+            out = function(spark, docs, sf_dir)
+        _before[:] = paths
+        return out
+
+    return run_stage
+
+
 STAGES = [
-    ("quality_rules", quality_rules),
-    ("near_duplicates", near_duplicates),
-    ("repeated_passages", repeated_passages),
-    ("decontamination", decontamination),
-    ("packing", packed),
+    ("quality_rules", _stage(quality_rules, first=True)),
+    ("near_duplicates", _stage(near_duplicates)),
+    ("repeated_passages", _stage(repeated_passages)),
+    ("decontamination", _stage(decontamination)),
+    ("packing", _stage(packed)),
 ]
 
 #: No statement: expectation-maximisation and packing have no SQL form (tests/llm/test_pipeline.py).

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,17 +32,45 @@ def split_of(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)
 
 
+#: Where ``written`` notes its folders while a ``noting`` block runs.
+_noted: list[list[str]] = []
+
+
+def _folder(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` below the shared checkpoint folder and read it back.  The
     folder is deleted when the application ends."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    hadoop, files = _folder(spark, path)
+    files.deleteOnExit(hadoop)
+    if _noted:
+        _noted[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def noting() -> Iterator[list[str]]:
+    """The folders that ``written`` makes inside the block, for ``discard`` once they are read."""
+    paths: list[str] = []
+    _noted.append(paths)
+    try:
+        yield paths
+    finally:
+        _noted.pop()
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        hadoop, files = _folder(spark, path)
+        files.delete(hadoop, True)
+
+
 def let(value: Column, body) -> Column:
     """Bind ``value`` to a lambda variable, so that ``body`` evaluates it once per row."""
     return F.element_at(F.transform(F.array(value), body), 1)
