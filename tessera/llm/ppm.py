@@ -24,12 +24,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import split_of, words_of, written
+from tessera.llm.common import split_of, written
 
 #: Bytes of the longest context.
 ORDER = 6
 #: Byte strings in the model, over all lengths: the least count is the smallest that keeps so many.
-ENTRIES = 1 << 21
+ENTRIES = 1 << 20
+#: Characters of the texts that are counted, and scored, at once.
+COUNT_CHARS, SCORE_CHARS = 6_000_000, 1_500_000
 #: The end of a text, and what stands before it: a byte that UTF-8 doesn't use.
 END = 0xFF
 #: Words of a block and of a bucket; a word above this share of the corpus is frequent.
@@ -61,22 +63,27 @@ class Model:
         """tables[k]: sorted strings of k + 1 bytes and their counts; a string's shorter ends are there."""
         self.strings, self.counts, self.contexts = [], [], []
         self.total, self.kinds, self.rest, self.left = [], [], [], []
+        short = lambda x: x.astype(np.float32)  # noqa: E731  after all sums and differences
+        total = kinds = np.zeros(0)
         for k, (code, count) in enumerate(tables):
             context, place = np.unique(code >> np.uint64(8), return_inverse=True)
+            lower_total, lower_kinds = total, kinds
+            total = np.bincount(place, count, len(context))
+            kinds = np.bincount(place, minlength=len(context))
             self.strings.append(code)
-            self.counts.append(count.astype(np.float64))
+            self.counts.append(short(count))
             self.contexts.append(context)
-            self.total.append(np.bincount(place, count, len(context)))
-            self.kinds.append(np.bincount(place, minlength=len(context)).astype(np.float64))
+            self.total.append(short(total))
+            self.kinds.append(short(kinds))
             if k:  # what the next shorter context has besides the bytes of this one
                 lower = code & np.uint64((1 << 8 * k) - 1)
-                seen = self.counts[k - 1][np.searchsorted(self.strings[k - 1], lower)]
+                seen = tables[k - 1][1][np.searchsorted(self.strings[k - 1], lower)]
                 parent = np.searchsorted(self.contexts[k - 1], context & np.uint64((1 << 8 * (k - 1)) - 1))
-                self.rest.append(self.total[k - 1][parent] - np.bincount(place, seen, len(context)))
-                self.left.append(self.kinds[k - 1][parent] - self.kinds[k])
+                self.rest.append(short(lower_total[parent] - np.bincount(place, seen, len(context))))
+                self.left.append(short(lower_kinds[parent] - kinds))
             else:
-                self.rest.append(np.zeros(len(context)))
-                self.left.append(256.0 - self.kinds[0])
+                self.rest.append(short(np.zeros(len(context))))
+                self.left.append(short(256 - kinds))
 
     @staticmethod
     def _find(table: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -133,12 +140,22 @@ def _texts(batches: Iterator[pd.DataFrame], limit: int) -> Iterator[pd.DataFrame
                 yield pdf.iloc[a:b]
 
 
+_LAST: list = [None, None]
+
+
+def _model(tables: list) -> Model:
+    """The model of a broadcast, built once by a worker; the tables are kept to know them again."""
+    if _LAST[0] is not tables:
+        _LAST[:] = tables, Model(tables)
+    return _LAST[1]
+
+
 def train(texts: DataFrame, entries: int = ENTRIES, order: int = ORDER) -> list[tuple[np.ndarray, np.ndarray]]:
     """Tables of the model from all rows of (text).  The driver gets ``entries`` strings at most (and
     the single bytes)."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in _texts(batches, 12_000_000):
+        for pdf in _texts(batches, COUNT_CHARS):
             code, n = np.unique(strings([lowered(t) for t in pdf["text"]], order)[0], return_counts=True)
             yield pd.DataFrame({"code": code.astype(np.int64), "n": n})
 
@@ -170,7 +187,7 @@ def _blocks(batches: Iterator[pd.DataFrame], limit: int) -> Iterator[tuple[list[
     one, two, held, texts, n = [], [], [], [], 0
     for pdf in batches:
         for a, b, h, t in zip(pdf["_k1"], pdf["_k2"], pdf["held_out"], pdf["text"], strict=True):
-            w = words_of(t and t.translate(_LOWER))
+            w = lowered(t).split()
             one.append(a)
             two.append(b)
             held.append(h)
@@ -183,9 +200,6 @@ def _blocks(batches: Iterator[pd.DataFrame], limit: int) -> Iterator[tuple[list[
         yield one, two, np.array(held, bool), texts
 
 
-_LOWER = {c: c + 32 for c in range(65, 91)}
-
-
 class Counted:
     """Words of a block as numbers, with the document of each."""
 
@@ -320,10 +334,10 @@ def score_documents(docs: DataFrame, entries: int = ENTRIES) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts, train_docs, tables = shared.value
-        model = Model(tables)
+        model = _model(tables)
         value = {w: math.log10(c + 0.1) for w, c in counts.items()}
         known = {w for w, c in counts.items() if c}
-        for pdf in _texts(batches, 6_000_000):
+        for pdf in _texts(batches, SCORE_CHARS):
             low = [lowered(t) for t in pdf["text"]]
             sums, seen, size = [], [], []
             for t in low:
