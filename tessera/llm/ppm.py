@@ -1,10 +1,14 @@
 """Language-model scores: prediction by partial matching over bytes, beside a unigram word model.
 
-Training counts all byte strings of ORDER + 1 bytes, in tasks and then over the corpus, and keeps the
-frequent ones of each length, so the model has a bounded size.  A byte is predicted in the longest
-known context; if it is new there, the escape estimate is paid (method D: each follower of a context
-gives half an occurrence to its escape) and the next shorter context predicts it, without the bytes
-that the longer one has excluded.
+Training counts all byte strings of up to ORDER + 1 bytes.  A byte is predicted in the longest known
+context; if it is new there, the escape estimate is paid (method D: each follower of a context gives
+half an occurrence to its escape) and the next shorter context predicts it, without the bytes that the
+longer one has excluded.
+
+The model grows with the corpus, so no task holds it.  Blocks of documents ship their distinct strings,
+with the training counts, to buckets by the last SUFFIX bytes of the context: all longer contexts with
+that end are in one bucket, and the strings of up to SUFFIX bytes are a bounded table, which is
+broadcast.  A bucket adds up the counts, predicts its strings and returns their values to each block.
 
 The unigram model needs the count of every word.  Blocks of documents ship their distinct words to
 buckets by hash, each with the documents it is in; a bucket knows its words' counts, so it adds up its
@@ -16,6 +20,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,11 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import split_of, written
+from tessera.llm.shingles import mix
 
 #: Bytes of the longest context.
 ORDER = 6
-#: Byte strings in the model, over all lengths: the least count is the smallest that keeps so many.
-ENTRIES = 1 << 20
+#: Last bytes of a context that choose its bucket.
+SUFFIX = 3
+#: Characters of the texts in a block of strings, and for each bucket; strings predicted at once.
+STRING_CHARS, BUCKET_CHARS, PREDICTED = 6_000_000, 8_000_000, 1 << 18
 #: Characters of the texts that are counted, and scored, at once.
 COUNT_CHARS, SCORE_CHARS = 6_000_000, 1_500_000
 #: The end of a text, and what stands before it: a byte that UTF-8 doesn't use.
@@ -51,9 +59,11 @@ def strings(texts: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndar
     first = np.cumsum(sizes + order) - sizes - order
     code = np.zeros(max(0, len(raw) - order), np.uint64)
     for k in range(order + 1):
-        code = (code << np.uint64(8)) | raw[k : len(raw) - order + k]
-    starts = np.cumsum(sizes) - sizes
-    return code[np.repeat(first - starts, sizes) + np.arange(sizes.sum())], starts
+        code <<= np.uint64(8)
+        code |= raw[k : len(raw) - order + k]
+    inside = np.ones(len(code) + order, bool)  # what ends in the bytes before a text doesn't count
+    inside[((first + sizes)[:, None] + np.arange(order)).ravel()] = False
+    return code[inside[: len(code)]], np.cumsum(sizes) - sizes
 
 
 class Model:
@@ -150,9 +160,9 @@ def _model(tables: list) -> Model:
     return _LAST[1]
 
 
-def train(texts: DataFrame, entries: int = ENTRIES, order: int = ORDER) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Tables of the model from all rows of (text).  The driver gets ``entries`` strings at most (and
-    the single bytes)."""
+def train(texts: DataFrame, entries: int | None = None, order: int = ORDER) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Tables of the model from all rows of (text).  The driver gets all strings, or with ``entries``
+    the most frequent ones, so many at most (and the single bytes)."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in _texts(batches, COUNT_CHARS):
@@ -163,13 +173,15 @@ def train(texts: DataFrame, entries: int = ENTRIES, order: int = ORDER) -> list[
     ends = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col("code").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("code")) for k in range(order + 1)]))
     every = longest.select(ends.alias("e"), "n").groupBy("e.k", "e.code").agg(F.sum("n").alias("n"))
     every = written(every, "ppm-strings")
-    sizes = every.groupBy(F.floor(F.log2("n") * 8).alias("b")).agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("n")).orderBy(F.desc("b")).collect()
-    least, kept = 1 << 62, 0
-    for r in sizes:
-        kept += r["c"]
-        if kept > entries:
-            break
-        least = r["n"]
+    least = 0
+    if entries is not None:
+        sizes = every.groupBy(F.floor(F.log2("n") * 8).alias("b")).agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("n")).orderBy(F.desc("b")).collect()
+        least, kept = 1 << 62, 0
+        for r in sizes:
+            kept += r["c"]
+            if kept > entries:
+                break
+            least = r["n"]
     table = every.where((F.col("n") >= least) | (F.col("k") == 0)).toArrow()
     of, code, n = (table[c].to_numpy() for c in ("k", "code", "n"))
     out = []
@@ -180,6 +192,157 @@ def train(texts: DataFrame, entries: int = ENTRIES, order: int = ORDER) -> list[
     return out
 
 
+# --- the whole model, in buckets ---
+
+
+def _suffix_bucket(code: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each string by the last SUFFIX bytes of its context."""
+    end = (code >> np.uint64(8)) & np.uint64((1 << 8 * SUFFIX) - 1)
+    return (mix(end) % np.uint64(buckets)).astype(np.int64)
+
+
+def _planes(a: np.ndarray) -> bytes:
+    """Compressed, all first bytes before all second bytes and so on."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes())
+
+
+def _unplaned(x: bytes, t: type) -> np.ndarray:
+    import zstandard
+
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint8)
+    return np.ascontiguousarray(raw.reshape(np.dtype(t).itemsize, -1).T).view(t).ravel()
+
+
+def _by_bucket(code: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
+    """Places of sorted strings in each bucket, in order."""
+    to = _suffix_bucket(code, buckets)
+    by = np.argsort(to, kind="stable")
+    return [(int(to[g[0]]), g) for g in np.split(by, np.flatnonzero(np.diff(to[by])) + 1)] if len(by) else []
+
+
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct strings and their counts."""
+    code, n = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+    order = np.argsort(code, kind="stable")
+    code, n = code[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+    return code[first], np.add.reduceat(n, first)
+
+
+def _values(code: np.ndarray, n: np.ndarray, short: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Log10 probabilities of a bucket's sorted strings (``n``: training counts, 0 for the others)."""
+    known, tables = n > 0, list(short)
+    for k in range(SUFFIX, ORDER + 1):
+        end = code[known] & np.uint64((1 << 8 * (k + 1)) - 1)
+        tables.append(_added([(end, n[known])]) if len(end) else (end, n[known]))
+    model = Model(tables)
+    return np.concatenate([model.log10(code[a : a + PREDICTED]) for a in range(0, len(code), PREDICTED)]).astype(np.float32)
+
+
+STRINGS = "bucket int, block long, codes binary, counts binary, rows binary, texts binary"
+VALUES = "block long, bucket int, vals binary, rows binary, texts binary"
+
+
+def _predicted(keyed: DataFrame, short: list[tuple[np.ndarray, np.ndarray]], buckets: int) -> DataFrame:
+    """Two kinds of rows for each block: the values of its strings of a bucket, and its documents."""
+    shared = keyed.sparkSession.sparkContext.broadcast(short)
+
+    def ship(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import zstandard
+
+        part = TaskContext.get().partitionId()
+        for number, pdf in enumerate(_joined(batches, STRING_CHARS)):
+            me = part * (1 << 32) + number
+            low, held = [lowered(t) for t in pdf["text"]], pdf["held_out"].to_numpy(bool)
+            rows = np.column_stack([np.asarray(x, np.int64) for x in (pdf["_k1"], pdf["_k2"], pdf["doc_id"], pdf["_none"], held, [len(t) for t in low])])
+            out = [(me % buckets, me, None, None, rows.tobytes(), zstandard.ZstdCompressor(level=1).compress(b"".join(low)))]
+            code, starts = strings(low)
+            code <<= np.uint64(1)
+            code |= np.repeat(held.astype(np.uint8), np.diff(starts, append=len(code)))
+            code.sort()
+            learnt = (code & np.uint64(1)) == 0
+            code >>= np.uint64(1)
+            first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+            code, n = code[first], np.add.reduceat(learnt.astype(np.int32), first)
+            for k, at in _by_bucket(code, buckets):
+                out.append((k, me, _planes(np.diff(code[at], prepend=np.uint64(0))), _planes(n[at].astype(np.int32)), None, None))
+            for a in range(0, len(out), 64):
+                yield pd.DataFrame(out[a : a + 64], columns=[c.split()[0] for c in STRINGS.split(", ")])
+
+    def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = [c.split()[0] for c in VALUES.split(", ")]
+        now, parts, size, least, spill = None, [], 0, 1 << 20, None
+
+        def end() -> Iterator[pd.DataFrame]:
+            code, n = _added(parts)
+            value = _values(code, n, shared.value)
+            spill.seek(0)
+            while head := spill.read(16):
+                block, length = np.frombuffer(head, np.int64).tolist()
+                x = np.cumsum(_unplaned(spill.read(length), np.uint64), dtype=np.uint64)
+                yield pd.DataFrame([(block, now, _planes(value[np.searchsorted(code, x)]), None, None)], columns=columns)
+            spill.close()
+
+        for pdf in batches:
+            for r in pdf.itertuples():
+                if r.codes is None:
+                    yield pd.DataFrame([(r.block, r.bucket, None, r.rows, r.texts)], columns=columns)
+                    continue
+                if r.bucket != now:
+                    if parts:
+                        yield from end()
+                    now, parts, size, least, spill = r.bucket, [], 0, 1 << 20, tempfile.TemporaryFile()  # noqa: SIM115
+                spill.write(np.array([r.block, len(r.codes)], np.int64).tobytes() + r.codes)
+                parts.append((np.cumsum(_unplaned(r.codes, np.uint64), dtype=np.uint64), _unplaned(r.counts, np.int32).astype(np.int64)))
+                size += len(parts[-1][0])
+                if size > least:  # the shipped counts never stay, only those of distinct strings
+                    parts = [_added(parts)]
+                    size = len(parts[0][0])
+                    least = max(1 << 20, 2 * size)
+        if parts:
+            yield from end()
+
+    sent = keyed.withColumn("_none", F.col("doc_id").isNull()).fillna(0, ["doc_id"]).mapInPandas(ship, STRINGS)
+    return sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInPandas(predict, VALUES)
+
+
+def _joined(batches: Iterator[pd.DataFrame], limit: int) -> Iterator[pd.DataFrame]:
+    """Rows of one partition in blocks of about ``limit`` characters."""
+    held, size = [], 0
+    for pdf in _texts(batches, limit):
+        held.append(pdf)
+        size += int(pdf["text"].map(lambda t: len(t) if t else 0).sum())
+        if size >= limit:
+            yield pd.concat(held, ignore_index=True)
+            held, size = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _block_scores(pdf: pd.DataFrame, buckets: int) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Rows (both keys, id, id is null, held out, bytes), texts and log10 probabilities of a block."""
+    import zstandard
+
+    own = pdf.loc[pdf["rows"].notna()].iloc[0]
+    rows = np.frombuffer(own["rows"], np.int64).reshape(-1, 6)
+    body, ends = zstandard.ZstdDecompressor().decompress(own["texts"]), np.cumsum(rows[:, 5])
+    low = [body[a:b] for a, b in zip((ends - rows[:, 5]).tolist(), ends.tolist(), strict=True)]
+    whole, starts = strings(low)
+    code = np.sort(whole)
+    code = code[np.concatenate([[True], code[1:] != code[:-1]])]
+    got = {int(b): v for b, v in zip(pdf["bucket"], pdf["vals"], strict=True) if v is not None}
+    value = np.empty(len(code))
+    for k, at in _by_bucket(code, buckets):
+        value[at] = _unplaned(got[k], np.float32)
+    each = np.empty(len(whole))
+    for a in range(0, len(whole), PREDICTED):
+        x, place = np.unique(whole[a : a + PREDICTED], return_inverse=True)
+        each[a : a + PREDICTED] = value[np.searchsorted(code, x)][place]
+    return rows, low, np.add.reduceat(each, starts)
+
+
 # --- the unigram model ---
 
 
@@ -313,11 +476,12 @@ def _gather(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"_k1": keys[:, 0], "_k2": keys[:, 1], "_sum": total, "_known": known})
 
 
-def score_documents(docs: DataFrame, entries: int = ENTRIES) -> DataFrame:
+def score_documents(docs: DataFrame, entries: int | None = None) -> DataFrame:
     """Learn from the documents whose crc32 of the id mod 10 is not 0, score all of (doc_id, text;
     other columns are ignored): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score,
     bits_per_byte.  A null text is empty (its one token is the end); with nothing to learn from, all
-    bytes are as likely; repeated rows score alike and an empty table gives no rows."""
+    bytes are as likely; repeated rows score alike and an empty table gives no rows.  The model has all
+    strings; with ``entries`` it is the most frequent ones, broadcast."""
     text, ident = F.coalesce(F.col("text"), F.lit("")), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", (split_of(F.col("doc_id"), 10) == 0).alias("held_out"),
@@ -330,26 +494,45 @@ def score_documents(docs: DataFrame, entries: int = ENTRIES) -> DataFrame:
     distinct = (shares.where((F.col("block") == -1) & F.col("word").isNull()).agg(F.sum("c")).first()[0] or 0) + (train_docs > 0)
     tokens = train_words + train_docs
     base = math.log10(tokens + 0.1 * (distinct + 1))
-    shared = context.broadcast((counts, train_docs, train(keyed.where(~F.col("held_out")), entries)))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts, train_docs, tables = shared.value
-        model = _model(tables)
+    learnt = keyed.where(~F.col("held_out"))
+    tables = train(learnt, entries) if entries is not None else train(learnt, order=SUFFIX - 1)
+    shared = context.broadcast((counts, train_docs, tables if entries is not None else None))
+    size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    buckets = max(1, size // BUCKET_CHARS)
+
+    def words(low: list[bytes]) -> dict[str, list]:
+        counts, train_docs, _ = shared.value
         value = {w: math.log10(c + 0.1) for w, c in counts.items()}
         known = {w for w, c in counts.items() if c}
+        sums, seen, size = [], [], []
+        for t in low:
+            w = t.split()
+            sums.append(sum([value[x] for x in w if x in value]) + math.log10(train_docs + 0.1))
+            seen.append(sum([x in known for x in w]) + (train_docs > 0))
+            size.append(len(w) + 1)
+        return {"n_tokens": size, "_often": sums, "_seen": seen}
+
+    def bits(p: np.ndarray, low: list[bytes]) -> np.ndarray:
+        return -p / math.log10(2) / np.array([len(t) + 1 for t in low])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = _model(shared.value[2])
         for pdf in _texts(batches, SCORE_CHARS):
             low = [lowered(t) for t in pdf["text"]]
-            sums, seen, size = [], [], []
-            for t in low:
-                w = t.split()
-                sums.append(sum([value[x] for x in w if x in value]) + math.log10(train_docs + 0.1))
-                seen.append(sum([x in known for x in w]) + (train_docs > 0))
-                size.append(len(w) + 1)
             p = model.score(low)
-            bits = -p / math.log10(2) / np.array([len(t) + 1 for t in low])
-            yield pdf[["doc_id", "held_out", "_k1", "_k2"]].assign(n_tokens=size, _often=sums, _seen=seen, score=p, bits_per_byte=bits)
-
-    scored = keyed.mapInPandas(run, "doc_id long, held_out boolean, _k1 long, _k2 long, n_tokens long, _often double, _seen long, score double, bits_per_byte double")
+            yield pdf[["doc_id", "held_out", "_k1", "_k2"]].assign(**words(low), score=p, bits_per_byte=bits(p, low))
+
+    def whole(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows, low, p = _block_scores(pdf, buckets)
+        ids = pd.Series(rows[:, 2]).astype("Int64").mask(rows[:, 3] == 1)
+        out = pd.DataFrame({"doc_id": ids, "held_out": rows[:, 4] == 1, "_k1": rows[:, 0], "_k2": rows[:, 1]})
+        return out.assign(**words(low), score=p, bits_per_byte=bits(p, low))
+
+    schema = "doc_id long, held_out boolean, _k1 long, _k2 long, n_tokens long, _often double, _seen long, score double, bits_per_byte double"
+    if entries is None:
+        scored = _predicted(keyed, tables, buckets).groupBy("block").applyInPandas(whole, schema)
+    else:
+        scored = keyed.mapInPandas(run, schema)
     rest = shares.where("block >= 0").groupBy("block").applyInPandas(_gather, "_k1 long, _k2 long, _sum double, _known long")
     rest = rest.groupBy("_k1", "_k2").agg(F.max("_sum").alias("_sum"), F.max("_known").alias("_known"))
     return scored.join(rest, ["_k1", "_k2"], "left").select(

@@ -128,3 +128,32 @@ def test_few_entries_and_nothing_to_learn(spark):
     assert {r["doc_id"]: r["score"] for r in got} == pytest.approx({held[0]: -3 * math.log10(256), held[1]: -math.log10(256)})
     assert all(r["base_score"] == pytest.approx(0) and r["n_known"] == 0 for r in got)
     assert P.score_documents(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("block,bucket", [(6_000_000, 16_000_000), (900, 700)])
+def test_whole_model_in_buckets(spark, monkeypatch, block, bucket):
+    monkeypatch.setattr(P, "STRING_CHARS", block)
+    monkeypatch.setattr(P, "BUCKET_CHARS", bucket)
+    r = random.Random(8)
+    rows = [(i, "".join(r.choices(["The ", "of", "é", "x", "\n", "aba", "rest "], k=r.randrange(40)))) for i in range(150)]
+    rows += [(7, rows[7][1]), (None, "The end"), (None, None), (500, None), (501, "")]
+    out = P.score_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0
+    model = model_of(plain_tables([P.lowered(t) for i, t in rows if not held(i)], P.ORDER))
+    want = sorted(((i is None, i or 0, held(i), float(model.score([P.lowered(t)])[0])) for i, t in rows))
+    got = sorted((x["doc_id"] is None, x["doc_id"] or 0, x["held_out"], x["score"]) for x in out)
+    for a, b in zip(got, want, strict=True):
+        assert a[:3] == b[:3] and a[3] == pytest.approx(b[3])
+
+
+def test_default_model_has_every_string(spark):
+    # 1,243,709 strings at sf0.01: more than a model of 2^20 entries holds
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    out = {r["doc_id"]: r for r in P.score_documents(docs).collect()}
+    code, _ = P.strings([P.lowered(t) for i, t in rows if not out[i]["held_out"]])
+    tables = [np.unique(code & np.uint64((1 << 8 * (k + 1)) - 1), return_counts=True) for k in range(P.ORDER + 1)]
+    assert sum(len(c) for c, _ in tables) > 1 << 20
+    model = P.Model(tables)
+    for i, t in rows:
+        assert out[i]["score"] == pytest.approx(model.score([P.lowered(t)])[0])
