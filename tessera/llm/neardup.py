@@ -27,8 +27,8 @@ from tessera.llm.shingles import mix, shingle_sets
 PERCENT = 75
 #: A pair at 0.75 shares no band with a probability of about (1 - 0.75 ** ROWS) ** BANDS = 3e-7.
 BANDS, ROWS = 40, 4
-#: Edges that one copy of a star's centre is compared with; bytes of the sets in a block.
-FAN, BLOCK_BYTES = 2000, 8 << 20
+#: Edges that one copy of a star's centre is compared with; bytes and number of the sets in a block.
+FAN, BLOCK_BYTES, BLOCK_MEMBERS = 2000, 8 << 20, 2000
 #: Bits of the filter that spares documents without a candidate a second pass.
 FILTER_BITS = 1 << 25
 
@@ -153,13 +153,17 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _unlinked_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of different components in one bucket that may be links, from blocks of bounded size."""
-    blocks = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.sum("n").alias("size")).where("lo <> hi")
-    cut = F.ceil(F.col("size") * 4 / BLOCK_BYTES).cast("int")
+def _blocked(members: DataFrame) -> DataFrame:
+    """The members of buckets with several components, once for each pair (i, j) of blocks they are in."""
+    blocks = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("c")).where("lo <> hi")
+    cut = F.greatest(F.ceil(F.col("size") * 4 / BLOCK_BYTES), F.ceil(F.col("c") / BLOCK_MEMBERS)).cast("int")
     m = members.join(blocks.select("key", cut.alias("cut")), "key").withColumn("own", F.pmod(F.hash("id"), F.col("cut")))
     m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)))
-    m = m.select("key", "id", "component", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    return m.select("key", "id", "component", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+
+def _unlinked_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of different components in one bucket that may be links, from blocks of bounded size."""
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         ids, comp, own = pdf["id"].to_numpy(), pdf["component"].to_numpy(), pdf["own"].to_numpy()
@@ -179,15 +183,21 @@ def _unlinked_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
             x = np.zeros((len(sets), min(step, wide - lo)), np.float32)
             x[doc[s:e], column[s:e] - lo] = 1
             both += x @ x.T
-        # sets cut to 32 bits may be a few too small, so the limit is a little lower
-        near = (both + 2) * 100 >= PERCENT * (size[:, None] + size[None, :] - both - 2)
-        near &= comp[:, None] != comp[None, :]
-        if pdf["i"].iloc[0] != pdf["j"].iloc[0]:  # pairs inside a block have their own group
-            near &= own[:, None] != own[None, :]
-        a, b = np.nonzero(np.triu(near, 1))
+        apart = pdf["i"].iloc[0] != pdf["j"].iloc[0]  # pairs inside a block have their own group
+        pairs = []
+        for lo in range(0, len(sets), 256):
+            r = slice(lo, lo + 256)
+            # sets cut to 32 bits may be a few too small, so the limit is a little lower
+            near = (both[r] + 2) * 100 >= PERCENT * (size[r, None] + size[None, :] - both[r] - 2)
+            near &= comp[r, None] != comp[None, :]
+            if apart:
+                near &= own[r, None] != own[None, :]
+            x, y = np.nonzero(np.triu(near, lo + 1))
+            pairs.append((x + lo, y))
+        a, b = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
         return pd.DataFrame({"a": np.minimum(ids[a], ids[b]), "b": np.maximum(ids[a], ids[b])})
 
-    rows = m.join(sets.select("id", "low"), "id")
+    rows = _blocked(members).join(sets.select("id", "low"), "id")
     return rows.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").where("a <> b").distinct()
 
 

@@ -104,3 +104,16 @@ def test_odd_rows(spark):
     assert N.near_duplicates(df.limit(0)).count() == 0
     kept = N.keep_first(df)
     assert kept.columns == df.columns and Counter(r["doc_id"] for r in kept.collect()) == Counter({None: 3, 1: 1, 2: 1, 3: 1})
+
+
+def test_blocks_are_bounded_by_members(spark, monkeypatch):
+    # 12,000 small sets in one bucket: 32 shingles each are 1.5 MB, far below BLOCK_BYTES
+    members = spark.range(12_000).selectExpr("1L as key", "id", "id as component", "32L as n")
+    blocks = N._blocked(members).groupBy("i", "j").count().collect()
+    assert max(r["count"] for r in blocks) <= 4400 and {r["i"] for r in blocks} == set(range(6))
+    seen = N._blocked(members).where("id in (5, 9)").groupBy("i", "j").count().where("count = 2").count()
+    assert seen >= 1  # any two meet
+    monkeypatch.setattr(N, "BLOCK_MEMBERS", 3)
+    rows = corpus(4)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(tuple(r) for r in N.near_duplicates(df).collect()) == brute(rows)
