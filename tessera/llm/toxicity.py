@@ -18,9 +18,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import split_of
+from tessera.llm.common import split_of, written
 
-#: Expected number of labelled texts in the sample, of each class.
+#: Expected number of distinct labelled texts in the sample, of each class.
 SAMPLE = 8000
 #: Entries of the lexicon at most, and what an entry needs in the sample.
 TERMS, LEAST_TEXTS = 2000, 3
@@ -140,24 +140,29 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e
     return float(beta[0]), float(beta[1])
 
 
-def _drawn(labels: DataFrame, sample: int) -> DataFrame:
-    """About ``sample`` labelled ids of each class, by hash; one label an id."""
+def _drawn(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
+    """About ``sample`` distinct labelled texts of each class, by hash: an id of each, its hash, label
+    and weight, which is one over the sampling rate of its class."""
     one = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    n = {r["toxic"]: r["count"] for r in one.groupBy("toxic").count().collect()}
-    u = F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    keep = F.lit(False)
+    texts = docs.join(one, "doc_id").groupBy("hash").agg(F.max("toxic").alias("toxic"), F.min("doc_id").alias("doc_id"))
+    texts = written(texts, "toxicity-texts")
+    n = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
+    u = F.pmod(F.xxhash64("hash", F.lit(13)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    rate = F.lit(0.0)
     for label in (0, 1):
-        keep = keep | ((F.col("toxic") == label) & (u < F.lit(sample / max(n.get(label, 0), 1))))
-    return one.where(keep)
+        rate = F.when(F.col("toxic") == label, F.lit(min(1.0, sample / max(n.get(label, 0), 1)))).otherwise(rate)
+    return texts.withColumn("weight", rate).where(u < F.col("weight")).withColumn("weight", 1 / F.col("weight"))
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[dict[str, float], tuple[float, float]]:
-    """Lexicon and curve from labelled texts.  The sample is bounded (about ``sample`` ids of each
-    class), so its ids are broadcast and only its texts are shuffled; the driver gets the counts of precise
-    features and two numbers for each sampled text."""
+    """Lexicon and curve from labelled texts.  The sample is bounded (about ``sample`` texts of each
+    class), so its ids are broadcast and only its texts are shuffled, besides ids and hashes; the driver
+    gets the counts of precise features and three numbers for each sampled text.  The curve is that of
+    all labelled texts: each sampled one stands for as many as its class's sampling rate says."""
     spark = docs.sparkSession
-    drawn = docs.where(F.col("text").isNotNull()).join(F.broadcast(_drawn(labels, sample)), "doc_id")
-    texts = drawn.groupBy("text").agg(F.max("toxic").alias("toxic"))  # copies would make chance words look precise
+    full = docs.select("doc_id", "text").where(F.col("text").isNotNull()).withColumn("hash", F.xxhash64("text"))
+    drawn = full.join(F.broadcast(_drawn(full.select("doc_id", "hash"), labels, sample)), ["doc_id", "hash"])
+    texts = drawn.groupBy("text").agg(F.max("toxic").alias("toxic"), F.max("weight").alias("weight"))  # copies would make chance words look precise
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         by = (Counter(), Counter())
@@ -179,13 +184,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[dic
     def masses(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         matcher = Matcher(shared.value)
         for pdf in batches:
-            yield pd.DataFrame({"toxic": pdf["toxic"], "x": [matcher.mass(fold(t)) for t in pdf["text"]]})
+            yield pd.DataFrame({"toxic": pdf["toxic"], "weight": pdf["weight"], "x": [matcher.mass(fold(t)) for t in pdf["text"]]})
 
-    got = texts.mapInPandas(masses, "toxic int, x double").collect()
+    got = texts.mapInPandas(masses, "toxic int, weight double, x double").collect()
     if not toxic or not clean:
         return lexicon, (-2.0, 4.0)
     x, y = np.array([r["x"] for r in got]), np.array([float(r["toxic"] == 1) for r in got])
-    return lexicon, logistic(x, y, np.ones_like(x))
+    return lexicon, logistic(x, y, np.array([r["weight"] for r in got]))
 
 
 RESULT = "doc_id long, held_out boolean, score double, predicted int"

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import pytest
@@ -55,3 +56,21 @@ def test_odd_rows(spark):
     assert len(out) == 5 and {r["predicted"] for r in out if r["doc_id"] == 3} == {1}
     assert {r["predicted"] for r in out if r["doc_id"] in (1, 2)} == {0}
     assert T.score_documents(docs.limit(0), labels.limit(0)).count() == 0
+
+
+def test_small_sample_scores_like_a_large_one(spark):
+    r = random.Random(5)
+    word = lambda: f"{r.choice('bcdfg')}a{r.choice('lmnpr')}o{r.choice('stvwz')}{r.choice('aeiou')}"
+    rows = []
+    for i in range(4400):  # ten clean ones for a toxic one, hits in some of both
+        toxic = int(i % 11 == 0)
+        words = [word() for _ in range(r.choice([15, 30, 60]))] + ["idiot"] * (r.random() < (0.8 if toxic else 0.1))
+        rows += [(i, " ".join(words), toxic)]
+    rows += [(10_000 + k, rows[1][1], 0) for k in range(600)]  # copies count once, however many are drawn
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    of = lambda curve, x: 1 / (1 + T.math.exp(-curve[0] - curve[1] * x))
+    (terms, small), (_, large) = T.train(df, df, sample=400), T.train(df, df)
+    weak = T.Matcher(terms).mass(" " + "word " * 30 + "idiot ")
+    for x in (0.0, weak / 2, weak):
+        assert of(small, x) == pytest.approx(of(large, x), abs=0.12), (x, small, large)
+    assert abs(small[0] - large[0]) < 0.7  # 2.3 if the classes of the sample count alike
