@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontam, langid, licenses, neardup, packing, ppm, quality, sharding, substring, toxicity
+from tessera.llm import decontam, fingerprints, langid, licenses, neardup, packing, ppm, quality, runs, sharding, spelling, substring, toxicity
 from tessera.llm.common import documents
 
 
@@ -54,6 +54,18 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(documents(spark, sf_dir))
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(documents(spark, sf_dir))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_words(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_substring": op1_substring,
     "op2_ppm": op2_ppm,
@@ -65,5 +77,8 @@ QUERIES = {
     "op8_neardup": op8_neardup,
     "op9_langid": op9_langid,
     "op10_decontam": op10_decontam,
+    "op11_fingerprints": op11_fingerprints,
+    "op12_runs": op12_runs,
+    "op13_spelling": op13_spelling,
 }
 ORACLE: dict[str, str] = {"op6_licenses": licenses.oracle()}
