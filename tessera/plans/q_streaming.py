@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tessera.operators.indexing import with_group_index
 from tessera.plans.catalog import register
-from tessera.session import table
+from tessera.session import scratch_path, table
+from tessera.sources import messagelog as L
 from tessera.streaming import streams as M
 
 
@@ -30,9 +31,26 @@ _MSG_SQL = """(SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS "part
         UNION ALL SELECT topic, "partition", "offset", value, 2 FROM {_MSG_SQL} WHERE topic = 'error' AND "offset" >= 0""",
 )
 def q_kafka_range(spark, sf_dir):
+    """Events as a message log in files (segments of 256 offsets), read by ranges of offsets."""
+    path = scratch_path(spark, "message-log")
+    L.write_log(_messages(spark, sf_dir), path, rows=256)
+    return L.read_log(spark, path, {"click": [(0, 4), (5, -1)], "error": [(0, -1)]})
+
+
+@register(
+    "st_kafka_restart",
+    f"""SELECT topic, "partition", "offset", value, CASE WHEN "offset" < 300 THEN 1 ELSE 2 END AS run FROM {_MSG_SQL}""",
+)
+def q_kafka_restart(spark, sf_dir):
+    """A stream over the log is drained, the log grows, and a second query with the same checkpoint goes on
+    at the stored offsets: every message once."""
+    path, out, ckpt = (scratch_path(spark, f"message-{x}") for x in ("grown-log", "sink", "offsets"))
     m = _messages(spark, sf_dir)
-    r = M.offset_range(m, {"click": [(0, 4), (5, -1)], "error": [(0, -1)]})
-    return r.select("topic", "partition", "offset", "value", "range_idx")
+    for run, part in ((1, m.where("offset < 300")), (2, m.where("offset >= 300"))):
+        L.write_log(part, path, rows=256)
+        s = L.stream_log(spark, path).withColumn("run", F.lit(run))
+        s.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).select("topic", "partition", "offset", "value", "run")
 
 
 @register(
@@ -63,7 +81,7 @@ def q_score_stream(spark, sf_dir):
 def q_running_state(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
     s = M.file_stream(spark, sf_dir, "events", schema)
-    out = M.drain_to_parquet(M.running_state(s, "user_id", "value"), spark, "running-state", mode="complete")
+    out = M.drain_to_parquet(M.running_state(s, "user_id", "value"), spark, "running-state", key=["user_id"])
     return out.select("user_id", "n", F.round("total", 4).alias("total"), F.round("total_sq", 2).alias("total_sq"))
 
 
@@ -71,7 +89,33 @@ def q_running_state(spark, sf_dir):
 def q_metric_stream(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
     s = M.file_stream(spark, sf_dir, "events", schema)
-    return M.drain_to_parquet(M.metric_stream(s, "event_id", "value", 100), spark, "metric-stream")
+    return M.drain_to_parquet(M.metric_stream(s, "event_id", "value", every_n=100), spark, "metric-stream")
+
+
+# Seconds of event time between two metric rows of one event type.
+_EVERY = 6 * 3600
+
+
+@register(
+    "st_metric_seconds",
+    f"""WITH RECURSIVE first AS (SELECT event_type, min({{'ts': ts, 'id': event_id, 'value': value}}) AS e FROM events GROUP BY event_type),
+        due AS (SELECT event_type, e FROM first
+                UNION ALL
+                SELECT d.event_type, min({{'ts': x.ts, 'id': x.event_id, 'value': x.value}}) FROM due d JOIN events x
+                  ON x.event_type = d.event_type AND x.ts >= d.e.ts + INTERVAL {_EVERY} SECOND GROUP BY d.event_type)
+        SELECT event_type AS name, e.value AS value, e.id AS global_step, e.ts AS "at" FROM due""",
+)
+def q_metric_seconds(spark, sf_dir):
+    """A metric row for each event type every six hours of event time.  The stream reads events and then
+    a row of a later time, which closes it."""
+    path = scratch_path(spark, "metric-events")
+    ev = table(spark, sf_dir, "events").select("event_id", "event_type", "value", "ts")
+    ev.write.parquet(path)
+    end = ev.agg((F.max("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"))
+    end.selectExpr("cast(null as bigint) event_id", "cast(null as string) event_type", "cast(null as double) value", "ts").write.mode("append").parquet(path)
+    s = spark.readStream.schema(ev.schema).parquet(path)
+    rows = M.metric_stream(s, "event_id", "value", every_secs=_EVERY, ts="ts", name="event_type")
+    return M.drain_to_parquet(rows, spark, "metric-seconds").withColumn("at", F.col("at").cast(ev.schema["ts"].dataType))
 
 
 @register(

@@ -3,16 +3,14 @@ declares them; writers go to paths on the shared file system (never machine-loca
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Callable, Mapping, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators.indexing import with_row_index
+from tessera.sources.fixedrecords import SPLIT_BYTES, FixedRecordSource
 
 
 # ---------------------------------------------------------------------------- readers
@@ -66,31 +64,14 @@ def read_files_base64(spark: SparkSession, path: str, glob: str = "*") -> DataFr
     return b.select(F.col("path").alias("filename"), F.base64("content").alias("b64"))
 
 
-def read_fixed_records(spark: SparkSession, path: str, rec_len: int, header_len: int, magic: int, trailer_len: int = 0) -> DataFrame:
+def read_fixed_records(spark: SparkSession, path: str, rec_len: int, header_len: int, magic: int, trailer_len: int = 0,
+                       split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Fixed-length binary records after a big-endian header whose first 4 bytes must equal
-    ``magic``; bytes become pixels scaled to 0..1.  Files are split into records inside
-    ``mapInPandas`` (one file per task batch), without ``trailer_len`` bytes at their end; a bad magic
-    number or a truncated record fails the job."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-
-    def split(it):
-        for pdf in it:
-            out_path, out_idx, out_vals = [], [], []
-            for p, content in zip(pdf["path"], pdf["content"]):
-                (m,) = struct.unpack(">i", bytes(content[:4]))
-                if m != magic:
-                    raise ValueError(f"invalid magic number {m} in {p}")
-                body = np.frombuffer(bytes(content[header_len : len(content) - trailer_len]), dtype=np.uint8)
-                n, rest = divmod(len(body), rec_len)
-                if rest:
-                    raise ValueError(f"truncated record at the end of {p}")
-                recs = body.reshape(n, rec_len).astype(np.float64) / 255.0
-                out_path += [p] * n
-                out_idx += list(range(n))
-                out_vals += [r.tolist() for r in recs]
-            yield pd.DataFrame({"path": out_path, "record": out_idx, "pixels": out_vals})
-
-    return files.mapInPandas(split, "path string, record long, pixels array<double>")
+    ``magic``; bytes become pixels scaled to 0..1.  A file is read in ranges of about ``split_bytes``,
+    without ``trailer_len`` bytes at its end; a bad magic number or a truncated record fails the job."""
+    spark.dataSource.register(FixedRecordSource)
+    options = {"recordBytes": rec_len, "headerBytes": header_len, "magic": magic, "trailerBytes": trailer_len, "splitBytes": split_bytes}
+    return spark.read.format("fixed_records").options(**options).load(path)
 
 
 def parse_requests(df: DataFrame, col: str, schema: str, explode: bool = False) -> DataFrame:
@@ -138,8 +119,11 @@ def write_metrics(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
-def write_tsv(df: DataFrame, path: str) -> None:
-    """A small tab-separated report with a header (one file)."""
+def write_tsv(df: DataFrame, path: str, most: int = 1_000_000) -> None:
+    """A small tab-separated report with a header (one file).  A report of more than ``most`` rows is an
+    error, as one task writes it."""
+    if df.limit(most + 1).count() > most:
+        raise ValueError(f"the report has more than {most} rows")
     df.coalesce(1).write.mode("overwrite").option("sep", "\t").option("header", True).csv(path)
 
 

@@ -2,16 +2,19 @@
 
 Streams read files incrementally (``readStream``) and write to file sinks or ``foreachBatch``
 under the shared checkpoint folder; ``trigger(availableNow=True)`` drains what is there, which is
-how the tests compare a stream with its batch result.  A Kafka source is the same code with
-``format("kafka")`` (the connector package is not part of this environment)."""
+how the tests compare a stream with its batch result.  Messages by offset come from the log of
+``sources.messagelog``; ``kafka_range`` is the same for a broker (its connector package is not part of
+this environment)."""
 
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tessera.operators.indexing import with_row_index
 from tessera.session import scratch_path
@@ -33,22 +36,6 @@ def kafka_range(spark: SparkSession, servers: str, specs: Mapping[str, Mapping[i
     )
 
 
-def offset_range(messages: DataFrame, specs: Mapping[str, Sequence[tuple[int, int]]]) -> DataFrame:
-    """The same selection over a message table (topic, partition, offset, value): several
-    inclusive ranges per topic, -1 meaning to the end, joined in listed order."""
-    parts = []
-    for topic, ranges in specs.items():
-        for a, b in ranges:
-            cond = (F.col("topic") == topic) & (F.col("offset") >= a)
-            if b != -1:
-                cond = cond & (F.col("offset") <= b)
-            parts.append(messages.filter(cond).withColumn("range_idx", F.lit(len(parts))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def repeat_batch(df: DataFrame, order: Sequence[str], epochs: int, k: int, value: str) -> DataFrame:
     """Repeat the input ``epochs`` times and group it in batches of ``k`` rows (the last batch
     may be short).  The epoch list is a parameter (broadcast)."""
@@ -83,21 +70,28 @@ def file_stream(spark: SparkSession, folder: str, name: str, schema, files_per_t
     return reader.parquet(folder)
 
 
-def drain_to_parquet(stream: DataFrame, spark: SparkSession, name: str, mode: str = "append") -> DataFrame:
+def drain_to_parquet(stream: DataFrame, spark: SparkSession, name: str, key: Sequence[str] = ()) -> DataFrame:
     """Run a streaming query until the available input is processed, into a parquet sink in the
-    shared folder (exactly-once through its checkpoint); return the sink as a table."""
+    shared folder; return the sink as a table.  Without ``key`` rows are appended (exactly once through the
+    checkpoint).  With the ``key`` of an aggregate, a micro-batch writes only the groups that it has
+    changed, into a folder of its own that a second attempt overwrites; the table shows the last state
+    of each group."""
     out = scratch_path(spark, f"{name}-out")
     ckpt = scratch_path(spark, f"{name}-ckpt")
-    if mode == "append":
+    if not key:
         q = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
-    else:
-        # aggregated state: every micro-batch rewrites the (small, one row per key) result table
-        def sink(batch_df, _epoch):
-            batch_df.write.mode("overwrite").parquet(out)
+        q.awaitTermination()
+        return spark.read.parquet(out)
+
+    def sink(changed: DataFrame, batch: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{out}/batch={batch}")
 
-        q = stream.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+    q = stream.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.parquet(out)
+    rest = [c for c in stream.columns if c not in key]
+    states = spark.read.schema(stream.schema.add("batch", "long")).parquet(out)
+    last = states.groupBy(*key).agg(F.max_by(F.struct(*rest), "batch").alias("_s"))
+    return last.select(*key, *[F.col(f"_s.{c}").alias(c) for c in rest])
 
 
 def score_stream(stream: DataFrame, schema: str) -> DataFrame:
@@ -114,9 +108,63 @@ def running_state(stream: DataFrame, key: str, value: str) -> DataFrame:
     )
 
 
-def metric_stream(stream: DataFrame, step: str, value: str, every_n: int) -> DataFrame:
-    """Metric rows every ``every_n`` steps."""
-    return stream.filter(F.col(step) % every_n == 0).select(
-        F.lit("value").alias("name"), F.col(value).alias("value"), F.col(step).cast("long").alias("global_step")
+METRIC_ROWS = "name string, value double, global_step long, at timestamp"
+_WAITING = "last long, waiting array<struct<at:long,step:long,value:double>>"
+
+
+def _log_when_due(micros: int):
+    """Per name: rows wait in the state until the watermark has passed them, so that they are seen in the
+    order of their time; a timer at the first waiting row brings the name up again.  A row is logged if
+    it is the name's first one or at least ``micros`` after the last one logged."""
+
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last, waiting = state.get if state.exists else (None, [])
+        waiting = [tuple(x) for x in waiting]
+        for pdf in batches:
+            # rows that count for the watermark only are left out here, not by a filter that goes before it
+            pdf = pdf[pdf["name"].notna() & pdf["at"].notna() & pdf["step"].notna()].astype({"at": "int64", "step": "int64"})
+            waiting += zip(pdf["at"].tolist(), pdf["step"].tolist(), pdf["value"].tolist(), strict=True)
+        passed = state.getCurrentWatermarkMs()
+        waiting.sort(key=lambda x: x[:2])
+        logged, k = [], 0
+        while k < len(waiting) and waiting[k][0] < passed * 1000:
+            if last is None or waiting[k][0] >= last + micros:
+                last = waiting[k][0]
+                logged.append(waiting[k])
+            k += 1
+        waiting = waiting[k:]
+        state.update((last, waiting))
+        if waiting:
+            state.setTimeoutTimestamp(max(waiting[0][0] // 1000, passed + 1))
+        yield pd.DataFrame({
+            "name": pd.Series([key[0]] * len(logged), dtype=object), "value": pd.Series([x[2] for x in logged], dtype="float64"),
+            "global_step": pd.Series([x[1] for x in logged], dtype="int64"), "at": pd.to_datetime(pd.Series([x[0] for x in logged], dtype="int64"), unit="us"),
+        })
+
+    return run
+
+
+def metric_stream(stream: DataFrame, step: str, value: str, every_n: int | None = None, every_secs: float | None = None,
+                  ts: str | None = None, name: str | None = None, late: str = "0 seconds") -> DataFrame:
+    """Metric rows (name, value, global_step) every ``every_n`` steps or every ``every_secs`` seconds of
+    event time; exactly one of the two is given.
+
+    By seconds, each value of ``name`` has its own clock: its first row is logged, then the first row at
+    least so many seconds after the last one logged.  Rows may be out of order by ``late``; a row is due
+    when the watermark has passed it, so the last rows of a stream come out once a later row (of any
+    name) has arrived.  Rows without a name, time or step are left out."""
+    if (every_n is None) == (every_secs is None):
+        raise ValueError("give exactly one of every_n and every_secs")
+    if every_n is not None:
+        return stream.filter(F.col(step) % every_n == 0).select(
+            F.lit("value").alias("name"), F.col(value).alias("value"), F.col(step).cast("long").alias("global_step")
+        )
+    if ts is None or name is None:
+        raise ValueError("every_secs needs the columns of the time and the name")
+    clocked = stream.withColumn(ts, F.col(ts).cast("timestamp"))  # the type that watermarks take
+    rows = clocked.withWatermark(ts, late).select(
+        F.col(name).alias("name"), F.unix_micros(ts).alias("at"), F.col(step).cast("long").alias("step"), F.col(value).cast("double").alias("value"), ts
+    )
+    return rows.groupBy("name").applyInPandasWithState(
+        _log_when_due(round(every_secs * 1_000_000)), METRIC_ROWS, _WAITING, "append", GroupStateTimeout.EventTimeTimeout
     )
-
