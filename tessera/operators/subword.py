@@ -3,28 +3,30 @@
 Training round (repeated ``rounds`` times):
 
 1. every distinct token (with its corpus count) is escaped and split greedily against the current
-   vocabulary; from each split start, all substrings to the end of the token receive the token's
-   count (the split is a pandas UDF, the substrings are ``explode`` + ``groupBy().sum()``);
-2. substrings below ``min_count`` are dropped; from the longest down, a substring whose count is
-   still >= ``min_count`` is kept and its count is taken off all its proper prefixes.  A
-   substring of length >= 2 only affects strings with the same first two characters, so this
-   sequential part runs per two-character prefix (``applyInPandas``); the single characters then
-   receive the totals of their kept extensions by an aggregate;
+   vocabulary: the substrings of a token are joined with the vocabulary, the longest entry at each place
+   is kept and the walk over the places is a fold inside the row; from each split start, all substrings
+   to the end of the token receive the token's count;
+2. substrings below ``min_count`` are dropped.  From the longest down, one length after the other, a
+   substring whose count is still >= ``min_count`` is kept, and what is kept of it and of its extensions
+   is taken off its prefix of one character less.  (A kept string takes its count off all its prefixes;
+   as these are prefixes of each other, the sums can travel one character at a time.)  A length is one
+   aggregate, so a frequent prefix is no single task's;
 3. the new list is the reserved tokens, then kept substrings and every alphabet character sorted by
    (count, text) descending.
 
-The vocabulary (the model) is small next to the corpus and is broadcast to the executors."""
+Vocabularies are tables (id, subtoken) all through; nothing of a round is collected but its longest
+substring's length."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tessera.operators.text import ESCAPE_CHARS, RESERVED_TOKENS, alnum_tokens, escape_token, join_tokens, longest_match, subtokens, unescape_token
+from tessera.operators.indexing import with_row_index
+from tessera.operators.text import ESCAPE_CHARS, RESERVED_TOKENS, alnum_tokens, escape_token, join_tokens, let, unescape_token
+from tessera.session import cut_lineage
 
 
 def alphabet_of(token_counts: DataFrame, token: str = "token", reserved: Sequence[str] = RESERVED_TOKENS) -> list[str]:
@@ -37,133 +39,153 @@ def alphabet_of(token_counts: DataFrame, token: str = "token", reserved: Sequenc
     return [c for c in found.first()["a"] if c]
 
 
-def _splitter(df: DataFrame, vocab: Sequence[str]):
-    """Escaped token to the array of its vocabulary entries."""
-    shared = df.sparkSession.sparkContext.broadcast(list(vocab))
+def _constants(values: Sequence[str]):
+    return F.array(*[F.lit(v) for v in values])
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def split(tokens: pd.Series) -> pd.Series:
-        pattern = longest_match(shared.value)
-        return tokens.map(lambda t: subtokens(pattern, t))
 
-    return split
+def _pieces(longest: Column, size: Column) -> Column:
+    """The greedy walk over a token of ``size`` characters: ``longest`` is an array of (s, k, id), the
+    entries that begin at each place; result: those (s, k, id) that the walk takes."""
+    start = F.struct(F.lit(1).alias("next"), F.array().cast("array<struct<s:int,k:int,id:int>>").alias("taken"))
 
+    def step(acc, place):
+        best = F.array_max(F.transform(F.filter(longest, lambda x: x["s"] == place), lambda x: F.struct(x["k"], x["id"])))
+        stuck = F.raise_error(F.lit("cannot split a token into subtokens")).cast("int")
+        moved = let(best, lambda b: F.struct(
+            (place + F.coalesce(b["k"], stuck)).alias("next"),
+            F.concat(acc["taken"], F.array(F.struct(place.alias("s"), b["k"].alias("k"), b["id"].alias("id")))).alias("taken"),
+        ))
+        return F.when(place == acc["next"], moved).otherwise(acc)
 
-def _constants(values: Sequence[str]):
-    return F.array(*[F.lit(v) for v in values])
+    return F.aggregate(F.sequence(F.lit(1), size), start, step, lambda acc: acc["taken"])
+
+
+def _substrings(tokens: DataFrame, most: int | None = None) -> DataFrame:
+    """t, s (place from 1), k (length) and sub for all substrings of the distinct tokens ``t``."""
+    places = tokens.select("t", F.explode(F.sequence(F.lit(1), F.length("t"))).alias("s"))
+    room = F.length("t") - F.col("s") + 1
+    ends = F.explode(F.sequence(F.lit(1), room if most is None else F.least(room, F.lit(most)))).alias("k")
+    return places.select("t", "s", ends).select("t", "s", "k", F.substr("t", F.col("s"), F.col("k")).alias("sub"))
 
 
-def _substring_counts(token_counts: DataFrame, vocab: list[str], alphabet: list[str]) -> DataFrame:
+def split_tokens(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
+    """t and pieces (s, k, id) of each distinct escaped token ``t``: the greedy split into entries of
+    ``vocab`` (id, subtoken).  A token that can't be split is an error."""
+    most = vocab.agg(F.max(F.length("subtoken")).alias("m")).first()["m"] or 1
+    entries = vocab.select(F.col("subtoken").alias("sub"), F.col("id").cast("int").alias("id"))
+    found = _substrings(tokens, most).join(entries, "sub").groupBy("t").agg(F.collect_list(F.struct("s", "k", "id")).alias("_e"))
+    whole = tokens.join(found, "t", "left")
+    return whole.select("t", _pieces(F.coalesce("_e", F.array().cast("array<struct<s:int,k:int,id:int>>")), F.length("t")).alias("pieces"))
+
+
+def _escaped(token_counts: DataFrame, alphabet: Sequence[str]) -> DataFrame:
+    return token_counts.select(escape_token("token", _constants(alphabet)).alias("t"), "n")
+
+
+def _substring_counts(escaped: DataFrame, vocab: DataFrame) -> DataFrame:
     """Count of every substring that begins where the split of a token begins an entry."""
-    split = _splitter(token_counts, vocab)
-    t = token_counts.select(escape_token("token", _constants(alphabet)).alias("t"), "n")
-    lengths = t.withColumn("_l", F.transform(split("t"), F.length))
-    begins = F.transform("_l", lambda x, i: F.aggregate(F.slice("_l", 1, i), F.lit(1), lambda a, y: a + y))
-    starts = lengths.select("t", "n", F.explode(begins).alias("s"))
+    split = split_tokens(escaped.select("t"), vocab)
+    starts = escaped.join(split, "t").select("t", "n", F.explode(F.transform("pieces", lambda p: p["s"])).alias("s"))
     ends = F.explode(F.sequence(F.lit(1), F.length("t") - F.col("s") + 1)).alias("k")
     subs = starts.select("t", "n", "s", ends).select(F.substr("t", F.col("s"), F.col("k")).alias("sub"), "n")
     return subs.groupBy("sub").agg(F.sum("n").alias("count"))
 
 
-def _reduce_branch(min_count: int, alphabet: set, reserved: set):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        counts = dict(zip(pdf["sub"], pdf["count"].astype("int64")))
-        order = sorted(counts, key=len, reverse=True)
-        kept = []
-        for s in order:
-            c = counts[s]
-            if c < min_count:
-                continue
-            kept.append((s, int(c), s not in alphabet and s not in reserved))
-            for end in range(2, len(s)):  # proper prefixes of length >= 2 live in this branch
-                p = s[:end]
-                if p in counts:
-                    counts[p] -= c
-        return pd.DataFrame(kept, columns=["sub", "count", "candidate"]) if kept else pd.DataFrame(
-            {"sub": pd.Series([], dtype="object"), "count": pd.Series([], dtype="int64"), "candidate": pd.Series([], dtype="bool")}
-        )
-
-    return run
-
-
-def subword_round(token_counts: DataFrame, vocab: list[str], alphabet: list[str], min_count: int,
-                  reserved: Sequence[str] = RESERVED_TOKENS) -> list[str]:
-    counts = _substring_counts(token_counts, vocab, alphabet).filter(F.col("count") >= 1)
-    alpha, res = set(alphabet), set(reserved)
-    long_ = counts.filter((F.length("sub") >= 2) & (F.col("count") >= min_count))
-    kept = long_.groupBy(F.substring("sub", 1, 2).alias("_p2")).applyInPandas(
-        _reduce_branch(min_count, alpha, res), "sub string, count long, candidate boolean"
-    )
-    # single characters lose the counts of their kept extensions
-    taken = kept.groupBy(F.substring("sub", 1, 1).alias("sub")).agg(F.sum("count").alias("_minus"))
-    singles = counts.filter(F.length("sub") == 1).join(taken, "sub", "left").select(
-        "sub", (F.col("count") - F.coalesce("_minus", F.lit(0))).alias("count")
-    )
-    alpha_df = token_counts.sparkSession.createDataFrame([(a,) for a in alphabet], "sub string")
-    alpha_counts = alpha_df.join(singles, "sub", "left").select("sub", F.coalesce("count", F.lit(0)).alias("count"))
-    cands = kept.filter("candidate").select("sub", "count").unionByName(alpha_counts)
-    ordered = [r.sub for r in cands.orderBy(F.desc("count"), F.desc("sub")).collect()]
-    return list(reserved) + ordered
+def reduce_counts(counts: DataFrame, min_count: int) -> DataFrame:
+    """The substrings (sub, count) that are kept, with what their kept extensions leave of the count:
+    sub, count, for two and more characters; and all single characters, whatever is left of them.
+    ``counts`` must hold every prefix of its strings."""
+    rows = cut_lineage(counts.where((F.col("count") >= min_count) | (F.length("sub") == 1)).withColumn("size", F.length("sub")))
+    longest = rows.agg(F.max("size").alias("m")).first()["m"] or 0
+    # rows that travel: sums for a prefix (kept = false), and strings that have been kept already
+    shape = ("sub", "count", "taken", "kept")
+    state = None
+    for size in range(longest, 0, -1):
+        level = rows.where(F.col("size") == size).select("sub", "count", F.lit(0).cast("long").alias("taken"), F.lit(False).alias("kept"))
+        level = level if state is None else level.unionByName(state)
+        sums = level.groupBy("sub", "kept").agg(F.sum("count").alias("count"), F.sum("taken").alias("taken"))
+        left = F.col("count") - F.col("taken")
+        decided = F.struct("sub", left.alias("count"), F.lit(0).cast("long").alias("taken"), F.lit(True).alias("kept"))
+        if size == 1:
+            return sums.select(F.when(F.col("kept"), F.struct(*shape)).otherwise(decided).alias("r")).select("r.sub", "r.count")
+        good = left >= min_count
+        prefix = F.substring("sub", 1, size - 1)
+        # a kept string and its extensions take its whole count off the prefix
+        up = F.struct(prefix.alias("sub"), F.lit(0).cast("long").alias("count"), F.when(good, F.col("count")).otherwise(F.col("taken")).alias("taken"), F.lit(False).alias("kept"))
+        out = F.when(F.col("kept"), F.array(F.struct(*shape))).when(good, F.array(up, decided)).otherwise(F.array(up))
+        state = sums.select(F.inline(out))
+    return counts.limit(0)
+
+
+def vocab_frame(spark: SparkSession, vocab: Sequence[str]) -> DataFrame:
+    """A given list of subtokens as a table: the id is the position."""
+    return spark.createDataFrame(list(enumerate(vocab)), "id int, subtoken string")
+
+
+def subword_round(escaped: DataFrame, vocab: DataFrame, alphabet: DataFrame, min_count: int, reserved: Sequence[str]) -> DataFrame:
+    spark = escaped.sparkSession
+    left = reduce_counts(_substring_counts(escaped, vocab).where(F.col("count") >= 1), min_count)
+    # every character of the alphabet is an entry, also those that occur nowhere
+    both = left.unionByName(alphabet.select(F.col("subtoken").alias("sub"), F.lit(0).cast("long").alias("count")))
+    merged = both.groupBy("sub").agg(F.sum("count").alias("count")).where(~F.col("sub").isin(list(reserved)) if reserved else F.lit(True))
+    ranked = with_row_index(merged.select(F.col("sub").alias("subtoken"), "count"), [F.desc("count"), F.desc("subtoken")], "_i")
+    learned = ranked.select((F.col("_i") + len(reserved)).cast("int").alias("id"), "subtoken")
+    return vocab_frame(spark, reserved).unionByName(learned) if reserved else learned
 
 
 def subword_vocab(token_counts: DataFrame, min_count: int, rounds: int = 4,
-                  reserved: Sequence[str] = RESERVED_TOKENS) -> list[str]:
-    """Learn a subword vocabulary from (token, n) counts; returns the ordered subtoken list
-    (id = position)."""
-    token_counts = token_counts.select("token", "n").cache()
-    alphabet = alphabet_of(token_counts, "token", reserved)
-    vocab = list(reserved) + alphabet
+                  reserved: Sequence[str] = RESERVED_TOKENS) -> DataFrame:
+    """Learn a subword vocabulary from (token, n) counts: id, subtoken, in the order of the list."""
+    spark = token_counts.sparkSession
+    characters = alphabet_of(token_counts, "token", reserved)
+    escaped = cut_lineage(_escaped(token_counts.select("token", "n"), characters))
+    alphabet = vocab_frame(spark, characters)
+    vocab = vocab_frame(spark, [*reserved, *characters])
     for _ in range(rounds):
-        vocab = subword_round(token_counts, vocab, alphabet, min_count, reserved)
-    token_counts.unpersist()
+        vocab = cut_lineage(subword_round(escaped, vocab, alphabet, min_count, reserved))
     return vocab
 
 
 def subword_search(token_counts: DataFrame, target: int, threshold: int, lo: int = 1, hi: int = 1000,
-                   reserved: Sequence[str] = RESERVED_TOKENS) -> list[str]:
+                   reserved: Sequence[str] = RESERVED_TOKENS) -> DataFrame:
     """The vocabulary within ``threshold`` of ``target`` entries, or else the closest of those tried
     while the interval of minimum counts is halved."""
-    token_counts = token_counts.select("token", "n").persist()
-    tried: list[list[str]] = []
+    token_counts = cut_lineage(token_counts.select("token", "n"))
+    tried: list[tuple[int, DataFrame]] = []
     while lo <= hi:
         count = (lo + hi) // 2
-        tried.append(subword_vocab(token_counts, count, reserved=reserved))
-        size = len(tried[-1])
+        vocab = subword_vocab(token_counts, count, reserved=reserved)
+        size = vocab.count()
+        tried.append((abs(size - target), vocab))
         if abs(size - target) < threshold or count < 2:
             break
         lo, hi = (count + 1, hi) if size > target else (lo, count - 1)
-    token_counts.unpersist()
-    return min(tried, key=lambda v: abs(len(v) - target))
+    return min(tried, key=lambda x: x[0])[1]
 
 
-def vocab_frame(spark: SparkSession, vocab: Sequence[str]) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(vocab)), "id int, subtoken string")
-
-
-def subword_encode(df: DataFrame, key: str, text: str, vocab: Sequence[str], add_eos: bool = False) -> DataFrame:
-    """Text to subtoken ids: alphanumeric split, escape, greedy split of each distinct token (pandas
-    UDF with the broadcast vocabulary), joined back by position.  A text without a token has no ids
-    (but the end id, if asked for)."""
-    alphabet = sorted({c for s in vocab for c in s})
-    numbers = vocab_frame(df.sparkSession, vocab)
+def subword_encode(df: DataFrame, key: str, text: str, vocab: DataFrame, add_eos: bool = False) -> DataFrame:
+    """Text to subtoken ids: alphanumeric split, escape, greedy split of each distinct token, joined
+    back by position.  A text without a token has no ids (but the end id, if asked for)."""
+    characters = vocab.select(F.explode(F.split("subtoken", "")).alias("c")).distinct()
+    alphabet = [r["c"] for r in characters.collect()]  # bounded by the character repertoire
     toks = df.select(key, F.posexplode_outer(alnum_tokens(text)).alias("pos", "token"))
     distinct = toks.where(F.col("token").isNotNull()).select("token").distinct()
-    entries = distinct.select("token", escape_token("token", _constants(alphabet)).alias("t"))
-    entries = entries.select("token", F.posexplode(_splitter(df, vocab)("t")).alias("k", "subtoken"))
-    # bound of the broadcast: the vocabulary
-    ids = entries.join(F.broadcast(numbers), "subtoken").groupBy("token").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("k", "id"))), lambda x: x["id"]).alias("ids")
-    )
+    entries = cut_lineage(distinct.select("token", escape_token("token", _constants([c for c in alphabet if c])).alias("t")))
+    split = split_tokens(entries.select("t").distinct(), vocab)
+    ids = entries.join(split, "t").select("token", F.transform("pieces", lambda p: p["id"]).alias("ids"))
     j = toks.join(ids.hint("merge"), "token", "left")
     parts = F.filter(F.array_sort(F.collect_list(F.struct("pos", "ids"))), lambda x: x["ids"].isNotNull())
     enc = j.groupBy(key).agg(F.flatten(F.transform(parts, lambda x: x["ids"])).alias("ids"))
     return enc.withColumn("ids", F.concat("ids", F.array(F.lit(1)))) if add_eos else enc
 
 
-def subword_decode(df: DataFrame, ids: str, vocab: Sequence[str], out: str = "text") -> DataFrame:
-    """Ids back to text: ids outside the vocabulary are dropped, subtokens joined, split on '_',
-    each piece unescaped, tokens joined (blank only between alphanumeric tokens)."""
-    voc = _constants(vocab)
-    pieces = F.transform(F.filter(F.col(ids), lambda i: (i >= 0) & (i < len(vocab))), lambda i: F.get(voc, i))
-    parts = F.filter(F.split(F.array_join(pieces, ""), "_"), lambda s: s != "")
-    return df.withColumn(out, join_tokens(F.transform(parts, unescape_token)))
+def subword_decode(df: DataFrame, key: str, ids: str, vocab: DataFrame, out: str = "text") -> DataFrame:
+    """Ids back to text, one row for each value of ``key``: ids outside the vocabulary are dropped,
+    subtokens joined, split on '_', each piece unescaped, tokens joined (blank only between alphanumeric
+    tokens).  Null ids give the empty text."""
+    each = df.select(key, F.posexplode_outer(ids).alias("_p", "id"))
+    named = each.join(vocab.select("id", "subtoken"), "id", "left")
+    listed = F.array_sort(F.collect_list(F.when(F.col("subtoken").isNotNull(), F.struct("_p", "subtoken"))))
+    joined = named.groupBy(key).agg(F.array_join(F.transform(listed, lambda x: x["subtoken"]), "").alias("_s"))
+    parts = F.filter(F.split("_s", "_"), lambda s: s != "")
+    return joined.select(key, join_tokens(F.transform(parts, unescape_token)).alias(out))

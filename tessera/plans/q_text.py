@@ -194,10 +194,24 @@ def q_rouge_n(spark, sf_dir):
     return X.rouge_n(p, "hyp", "ref", 2).select(F.round("rouge_n", 6).alias("rouge_n"))
 
 
-@register("agg_rouge_l")
+# The table of lengths, a row for each word of the hypothesis: a length is the largest so far of the
+# one above it and, where the words agree, the one above to the left plus one.
+_LCS_SQL = f"""
+    WITH RECURSIVE p AS {_PAIRS_SQL.format(tok_ref=_ws_sql('a.text'), tok_hyp=_ws_sql('b.text'))},
+         t(pair, i, lens) AS (
+           SELECT pair, 0, list_transform(ref, lambda x: 0) FROM p
+           UNION ALL
+           SELECT t.pair, t.i + 1, list_transform(range(1, len(ref) + 1), lambda j: list_max(list_transform(range(1, j + 1), lambda k:
+                    greatest(lens[k], CASE WHEN ref[k] = hyp[t.i + 1] THEN coalesce(lens[k - 1], 0) + 1 ELSE 0 END))))
+           FROM t JOIN p USING (pair) WHERE t.i < len(hyp)),
+         l AS (SELECT p.pair, coalesce(lens[len(ref)], 0)::DOUBLE AS lcs, len(ref)::DOUBLE AS m, len(hyp)::DOUBLE AS n FROM t JOIN p USING (pair) WHERE t.i = len(hyp)),
+         f AS (SELECT CASE WHEN m > 0 THEN lcs / m END AS r, CASE WHEN n > 0 THEN lcs / n END AS q FROM l),
+         b AS (SELECT r, q, q / (r + 1e-12) AS beta FROM f)
+    SELECT round(avg((1 + beta * beta) * r * q / (r + beta * beta * q + 1e-12)), 6) AS rouge_l FROM b"""
+
+
+@register("agg_rouge_l", _LCS_SQL)
 def q_rouge_l(spark, sf_dir):
-    """ROUGE-L over the same pairs (LCS length by a pandas UDF: checked against a brute-force
-    reference in the tests)."""
     p = _pairs(spark, sf_dir, X.ws_words)
     return X.rouge_l(p, "hyp", "ref").select(F.round("rouge_l", 6).alias("rouge_l"))
 
@@ -242,6 +256,42 @@ def q_log_encode(spark, sf_dir):
     return enc.select("event_id", pad_left("ids", 1024).alias("ids"))
 
 
+# The fields of a request, and those that are pruned from it.
+REQUEST = "event_id long, time string, method string, query struct<k:int,user:long>, source struct<ip:string,port:int>, status int"
+PRUNED = ["time", "source", "query.user"]
+
+_REQUEST_SQL = """'{"event_id":' || event_id || ',"method":"' || event_type || '","query":{"k":' || CAST(json_extract_string(props, '$.k') AS INTEGER)
+                  || '},"status":' || (200 + user_id % 5) || '}'"""
+
+
+@register(
+    "txt_log_encode_pruned",
+    f"""WITH q AS (SELECT event_id, {_REQUEST_SQL} AS t FROM events),
+            e AS (SELECT event_id, unnest(string_split(t, '')) AS c, unnest(range(length(t))) AS p FROM q),
+            c AS (SELECT c, row_number() OVER (ORDER BY count(*) DESC, c) AS idx FROM e WHERE c <> '' GROUP BY c),
+            ids AS (SELECT event_id, list(idx ORDER BY p) AS ids FROM e JOIN c USING (c) GROUP BY event_id)
+       SELECT event_id, list_slice(list_concat(list_transform(range(96), lambda x: 0), ids), len(ids) + 1, len(ids) + 96) AS ids FROM ids""",
+)
+def q_log_encode_pruned(spark, sf_dir):
+    """Requests of the events as one job: prune fields of the JSON, train the character index on what is
+    left, encode, pad and cut on the left to 96."""
+    from tessera.functions.arrays import pad_left
+    from tessera.functions.scalars import prune_json
+    from tessera.operators.joins import encode_words
+
+    ev = table(spark, sf_dir, "events")
+    whole = F.to_json(F.struct(
+        "event_id", F.col("ts").cast("string").alias("time"), F.col("event_type").alias("method"),
+        F.struct(F.get_json_object("props", "$.k").cast("int").alias("k"), F.col("user_id").alias("user")).alias("query"),
+        F.struct(F.concat(F.lit("10.0.0."), F.col("user_id") % 250).alias("ip"), (F.col("user_id") % 60000).cast("int").alias("port")).alias("source"),
+        (F.lit(200) + F.col("user_id") % 5).cast("int").alias("status"),
+    ))
+    pruned = ev.select("event_id", prune_json(whole, REQUEST, PRUNED).alias("request"))
+    idx = X.char_rank(pruned, "request").select(F.col("char").alias("word"), F.col("idx").alias("id"))
+    chars = pruned.select("event_id", F.filter(F.split("request", ""), lambda c: c != "").alias("chars"))
+    return encode_words(chars, "event_id", "chars", idx).select("event_id", pad_left("ids", 96).alias("ids"))
+
+
 @register(
     "txt_repetition_sample",
     """WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(replace(replace(text, chr(10), ' *BREAK* '), '  ', ' ')), '\\s+'), lambda t: t <> '') AS w FROM documents),
@@ -262,18 +312,24 @@ def _turn_token_counts(spark, sf_dir):
     return c.select(F.explode(X.alnum_tokens("text")).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Vocabularies that this application has trained, by their input.
+_trained: dict[tuple, object] = {}
+
+
 def _turn_vocab(spark, sf_dir, min_count=20):
+    """The vocabulary of the turns; trained once an application, its table lies in the shared folder."""
     from tessera.operators import subword as SW
 
-    return SW.subword_vocab(_turn_token_counts(spark, sf_dir), min_count)
+    key = (spark.sparkContext.applicationId, sf_dir, min_count)
+    if key not in _trained:
+        _trained[key] = SW.subword_vocab(_turn_token_counts(spark, sf_dir), min_count)
+    return _trained[key]
 
 
 @register("txt_subword_train")
 def q_subword_train(spark, sf_dir):
     """Subword vocabulary learnt from the conversation turns (minimum count 20)."""
-    from tessera.operators import subword as SW
-
-    return SW.vocab_frame(spark, _turn_vocab(spark, sf_dir))
+    return _turn_vocab(spark, sf_dir)
 
 
 @register("txt_subword_search")
@@ -281,8 +337,7 @@ def q_subword_search(spark, sf_dir):
     """Minimum count searched in 1..1000 for a vocabulary of about 400 subtokens (threshold 50)."""
     from tessera.operators import subword as SW
 
-    voc = SW.subword_search(_turn_token_counts(spark, sf_dir), 400, 50, 1, 1000)
-    return SW.vocab_frame(spark, voc)
+    return SW.subword_search(_turn_token_counts(spark, sf_dir), 400, 50, 1, 1000)
 
 
 @register("txt_subword_encode")
@@ -301,7 +356,7 @@ def q_subword_decode(spark, sf_dir):
     voc = _turn_vocab(spark, sf_dir)
     c = table(spark, sf_dir, "conversations").select(F.concat_ws(":", "conv_id", "turn").alias("key"), "text")
     enc = SW.subword_encode(c, "key", "text", voc)
-    dec = SW.subword_decode(enc, "ids", voc, "text_back")
+    dec = SW.subword_decode(enc, "key", "ids", voc, "text_back")
     return dec.join(c, "key").select("key", "text_back", (F.col("text_back") == F.col("text")).alias("same"))
 
 
