@@ -7,8 +7,9 @@ execution switches to a broadcast at run time when the measured side is small.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,28 +69,52 @@ def label_index(df: DataFrame, col: str, labels: DataFrame, label_col: str, idx_
     return df.join(lk, col, "left").withColumn("label_idx", F.coalesce(F.col("_idx"), F.lit(default))).drop("_idx")
 
 
+#: Rows whose words are looked up together.
+BLOCK_ROWS = 2000
+
+
+def _looked_up(df: DataFrame, key: str, words: str, table: DataFrame, run: Callable, shape: str) -> DataFrame:
+    """Rows in blocks, each beside the entries of ``table`` (word, value) for its distinct words: ``run``
+    gets the two frames of a block.  A word travels once a block, not once an occurrence, and a frequent
+    word meets the table once a block; a row travels once."""
+    rows = df.select(F.col(key).alias("key"), F.col(words).alias("words"))
+    blocks = max(1, rows.count() // BLOCK_ROWS)
+    marked = rows.withColumn("block", F.pmod(F.xxhash64("key", F.size("words")), F.lit(blocks)))
+    need = marked.select(F.col("block").alias("of"), F.explode("words").alias("word")).distinct()
+    found = need.join(table.select("word", "value"), "word").select("of", "word", "value")
+    return marked.groupBy("block").cogroup(found.groupBy("of")).applyInPandas(run, shape)
+
+
 def encode_words(df: DataFrame, key: str, words: str, vocab: DataFrame, word_col: str = "word",
                  id_col: str = "id") -> DataFrame:
-    """Token arrays to vocabulary ids, order kept: ``posexplode_outer`` + equi join + ordered regroup.
-    A row without tokens has an empty array; a word missing from the vocabulary is an error.  The
-    join is hinted, as an estimate of the exploded side from its arrays is far too small."""
-    ex = df.select(key, F.posexplode_outer(words).alias("_p", word_col))
-    j = ex.join(vocab.select(word_col, id_col).hint("merge"), word_col, "left")
-    known = F.when(F.col(word_col).isNotNull() & F.col(id_col).isNull(), F.raise_error(F.concat(F.lit("not in the vocabulary: "), F.col(word_col)))).otherwise(F.col(id_col))
-    pairs = j.select(key, F.struct(F.col("_p").alias("p"), known.alias("id")).alias("_s"))
-    listed = F.filter(F.array_sort(F.collect_list("_s")), lambda s: s["id"].isNotNull())
-    return pairs.groupBy(key).agg(F.transform(listed, lambda s: s["id"]).alias("ids"))
+    """Token arrays to vocabulary ids, order kept: one row a row.  A row without tokens has an empty
+    array; a word missing from the vocabulary is an error."""
+    kind = df.schema[key].dataType.simpleString()
+
+    def run(rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        ids = dict(zip(known["word"], known["value"].tolist()))
+        try:
+            out = [[ids[w] for w in ws if w is not None] if ws is not None else [] for ws in rows["words"]]
+        except KeyError as e:
+            raise ValueError(f"not in the vocabulary: {e.args[0]}") from None
+        return pd.DataFrame({key: rows["key"], "ids": out})
+
+    table = vocab.select(F.col(word_col).alias("word"), F.col(id_col).cast("long").alias("value"))
+    return _looked_up(df, key, words, table, run, f"`{key}` {kind}, ids array<bigint>")
 
 
 def unkify(df: DataFrame, key: str, words: str, vocab: DataFrame, word_col: str = "word",
            unk: str = "*UNK*") -> DataFrame:
     """Replace words outside the vocabulary by ``unk`` and rejoin the string with single blanks; a
     row without words gives the empty string."""
-    ex = df.select(key, F.posexplode_outer(words).alias("_p", "_w"))
-    v = vocab.select(F.col(word_col).alias("_w"), F.lit(True).alias("_known")).distinct()
-    j = ex.join(v, "_w", "left").withColumn("_o", F.when(F.col("_known"), F.col("_w")).when(F.col("_w").isNotNull(), F.lit(unk)))
-    listed = F.array_sort(F.collect_list(F.struct("_p", "_o")))
-    return j.groupBy(key).agg(F.array_join(F.transform(listed, lambda s: s["_o"]), " ").alias("text"))
+    kind = df.schema[key].dataType.simpleString()
+
+    def run(rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        words = set(known["word"])
+        return pd.DataFrame({key: rows["key"], "text": [" ".join([w if w in words else unk for w in ws if w is not None]) if ws is not None else "" for ws in rows["words"]]})
+
+    table = vocab.select(F.col(word_col).alias("word"), F.lit(True).alias("value")).distinct()
+    return _looked_up(df, key, words, table, run, f"`{key}` {kind}, text string")
 
 
 def pending(todo: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -115,15 +140,6 @@ def assign_bucket(df: DataFrame, value: Column, bounds: Sequence[tuple[int, int]
     return df.withColumn(name, F.try_element_at(hits, F.lit(1)).cast("int"))
 
 
-def assign_bucket_join(df: DataFrame, value: str, buckets: DataFrame) -> DataFrame:
-    """Range join against a bucket table (bucket, lo, hi) for data-derived bounds.  The bucket table
-    is tiny (one row per bucket, a parameter) and broadcast; the non-equi condition then runs as a
-    broadcast nested loop with a single pass over the big side."""
-    return df.join(
-        F.broadcast(buckets), (F.col(value) >= F.col("lo")) & (F.col(value) < F.col("hi")), "left"
-    ).drop("lo", "hi")
-
-
 def asof_forward(grid: DataFrame, curve: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
     """For each grid point x, the position of the first curve row whose running value ``y`` is
     >= x (null when none): ``searchsorted(y, x, side='left')``.
@@ -152,15 +168,15 @@ def asof_forward(grid: DataFrame, curve: DataFrame, x: str, y: str, by: Sequence
     return out.select(*by, F.col("_x").alias(x), F.coalesce("pos", "_next").alias("pos"))
 
 
-def asof_forward_grid(curve: DataFrame, y: str, inc: str, n_points: int, step: float) -> DataFrame:
+def asof_forward_grid(curve: DataFrame, y: str, before: str, n_points: int, step: float) -> DataFrame:
     """``asof_forward`` for the regular grid x_k = k * step, k = 0..n_points-1, without any window.
 
-    ``y`` is a running sum of the non-negative ``inc`` (so the previous running value is
-    y - inc).  Curve row ``pos`` answers exactly the grid points in (y - inc, y] (row 0 also every
-    point below), so each row emits those grid indices and a join on k attaches them: the emitted
-    rows number at most the grid size, whatever the curve length."""
-    prev = F.col(y) - F.col(inc)
-    k_lo = F.when(F.col("pos") == 0, F.lit(0)).otherwise(F.floor(prev / step) + 1)
+    ``y`` is a running sum of non-negative values and ``before`` its value one row earlier (null on the
+    first row), the same number as there, so that every grid point falls to one row.  Curve row ``pos``
+    answers exactly the grid points in (before, y] (row 0 also every point below), so each row emits
+    those grid indices and a join on k attaches them: the emitted rows number at most the grid size,
+    whatever the curve length."""
+    k_lo = F.when(F.col(before).isNull(), F.lit(0)).otherwise(F.floor(F.col(before) / step) + 1)
     k_hi = F.least(F.floor(F.col(y) / step), F.lit(n_points - 1))
     hits = curve.filter(k_lo <= k_hi).select(
         "pos", F.explode(F.sequence(k_lo.cast("long"), k_hi.cast("long"))).alias("k")

@@ -3,9 +3,10 @@ partition, throughput, best-so-far, early stop, contiguous partitions, shard blo
 sequences.
 
 Running totals over one global order are the scale hazard: a window without PARTITION BY runs in
-one task.  ``running_sum`` therefore computes a two-level prefix sum: rows are numbered, cut into
-chunks of ``chunk`` rows, summed inside each chunk by a window partitioned by chunk, and shifted by
-the running total of the preceding chunks (a table of one row per chunk).
+one task.  ``running_sums`` computes a two-level prefix sum instead: the partitions of a range
+partitioning, written once, are the chunks; a window sums inside each chunk, and the totals of the chunks
+before are added.  Only the group that a chunk begins in the middle of needs such a total, so their table has at
+most one row a chunk and is broadcast; the rows themselves travel twice, whatever the number of sums.
 """
 
 from __future__ import annotations
@@ -16,8 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.indexing import with_row_index
+from tessera.session import cut_lineage
 
-DEFAULT_CHUNK = 1 << 20
 
 
 def running_sums(
@@ -25,41 +26,43 @@ def running_sums(
     order: Sequence[str],
     values: dict[str, Column],
     by: Sequence[str] = (),
-    chunk: int = DEFAULT_CHUNK,
     index_name: str = "i",
+    before: dict[str, str] | None = None,
 ) -> DataFrame:
     """Add running sums (inclusive) of each ``values`` expression in ``order`` within ``by``
-    groups, plus a 0-based row index ``index_name`` within the group.
-
-    ``order`` must be a total order within a group.  Work is spread over (group, chunk) window
-    partitions, so a single hot group is still processed by many tasks."""
-    # number rows inside each group: global index over (by, order) minus the group start
-    idx = with_row_index(df, [*by, *order], "_g")
-    if by:
-        starts = idx.groupBy(*by).agg(F.min("_g").alias("_g0"))
-        idx = idx.join(starts, list(by)).withColumn(index_name, F.col("_g") - F.col("_g0")).drop("_g0")
-    else:
-        idx = idx.withColumn(index_name, F.col("_g"))
-    idx = idx.drop("_g").withColumn("_chunk", F.floor(F.col(index_name) / F.lit(chunk)))
-    names = list(values)
-    for n, e in values.items():
-        idx = idx.withColumn(f"_v_{n}", e)
-    w_local = (
-        Window.partitionBy(*by, "_chunk").orderBy(index_name).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    local = idx.select(
-        "*", *[F.sum(f"_v_{n}").over(w_local).alias(f"_l_{n}") for n in names]
-    )
-    totals = idx.groupBy(*by, "_chunk").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in names])
-    w_prev = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *by, "_chunk", *[F.coalesce(F.sum(f"_t_{n}").over(w_prev), F.lit(0)).alias(f"_o_{n}") for n in names]
+    groups, plus a 0-based row index ``index_name`` within the group; ``before`` names columns for the sum
+    at the row before (null on the first one), the very same number as there.
+
+    ``order`` must be a total order within a group.  A group may span chunks, so a single hot group is
+    still processed by many tasks."""
+    names, before = list(values), before or {}
+    staged = df.select("*", *[e.alias(f"_v_{n}") for n, e in values.items()])
+    # range bounds from a sample: written once, so that both uses below see the same chunks
+    staged = cut_lineage(staged.repartitionByRange(*by, *order).withColumn("_chunk", F.spark_partition_id()))
+    w = Window.partitionBy("_chunk", *by).orderBy(*order)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    local = staged.select("*", F.row_number().over(w).alias("_l_"), *[F.sum(f"_v_{n}").over(upto).alias(f"_l_{n}") for n in names])
+    # the last running sum of a chunk, not a sum in another order, where sums must be equal to the bit
+    totals = (local if before else staged).groupBy("_chunk", *by).agg(
+        F.count(F.lit(1)).alias("_t_"), *[(F.max_by(f"_l_{n}", "_l_") if before else F.sum(f"_v_{n}")).alias(f"_t_{n}") for n in names]
     )
-    out = local.join(offsets, [*by, "_chunk"])
-    for n in names:
-        out = out.withColumn(n, F.col(f"_l_{n}") + F.col(f"_o_{n}"))
-    drop = ["_chunk"] + [f"_{p}_{n}" for n in names for p in "vlo"]
-    return out.drop(*drop)
+    earlier = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_chunk", *by, *[F.sum(f"_t_{n}").over(earlier).alias(f"_o_{n}") for n in ["", *names]]).where(F.col("_o_").isNotNull())
+    offsets = offsets.select(F.col("_chunk").alias("_c"), *[F.col(b).alias(f"_b{k}") for k, b in enumerate(by)], "_o_", *[f"_o_{n}" for n in names])
+    same = F.col("_chunk") == F.col("_c")
+    for k, b in enumerate(by):
+        same &= F.col(b).eqNullSafe(F.col(f"_b{k}"))
+    if before:
+        local = local.select("*", *[F.lag(f"_l_{n}").over(w).alias(f"_p_{n}") for n in before])
+    out = local.join(F.broadcast(offsets), same, "left")  # at most one row a chunk
+
+    def shifted(n: str, value: Column) -> Column:
+        return F.when(F.col(f"_o_{n}").isNull(), value).when(value.isNull(), F.col(f"_o_{n}")).otherwise(value + F.col(f"_o_{n}"))
+
+    made = {index_name: F.col("_l_").cast("long") - 1 + F.coalesce("_o_", F.lit(0))}
+    made |= {n: shifted(n, F.col(f"_l_{n}")) for n in names}
+    made |= {name: shifted(n, F.col(f"_p_{n}")) for n, name in before.items()}
+    return out.select(*[F.col(c) for c in df.columns if c not in made], *[e.alias(n) for n, e in made.items()])
 
 
 def cross_grid(df: DataFrame, grid: DataFrame) -> DataFrame:
@@ -68,18 +71,20 @@ def cross_grid(df: DataFrame, grid: DataFrame) -> DataFrame:
     return df.crossJoin(F.broadcast(grid))
 
 
-def running_cost(df: DataFrame, order: Sequence[str], cost: str, grid_col: str, chunk: int = DEFAULT_CHUNK) -> DataFrame:
-    """Running sum of a per-query cost in query order, separately for each grid value."""
-    return running_sums(df, order, {"cost_cum": F.col(cost)}, by=[grid_col], chunk=chunk)
+def running_cost(df: DataFrame, order: Sequence[str], costs: Sequence[tuple[float, Column]], keep: Sequence[str], name: str = "cum") -> DataFrame:
+    """Running sums of several costs in query order, one for each value of a grid: ``costs`` lists the
+    grid value and its cost.  All of them ride in one row through one sort; the result has the columns
+    ``keep`` and the array ``name`` of (grid, cum) in the order listed."""
+    run = running_sums(df, order, {f"_cost{k}": c for k, (_, c) in enumerate(costs)})
+    pairs = [F.struct(F.lit(float(g)).alias("grid"), F.col(f"_cost{k}").alias("cum")) for k, (g, _) in enumerate(costs)]
+    return run.select(*keep, F.array(*pairs).alias(name))
 
 
-def running_variance(
-    df: DataFrame, order: Sequence[str], x: str, by: Sequence[str] = (), chunk: int = DEFAULT_CHUNK
-) -> DataFrame:
+def running_variance(df: DataFrame, order: Sequence[str], x: str, by: Sequence[str] = ()) -> DataFrame:
     """Running variance sum(x^2)/k - (sum(x)/k)^2 with k = rows seen (``var_seen``) and with the
     reference's divisor k-1 (``var_ref``, null on the first row), plus the standard deviation of
     the running sum sqrt(k * var_seen)."""
-    r = running_sums(df, order, {"_s1": F.col(x), "_s2": F.col(x) * F.col(x)}, by=by, chunk=chunk)
+    r = running_sums(df, order, {"_s1": F.col(x), "_s2": F.col(x) * F.col(x)}, by=by)
     k = F.col("i") + 1
     return (
         r.withColumn("var_seen", F.col("_s2") / k - F.pow(F.col("_s1") / k, 2))
@@ -92,16 +97,15 @@ def running_variance(
     )
 
 
-def running_best_order(cum: DataFrame, query_key: Sequence[str], grid_col: str, cum_col: str, delta: float) -> DataFrame:
-    """Per query: epsilon = min over orders of cum - ln(delta)/(order-1), and the order reaching it
-    (smallest order on ties)."""
+def running_best_order(df: DataFrame, cums: str, delta: float) -> DataFrame:
+    """Per query (a row with its array of (grid, cum)): epsilon = min over orders of
+    cum - ln(delta)/(order-1), the order reaching it (smallest on ties) and its cost."""
     import math
 
-    eps = F.col(cum_col) - F.lit(math.log(delta)) / (F.col(grid_col) - 1)
-    return cum.withColumn("_eps", eps).groupBy(*query_key).agg(
-        F.min("_eps").alias("eps"),
-        F.min_by(F.col(grid_col), F.struct(F.col("_eps"), F.col(grid_col))).alias("best_order"),
-        F.min_by(F.col(cum_col), F.struct(F.col("_eps"), F.col(grid_col))).alias("cost_at_best"),
+    each = F.transform(cums, lambda x: F.struct((x["cum"] - F.lit(math.log(delta)) / (x["grid"] - 1)).alias("eps"), x["grid"].alias("order"), x["cum"].alias("cost")))
+    best = df.withColumn("_best", F.array_min(each)).drop(cums)
+    return best.select(
+        *[c for c in best.columns if c != "_best"], F.col("_best.eps").alias("eps"), F.col("_best.order").alias("best_order"), F.col("_best.cost").alias("cost_at_best")
     )
 
 

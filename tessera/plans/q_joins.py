@@ -136,9 +136,9 @@ def q_range_bucket(spark, sf_dir):
 )
 def q_asof(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-    curve = running_sums(li, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"], {"y": F.col("l_quantity")}, index_name="pos")
+    curve = running_sums(li, li.columns, {"y": F.col("l_quantity")}, index_name="pos", before={"y": "y_before"})
     total = li.agg(F.sum("l_quantity")).first()[0] or 0
-    return C.asof_forward_grid(curve, "y", "l_quantity", int(total // 5000) + 2, 5000.0)
+    return C.asof_forward_grid(curve, "y", "y_before", int(total // 5000) + 2, 5000.0)
 
 
 @register(

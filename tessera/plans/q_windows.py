@@ -18,12 +18,10 @@ _GRID_SQL = "(VALUES " + ", ".join(f"({g})" for g in GRID) + ") g(alpha)"
 _COST_SQL = "alpha * ((CAST(floor(o_totalprice) AS BIGINT) % 8) / 4096.0) / 2"
 
 
-def _order_costs(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select(
-        "o_orderkey", ((F.floor("o_totalprice").cast("long") % 8) / 4096.0).alias("x")
-    )
-    grid = spark.createDataFrame([(g,) for g in GRID], "alpha double")
-    return W.cross_grid(o, grid).withColumn("cost", F.col("alpha") * F.col("x") / 2)
+def _running_costs(spark, sf_dir):
+    """o_orderkey and the running cost of every order of the grid, as one array."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", ((F.floor("o_totalprice").cast("long") % 8) / 4096.0).alias("x"))
+    return W.running_cost(o, ["o_orderkey"], [(g, F.lit(g) * F.col("x") / 2) for g in GRID], ["o_orderkey"])
 
 
 @register(
@@ -32,8 +30,8 @@ def _order_costs(spark, sf_dir):
                ROWS UNBOUNDED PRECEDING), 6) AS cost_cum FROM orders, {_GRID_SQL}""",
 )
 def q_running_cost(spark, sf_dir):
-    r = W.running_cost(_order_costs(spark, sf_dir), ["o_orderkey"], "cost", "alpha")
-    return r.select("alpha", "o_orderkey", F.round("cost_cum", 6).alias("cost_cum"))
+    r = _running_costs(spark, sf_dir).select("o_orderkey", F.inline("cum"))
+    return r.select(F.col("grid").alias("alpha"), "o_orderkey", F.round("cum", 6).alias("cost_cum"))
 
 
 @register(
@@ -71,8 +69,7 @@ _BEST_SQL = f"""
     _BEST_SQL + "SELECT o_orderkey, round(eps, 6) AS eps, best_order FROM b",
 )
 def q_running_argmin(spark, sf_dir):
-    r = W.running_cost(_order_costs(spark, sf_dir), ["o_orderkey"], "cost", "alpha")
-    b = W.running_best_order(r, ["o_orderkey"], "alpha", "cost_cum", DELTA)
+    b = W.running_best_order(_running_costs(spark, sf_dir), "cum", DELTA)
     return b.select("o_orderkey", F.round("eps", 6).alias("eps"), "best_order")
 
 
@@ -83,8 +80,7 @@ def q_running_argmin(spark, sf_dir):
                  round((-ln({DELTA}) / (best_order - 1)) / eps, 6) AS share_delta FROM b""",
 )
 def q_cost_partition(spark, sf_dir):
-    r = W.running_cost(_order_costs(spark, sf_dir), ["o_orderkey"], "cost", "alpha")
-    p = W.cost_partition(W.running_best_order(r, ["o_orderkey"], "alpha", "cost_cum", DELTA), DELTA)
+    p = W.cost_partition(W.running_best_order(_running_costs(spark, sf_dir), "cum", DELTA), DELTA)
     return p.select("o_orderkey", F.round("share_steps", 6).alias("share_steps"), F.round("share_delta", 6).alias("share_delta"))
 
 

@@ -45,8 +45,13 @@ def test_group_index_with_hot_group(spark):
 
 def test_running_sums_multi_chunk(spark):
     df = _skewed(spark)
-    out = running_sums(df, ["k"], {"s": F.col("x")}, by=["g"], chunk=97).collect()
+    out = running_sums(df, ["k"], {"s": F.col("x")}, by=["g"], before={"s": "s_before"}).collect()
+    assert running_sums(df, ["k"], {"s": F.col("x")}, by=["g"]).drop("i").exceptAll(spark.createDataFrame(out).select("k", "g", "x", "s")).isEmpty()
     got = {(r.g, r.k): (r.i, r.s) for r in out}
+    last: dict = {}
+    for r in sorted(out, key=lambda r: (r.g, r.k)):
+        assert r.s_before == last.get(r.g)
+        last[r.g] = r.s
     rows = sorted((r.g, r.k, r.x) for r in df.collect())
     for g, grp in itertools.groupby(rows, key=lambda t: t[0]):
         acc = 0.0
