@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.arrays import argmax, l2_norm
@@ -179,26 +179,45 @@ def _clip_factor(vec: Column, clip: float | None) -> Column:
     return F.when(norm > F.lit(clip), F.lit(clip) / norm).otherwise(F.lit(1.0))
 
 
-def _elementwise_sum(df: DataFrame, vec: Column, factor: Column, group: Sequence[str] = ()) -> DataFrame:
-    """Element-wise sum of arrays: ``posexplode`` then ``sum`` per position.  Partial aggregation
-    leaves at most (groups x dimension) rows per task before the shuffle."""
-    ex = df.select(*group, factor.alias("_f"), F.posexplode(vec).alias("pos", "x"))
-    return ex.groupBy(*group, "pos").agg(F.sum(F.col("x") * F.col("_f")).alias("v"))
+#: Positions that are summed by one row of the aggregate.
+WIDTH = 200
 
 
-def _to_array(df: DataFrame, group: Sequence[str] = (), name: str = "vec", noise: Column | None = None) -> DataFrame:
-    v = F.col("v") if noise is None else F.col("v") + noise
-    return df.groupBy(*group).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", v.alias("v")))), lambda s: s["v"]).alias(name)
-    )
+def _sum_vectors(df: DataFrame, parts: Mapping[str, tuple[Column, Column]], noise: Column | None = None) -> DataFrame:
+    """part, sum_vec, n: the element-wise sum of each part (an array and a factor for each row) over all
+    rows, and their number.  Every position is a sum of its own in one aggregate, so rows are read once
+    and a task passes on one row.  Vectors wider than ``WIDTH`` are cut into pieces of that many
+    positions first, a row a piece.  Shorter arrays count as ending early."""
+    cols = [c for name, (vec, factor) in parts.items() for c in (vec.alias(f"_v_{name}"), factor.alias(f"_f_{name}"))]
+    rows = df.select(*cols)
+    sizes = rows.agg(F.count(F.lit(1)).alias("n"), *[F.max(F.size(f"_v_{p}")).alias(f"_s_{p}") for p in parts]).first()
+    size = {p: max(0, sizes[f"_s_{p}"] or 0) for p in parts}
+    pieces = max(1, *(-(-k // WIDTH) for k in size.values()))
+    if pieces == 1:
+        rows = rows.withColumn("_piece", F.lit(0))
+    else:
+        rows = rows.withColumn("_piece", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))))
+    span = range(min(WIDTH, max(size.values())))
+    sums = [F.sum(F.get(f"_v_{p}", F.col("_piece") * WIDTH + k) * F.col(f"_f_{p}")).alias(f"_{p}_{k}") for p in parts for k in span]
+    keys = [] if pieces == 1 else ["_piece"]
+    wide = rows.groupBy(*keys).agg(*sums, F.count(F.lit(1)).alias("_n"))
+    one = F.struct(*([F.col("_piece")] if keys else [F.lit(0).alias("_piece")]), *[F.array(*[F.col(f"_{p}_{k}") for k in span]).cast("array<double>").alias(p) for p in parts])
+    joined = wide.agg(F.array_sort(F.collect_list(one)).alias("_a"))  # a row a piece
+
+    def whole(p: str) -> Column:
+        return F.slice(F.flatten(F.transform("_a", lambda x: x[p])), 1, size[p])
+
+    out = joined.select(F.inline(F.array(*[F.struct(F.lit(p).alias("part"), whole(p).alias("sum_vec"), F.lit(sizes["n"]).alias("n")) for p in parts])))
+    # a position without a number is none
+    sums_of = F.transform("sum_vec", lambda x: F.coalesce(x, F.lit(0.0)) + (noise if noise is not None else F.lit(0.0)))
+    return out.select("part", sums_of.alias("sum_vec"), "n")
 
 
 def clipped_sum(df: DataFrame, vec: str, clip: float | None, stddev: float = 0.0, seed: int = 0) -> DataFrame:
     """Clip every record to L2 norm ``clip`` and add element-wise; optional Gaussian noise on the
     summed vector (one row per dimension)."""
-    sums = _elementwise_sum(df, F.col(vec), _clip_factor(F.col(vec), clip))
     noise = F.randn(seed) * stddev if stddev else None
-    return _to_array(sums, name="sum_vec", noise=noise)
+    return _sum_vectors(df, {"v": (F.col(vec), _clip_factor(F.col(vec), clip))}, noise).select("sum_vec")
 
 
 def clipped_avg(
@@ -211,25 +230,15 @@ def clipped_avg(
 
 def vector_sum_avg(df: DataFrame, vec: str) -> DataFrame:
     """Sum and true average, no clipping or noise."""
-    sums = _elementwise_sum(df, F.col(vec), F.lit(1.0))
-    n = df.agg(F.count(F.lit(1)).alias("n"))
-    return _to_array(sums, name="sum_vec").crossJoin(n).select(
-        "sum_vec", F.transform("sum_vec", lambda x: x / F.col("n")).alias("avg_vec")
-    )
+    s = _sum_vectors(df, {"v": (F.col(vec), F.lit(1.0))})
+    return s.select("sum_vec", F.transform("sum_vec", lambda x: x / F.col("n")).alias("avg_vec"))
 
 
 def nested_sums(df: DataFrame, vec: str, spec: Mapping[str, tuple[int, int, float]]) -> DataFrame:
     """Several clipped sums at once, each over its own slice ``(start, length)`` of the record with
-    its own clip; one shuffle for all of them (the part name is a grouping key)."""
-    parts = None
-    for name, (start, length, clip) in spec.items():
-        sl = F.slice(F.col(vec), start + 1, length)
-        one = df.select(F.lit(name).alias("part"), sl.alias("_v")).select(
-            "part", _clip_factor(F.col("_v"), clip).alias("_f"), F.posexplode("_v").alias("pos", "x")
-        )
-        parts = one if parts is None else parts.unionByName(one)
-    sums = parts.groupBy("part", "pos").agg(F.sum(F.col("x") * F.col("_f")).alias("v"))
-    return _to_array(sums, group=["part"], name="sum_vec")
+    its own clip: part, sum_vec; one aggregate over one scan for all of them."""
+    slices = {name: (F.slice(F.col(vec), start + 1, length), clip) for name, (start, length, clip) in spec.items()}
+    return _sum_vectors(df, {name: (sl, _clip_factor(sl, clip)) for name, (sl, clip) in slices.items()}).select("part", "sum_vec")
 
 
 # ---------------------------------------------------------------------------- bins
@@ -285,11 +294,6 @@ def mc_fraction(df: DataFrame, x: str, y: str) -> DataFrame:
     )
 
 
-def mc_points(spark: SparkSession, n: int, parts: int, seed: int = 0) -> DataFrame:
-    """Seeded random points in [0,1)^2 spread over ``parts`` partitions."""
-    return spark.range(0, n, 1, parts).select(F.rand(seed).alias("x"), F.rand(seed + 1).alias("y"))
-
-
 def weighted_mean(df: DataFrame, score: str, weight: str, group: Sequence[str] = ()) -> DataFrame:
     """sum(score * weight) / sum(weight); weight-0 rows (padding) drop out."""
     return df.groupBy(*group).agg(

@@ -59,7 +59,7 @@ def _describe_sql():
             ("min", f"min({c})"),
             ("max", f"max({c})"),
         ]:
-            parts.append(f"SELECT '{c}' AS column_name, '{s}' AS statistic, round({e}, 4) AS value FROM lineitem")
+            parts.append(f"SELECT '{c}' AS column_name, '{s}' AS statistic, round({e}, 4) + 0.0 AS value FROM lineitem")
     return " UNION ALL ".join(parts)
 
 

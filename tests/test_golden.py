@@ -60,10 +60,25 @@ def test_lcs_against_brute_force(spark):
                     best = max(best, r)
         return best
 
-    pairs = [(["a", "b", "c", "d"], ["b", "d", "a"]), (["x"], ["y"]), (["a", "a", "b"], ["a", "b", "a", "b"])]
-    df = spark.createDataFrame(pairs, "x array<string>, y array<string>")
-    got = [r.lcs for r in X.rouge_l_rows(df, "x", "y").collect()]
-    assert got == [brute(a, b) for a, b in pairs]
+    pairs = [(["a", "b", "c", "d"], ["b", "d", "a"]), (["x"], ["y"]), (["a", "a", "b"], ["a", "b", "a", "b"]), ([], ["a"])]
+    df = spark.createDataFrame([*pairs, (None, ["a"])], "x array<string>, y array<string>")
+    got = [r.lcs for r in df.select(X.lcs_length("x", "y").alias("lcs")).collect()]
+    assert got == [brute(a, b) for a, b in pairs] + [0]
+
+
+def test_lcs_of_long_rows():
+    import random
+
+    r = random.Random(2)
+    for n, m, letters in ((200, 300, 3), (65, 64, 2), (500, 128, 40), (1000, 1000, 900)):
+        a, b = [r.randrange(letters) for _ in range(n)], [r.randrange(letters) for _ in range(m)]
+        row = [0] * (m + 1)
+        for x in a:
+            above = row
+            row = [0]
+            for k, y in enumerate(b):
+                row.append(above[k] + 1 if x == y else max(above[k + 1], row[-1]))
+        assert X.common_subsequence(a, b) == row[-1]
 
 
 def test_shard_blocks(spark):
@@ -83,6 +98,19 @@ def test_clipped_sums(spark):
     assert a == pytest.approx([-1.0, 2.5])
 
 
+def test_sums_of_uneven_and_wide_vectors(spark, monkeypatch):
+    rows = [([1.0, 2.0, 3.0],), ([10.0],), ([],), (None,), ([None, 5.0],)]
+    df = spark.createDataFrame(rows, "v array<double>")
+    for width in (200, 2):
+        monkeypatch.setattr(D, "WIDTH", width)
+        r = D.vector_sum_avg(df, "v").first()
+        assert r.sum_vec == [11.0, 7.0, 3.0] and r.avg_vec == [x / 5 for x in r.sum_vec]
+        assert D.vector_sum_avg(df.limit(0), "v").first().sum_vec == []
+        nested = {x.part: x.sum_vec for x in D.nested_sums(df, "v", {"a": (0, 2, 100.0), "b": (2, 3, 1.0)}).collect()}
+        assert nested == {"a": [11.0, 7.0], "b": [1.0]}
+    assert "Generate" not in D.clipped_sum(df, "v", 1.0)._jdf.queryExecution().optimizedPlan().toString() or D.WIDTH < 3
+
+
 def test_nested_sums(spark):
     df = spark.createDataFrame([([5.0, 5.0, 5.0],), ([1.0, 1.0, 1.0],)], "v array<double>")
     out = {r.part: r.sum_vec for r in D.nested_sums(df, "v", {"a": (0, 1, 1.0), "b": (1, 2, 100.0)}).collect()}
@@ -159,8 +187,8 @@ def test_asof_forward_matches_searchsorted(spark):
     for x in incs:
         acc += x
         run.append(acc)
-    curve = spark.createDataFrame([(i, run[i], incs[i]) for i in range(5)], "pos long, y double, inc double")
-    got = {r.x: r.pos for r in C.asof_forward_grid(curve, "y", "inc", 14, 1.0).collect()}
+    curve = spark.createDataFrame([(i, run[i], run[i - 1] if i else None) for i in range(5)], "pos long, y double, before double")
+    got = {r.x: r.pos for r in C.asof_forward_grid(curve, "y", "before", 14, 1.0).collect()}
     want = {float(k): (bisect.bisect_left(run, k) if bisect.bisect_left(run, k) < 5 else None) for k in range(14)}
     assert got == want
     grid = spark.createDataFrame([(float(k),) for k in range(14)], "x double")
@@ -183,34 +211,6 @@ def test_hash_split_disjoint_complete(spark):
     assert 600 < counts[0] < 800
 
 
-def test_subword_prefix_counts_and_round_trip(spark):
-    from tessera.operators import subword as SW
-
-    tc = spark.createDataFrame([("abc", 5)], "token string, n long")
-    alphabet = SW.alphabet_of(tc, "token", [])
-    counts = {r.sub: r["count"] for r in SW._substring_counts(tc, list(alphabet), alphabet).collect()}
-    assert counts == {s: 5 for s in ["a", "ab", "abc", "abc_", "b", "bc", "bc_", "c", "c_", "_"]}
-    df = spark.createDataFrame([(0, "testing 123")], "k long, s string")
-    enc = SW.subword_encode(df, "k", "s", ["123_", "test", "ing_"])
-    assert enc.first().ids == [1, 2, 0]
-    assert SW.subword_decode(enc, "ids", ["123_", "test", "ing_"]).first().text == "testing 123"
-
-
-def test_fixed_records_reader(spark, tmp_path):
-    import struct
-
-    from tessera.sources.io import read_fixed_records
-
-    p = tmp_path / "imgs"
-    p.mkdir()
-    (p / "a.bin").write_bytes(struct.pack(">iii", 2051, 2, 4) + bytes([0, 255, 51, 102, 255, 0, 0, 0]))
-    rows = read_fixed_records(spark, str(p), 4, 12, 2051).orderBy("record").collect()
-    assert [r.pixels for r in rows] == [[0.0, 1.0, 0.2, 0.4], [1.0, 0.0, 0.0, 0.0]]
-    (p / "a.bin").write_bytes(struct.pack(">iii", 7, 2, 4) + bytes(8))
-    with pytest.raises(Exception):
-        read_fixed_records(spark, str(p), 4, 12, 2051).collect()
-
-
 # Local-sensitivity arrays of the smooth-sensitivity analysis (published test cases).
 LS_GNMAX_RIGHT = [3.13503646e-17, 1.60178280e-08, 5.90681786e-03] + [5.99981308e+00] * 7
 LS_GNMAX_LEFT = [0.0] * 298 + [2.77693450548e-7, 2.10853979548e-6] + [2.73113623988e-6] * 1700
