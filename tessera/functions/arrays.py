@@ -104,14 +104,22 @@ def softmax_t(col: str | Column, t: float) -> Column:
 
 
 def draw_index(probs: str | Column, u: Column) -> Column:
-    """Index drawn from a probability array given a uniform ``u``: first index whose running sum
-    exceeds ``u``."""
-    c = _c(probs)
-    running = F.transform(
-        c, lambda x, i: F.aggregate(F.slice(c, 1, i + 1), F.lit(0.0), lambda a, y: a + y.cast("double"))
-    )
-    hit = F.filter(F.transform(running, lambda r, i: F.when(r > u, i)), lambda z: z.isNotNull())
-    return F.coalesce(F.try_element_at(hit, F.lit(1)), F.size(c) - 1)
+    """Index drawn from a probability array given a uniform ``u``: the first index whose running sum
+    exceeds ``u``, else the last one.  One pass: the fold carries the sum and the index found."""
+    start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("i"), F.lit(None).cast("int").alias("hit"))
+
+    def step(acc, x):
+        total = acc["sum"] + x.cast("double")
+        return F.struct(total.alias("sum"), (acc["i"] + 1).alias("i"), F.coalesce(acc["hit"], F.when(total > u, acc["i"])).alias("hit"))
+
+    return F.aggregate(_c(probs), start, step, lambda acc: F.coalesce(acc["hit"], acc["i"] - 1))
+
+
+def uniform_md5(*cols: Column, seed: int = 0) -> Column:
+    """A uniform value in [0, 1) from the md5 of the columns as text and the seed: the first 32 bits of
+    the digest, the same in any engine that has md5."""
+    text = F.concat_ws(":", *[c.cast("string") for c in cols], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / float(1 << 32)
 
 
 def discounted_max(col: str | Column, beta: float) -> Column:

@@ -1,17 +1,12 @@
-"""Column functions for strings, URLs, JSON, HTML, maps and scoring (inventory section I).
-
-All but the HTML text extraction are built-in expressions; the HTML parser runs as an
-Arrow-batched pandas UDF over one page at a time."""
+"""Column functions for strings, URLs, JSON, maps and scoring (inventory section I); HTML has its own
+module."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def _c(col: str | Column) -> Column:
@@ -64,70 +59,6 @@ def json_get(col: str | Column, path: str) -> Column:
     return F.get_json_object(_c(col), path)
 
 
-# ---------------------------------------------------------------------------- HTML
-class _PageParser(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.title, self.text, self.links = [], [], []
-        self._stack = []
-
-    def handle_starttag(self, tag, attrs):
-        self._stack.append(tag)
-        if tag == "a":
-            for k, v in attrs:
-                if k == "href" and v is not None:
-                    self.links.append(v)
-
-    def handle_endtag(self, tag):
-        while self._stack:
-            if self._stack.pop() == tag:
-                break
-
-    def handle_data(self, data):
-        if "title" in self._stack:
-            self.title.append(data)
-        elif not any(t in ("script", "style", "head") for t in self._stack):
-            self.text.append(data)
-
-
-def parse_page(html: str) -> tuple[str, str, list[str]]:
-    p = _PageParser()
-    p.feed(html or "")
-    p.close()
-    text = " ".join(t.strip() for t in p.text if t.strip())
-    return "".join(p.title).strip(), text, p.links
-
-
-_PAGE_SCHEMA = T.StructType(
-    [
-        T.StructField("title", T.StringType()),
-        T.StructField("text", T.StringType()),
-        T.StructField("links", T.ArrayType(T.StringType())),
-    ]
-)
-
-
-@F.pandas_udf(_PAGE_SCHEMA)
-def page_parts(html: pd.Series) -> pd.DataFrame:
-    """Title, visible text and link targets of each page (stdlib HTML parser)."""
-    rows = [parse_page(h) for h in html]
-    return pd.DataFrame(rows, columns=["title", "text", "links"])
-
-
-def page_text(df: DataFrame, html: str, min_len: int = 10) -> DataFrame:
-    """Title and visible text of each page; rows whose text is not longer than ``min_len`` go."""
-    p = df.withColumn("_p", page_parts(F.col(html)))
-    return p.select(*[c for c in df.columns if c != html], "_p.title", "_p.text").filter(F.length("text") > min_len)
-
-
-def extract_links(df: DataFrame, html: str, pattern: str) -> DataFrame:
-    """Anchor targets matching ``pattern`` (a regular expression on the target), one row each.
-    A regular expression over ``<a href="...">`` stays in the JVM; ``page_parts`` gives the
-    parser-based form."""
-    links = F.regexp_extract_all(F.col(html), F.lit(r'<a href="([^"]*)"'), 1)
-    return df.select(*[c for c in df.columns if c != html], F.explode(F.filter(links, lambda x: x.rlike(pattern))).alias("link"))
-
-
 # ---------------------------------------------------------------------------- scores
 def zscore_class(a_cat: Column, a_dog: Column, cat: tuple[float, float], dog: tuple[float, float]):
     """z = (A - mean) / std for both scores; the class comes from the larger |z| and its sign

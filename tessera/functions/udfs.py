@@ -1,6 +1,6 @@
 """UDF, UDAF and batch-scoring surface (inventory section N).
 
-Models are small fitted parameter tables (here nearest-centroid classifiers whose size is
+Fitted parameters are small tables (here nearest-centroid classifiers whose size is
 classes x dimensions) shipped to the executors as broadcast variables; scoring runs in
 Arrow-batched iterator pandas UDFs or ``mapInPandas``.  The private-query aggregate follows the
 initial / accumulate / merge / result protocol as a per-partition partial aggregate
@@ -8,7 +8,8 @@ initial / accumulate / merge / result protocol as a per-partition partial aggreg
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import time
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -17,15 +18,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Most entries (classes times dimensions) of a parameter table that is collected and broadcast.
+MOST_PARAMETERS = 4_000_000
+
+
 def fit_centroids(df: DataFrame, vec: str, label: str) -> np.ndarray:
-    """Per-class mean vectors (a classes x dimensions parameter table, computed by Spark)."""
-    ex = df.select(F.col(label).cast("int").alias("c"), F.posexplode(vec).alias("pos", "x"))
-    m = ex.groupBy("c", "pos").agg(F.avg(F.col("x").cast("double")).alias("m")).collect()
-    n_c = max(r.c for r in m) + 1
-    dim = max(r.pos for r in m) + 1
+    """Per-class mean vectors: a classes x dimensions parameter table, computed by Spark, whose size is
+    checked before it is collected.  Classes and dimensions that have no value are nan."""
+    size = df.agg(F.max(F.col(label).cast("int")).alias("c"), F.max(F.size(vec)).alias("d")).first()
+    n_c, dim = (size["c"] if size["c"] is not None else -1) + 1, max(size["d"] or 0, 0)
+    if n_c * dim > MOST_PARAMETERS:
+        raise ValueError(f"{n_c} classes of {dim} dimensions are more than {MOST_PARAMETERS} parameters")
     out = np.full((n_c, dim), np.nan)
-    for r in m:
-        out[r.c, r.pos] = r.m
+    means = [F.avg(F.get(vec, F.lit(k)).cast("double")) for k in range(dim)]
+    rows = df.groupBy(F.col(label).cast("int").alias("c")).agg(F.array(*means).alias("m")) if dim else df.limit(0).select(F.lit(0).alias("c"))
+    for r in rows.where("c is not null").collect():
+        out[r.c] = [np.nan if x is None else x for x in r.m]
     return out
 
 
@@ -86,24 +94,75 @@ def request_chain(df: DataFrame, body: str, schema: str, observation: Observatio
     return out
 
 
+def timed_chain(df: DataFrame, stages: Sequence[tuple[str, Callable[[pd.DataFrame], pd.DataFrame]]], schema: str, observation: Observation) -> DataFrame:
+    """Requests through a chain of stages (name, function of a frame) on Arrow batches, the last of which
+    gives the columns of ``schema``.  Tasks time every call; the times ride with the rows to the end of the
+    plan, where ``observation`` adds them up: for each stage ``<name>_calls``, ``<name>_rows`` and
+    ``<name>_seconds``.  A task that is run again counts once, as its rows do."""
+    names = [name for name, _ in stages]
+    timed = T.StructType([*T.StructType.fromDDL(schema).fields, *[T.StructField(f"_{n}_{x}", T.DoubleType()) for n in names for x in ("rows", "seconds")]])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            spent = {}
+            for name, stage in stages:
+                began = time.perf_counter()
+                frame = stage(frame)
+                spent[f"_{name}_seconds"] = time.perf_counter() - began
+                spent[f"_{name}_rows"] = float(len(frame))
+            out = frame.reset_index(drop=True)
+            for name, value in spent.items():  # on the first row of the batch
+                out[name] = pd.Series([value], dtype="float64").reindex(out.index)
+            yield out
+
+    out = df.mapInPandas(run, timed)
+    counted = [
+        x for n in names for x in (F.count(f"_{n}_seconds").alias(f"{n}_calls"), F.sum(f"_{n}_rows").cast("long").alias(f"{n}_rows"), F.sum(f"_{n}_seconds").alias(f"{n}_seconds"))
+    ]
+    return out.observe(observation, *counted).drop(*[f"_{n}_{x}" for n in names for x in ("rows", "seconds")])
+
+
+def stage_times(spark: SparkSession, observation: Observation, names: Sequence[str]) -> DataFrame:
+    """One row a stage: stage, position, calls, rows, seconds.  The observed query must have run."""
+    seen = observation.get
+    rows = [(n, k, int(seen[f"{n}_calls"]), int(seen[f"{n}_rows"] or 0), float(seen[f"{n}_seconds"] or 0.0)) for k, n in enumerate(names)]
+    return spark.createDataFrame(rows, "stage string, position int, calls long, rows long, seconds double")
+
+
+#: Partial sums a task holds before it passes them on.
+HELD_BYTES = 64 << 20
+
+
 def private_query(df: DataFrame, key: str, vec: str, clip: float, denominator: float | None = None) -> DataFrame:
-    """Clipped-sum private query as a distributed UDAF: each partition accumulates one partial
-    sum per key (initial state + accumulate), partials are merged by a shuffle on the key and the
-    result step divides by ``denominator`` when given."""
+    """Clipped-sum private query as a distributed UDAF: each task accumulates a partial sum per key
+    (initial state + accumulate) and passes them on when they take ``HELD_BYTES``; partials are merged by
+    a shuffle on the key and the result step divides by ``denominator`` when given.  Rows of a key must
+    have vectors of one length; null keys form a group, null vectors count as no row."""
     schema = T.StructType([T.StructField(key, T.LongType()), T.StructField("partial", T.ArrayType(T.DoubleType()))])
 
     def accumulate(it):
-        state: dict[int, np.ndarray] = {}
+        state: dict[object, np.ndarray] = {}
+        held = 0
+
+        def done():
+            return pd.DataFrame({key: pd.array(list(state), "Int64"), "partial": [a.tolist() for a in state.values()]})
+
         for pdf in it:
-            for k, v in zip(pdf[key], pdf[vec]):
-                x = np.asarray(v, dtype=np.float64)
-                norm = float(np.sqrt((x * x).sum()))
-                if norm > clip:
-                    x = x * (clip / norm)
-                acc = state.get(int(k))
-                state[int(k)] = x if acc is None else acc + x
+            for k, part in pdf[pdf[vec].notna()].groupby(key, dropna=False, sort=False):
+                x = np.vstack(part[vec].to_list()).astype(np.float64)
+                norm = np.sqrt((x * x).sum(axis=1))
+                add = (x * np.minimum(1.0, clip / np.maximum(norm, np.finfo(float).tiny))[:, None]).sum(axis=0)
+                k = None if pd.isna(k) else int(k)
+                if k in state:
+                    state[k] = state[k] + add
+                else:
+                    state[k] = add
+                    held += add.nbytes + 200
+            if held > HELD_BYTES:
+                yield done()
+                state, held = {}, 0
         if state:
-            yield pd.DataFrame({key: list(state), "partial": [a.tolist() for a in state.values()]})
+            yield done()
 
     partials = df.select(F.col(key).cast("long").alias(key), vec).mapInPandas(accumulate, schema)
     ex = partials.select(key, F.posexplode("partial").alias("pos", "x"))

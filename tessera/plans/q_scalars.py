@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import arrays as A
+from tessera.functions import html as H
 from tessera.functions import scalars as S
 from tessera.operators import text as X
 from tessera.plans.catalog import register
@@ -146,13 +147,51 @@ def q_response(spark, sf_dir):
     """SELECT page_id, unnest(list_filter(regexp_extract_all(html, '<a href="([^"]*)"', 1), lambda x: regexp_matches(x, '^/[a-z]'))) AS link FROM pages""",
 )
 def q_links(spark, sf_dir):
-    return S.extract_links(table(spark, sf_dir, "pages").select("page_id", "html"), "html", "^/[a-z]")
+    return H.extract_links(table(spark, sf_dir, "pages").select("page_id", "html"), "html", "^/[a-z]")
 
 
-@register("html_title_text")
+@register(
+    "html_links_attributes",
+    """SELECT page_id, unnest(['/lyrics/p' || page_id || '.html', '/lyrics/q?a=' || page_id || '&b=2', '/lyrics/r' || page_id || '.html']) AS link FROM pages""",
+)
+def q_links_attributes(spark, sf_dir):
+    """Links of class ``song`` that open in a new window and lead to a lyrics page, found among variants
+    added to every page: attributes in any order, either quotes or none, look-alikes in other values,
+    comments and scripts."""
+    n = F.col("page_id").cast("string")
+    planted = F.concat(
+        F.col("html"),
+        F.lit("<A TARGET='_blank' data-x='href=\"/lyrics/no1.html\" >' Class=\"new song\" HREF=/lyrics/p"), n, F.lit(".html>x</A>"),
+        F.lit('<a class="song" target="_blank" href="/lyrics/q?a='), n, F.lit('&amp;b=2">y</a>'),
+        F.lit("<a\nhref = '/lyrics/r"), n, F.lit(".html'\ttarget=_blank class=song>z</a>"),
+        F.lit('<a class="songs" target="_blank" href="/lyrics/no2.html">n</a><a class="song" href="/lyrics/no3.html">n</a>'),
+        F.lit('<a class="song" target="_top" href="/lyrics/no4.html">n</a><a class="song" target="_blank" href="/other/no5.html">n</a>'),
+        F.lit('<!-- <a class="song" target="_blank" href="/lyrics/no6.html">n</a> --><script>"<a class=song target=_blank href=/lyrics/no7.html>"</script>'),
+    )
+    pages = table(spark, sf_dir, "pages").select("page_id", planted.alias("html"))
+    return H.extract_links(pages, "html", "lyrics/", css_class="song", target="_blank")
+
+
+_SHOWN_SQL = "regexp_replace(html, '(?s)<!--.*?-->|<script>.*?</script>|<style>.*?</style>', ' ', 'g')"
+
+
+def _plain_sql(x):
+    for ref, char in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+        x = f"replace({x}, '&{ref};', '{char}')"
+    return x
+
+
+@register(
+    "html_title_text",
+    f"""WITH p AS (SELECT page_id, {_SHOWN_SQL} AS h FROM pages),
+            b AS (SELECT page_id, trim(regexp_extract(h, '(?s)<title>(.*?)</title>', 1)) AS title,
+                         list_filter(list_transform(regexp_split_to_array(regexp_replace(h, '(?s)<head>.*?</head>', ' '), '<[^>]*>'),
+                                     lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '') AS pieces FROM p),
+            t AS (SELECT page_id, {_plain_sql('title')} AS title, {_plain_sql("array_to_string(pieces, ' ')")} AS text FROM b)
+       SELECT page_id, title, text FROM t WHERE length(text) > 10""",
+)
 def q_page_text(spark, sf_dir):
-    """Title and visible text by the stdlib HTML parser (pandas UDF); checked on fixtures."""
-    return S.page_text(table(spark, sf_dir, "pages").select("page_id", "html"), "html")
+    return H.page_text(table(spark, sf_dir, "pages").select("page_id", "html"), "html")
 
 
 # Mean and standard deviation of the two affinities (cat: 0.1, 0.20; dog: 0.3, 0.40).
@@ -224,6 +263,21 @@ def q_softmax(spark, sf_dir):
     return e.select("vec_id", _rv(A.softmax_t("p", 0.5)).alias("probs"))
 
 
+@register(
+    "math_softmax_draw",
+    """WITH e AS (SELECT vec_id, list_transform(embedding, lambda p: exp(ln(abs(p::DOUBLE) + 0.01) / 0.5)) AS e FROM embeddings),
+            s AS (SELECT vec_id, list_transform(e, lambda x: x / list_sum(e)) AS p, CAST(('0x' || md5(vec_id || ':11')[1:8]) AS BIGINT) / 4294967296.0 AS u FROM e),
+            x AS (SELECT vec_id, p, u, unnest(range(1, len(p) + 1)) AS i FROM s),
+            r AS (SELECT vec_id, i, u, sum(p[i]) OVER (PARTITION BY vec_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS c FROM x)
+       SELECT vec_id, CAST(coalesce(min(i) FILTER (WHERE c > u), max(i)) - 1 AS INTEGER) AS drawn FROM r GROUP BY vec_id""",
+)
+def q_softmax_draw(spark, sf_dir):
+    """One draw for each row from the tempered distribution, by a uniform value hashed from its id."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda x: F.abs(x.cast("double")) + 0.01).alias("p"))
+    probs = e.select("vec_id", A.softmax_t("p", 0.5).alias("p"))
+    return probs.select("vec_id", A.draw_index("p", A.uniform_md5(F.col("vec_id"), seed=11)).cast("int").alias("drawn"))
+
+
 @register(
     "math_length_norm",
     """SELECT doc_id, round((-(n_chars / 100.0)) / power((5.0 + len(string_split(text, ' '))) / 6.0, 0.6), 6) AS normed FROM documents""",
