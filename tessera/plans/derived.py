@@ -12,8 +12,8 @@ from tessera.session import table
 # The five event types in sorted order (the class order of vote arrays).
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
-# Number of voting "models" over the embedding and the slice width of each.
-N_MODELS = 6
+# Number of voters over the embedding and the slice width of each.
+N_VOTERS = 6
 SLICE = 10
 
 
@@ -41,20 +41,33 @@ def model_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long table (vec_id, model, pred): model m predicts the argmax of embedding slice m."""
     emb = table(spark, sf_dir, "embeddings")
     preds = F.transform(
-        F.sequence(F.lit(0), F.lit(N_MODELS - 1)),
+        F.sequence(F.lit(0), F.lit(N_VOTERS - 1)),
         lambda m: F.struct(m.alias("model"), argmax(F.slice("embedding", m * SLICE + 1, SLICE)).alias("pred")),
     )
     return emb.select("vec_id", F.inline(preds))
 
 
 def model_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vote arrays of the embedding models: ten classes per vector."""
+    """Vote arrays of the embedding voters: ten classes per vector."""
     p = model_predictions(spark, sf_dir)
     return p.groupBy("vec_id").agg(
         F.array(*[F.count_if(F.col("pred") == i) for i in range(10)]).alias("votes")
     )
 
 
+# The languages of the documents, and the characters whose shares tell them apart.
+LANGUAGES = ["de", "en", "es", "fr"]
+LETTERS = "abcdefghijklmnopqrstuvwxyzäöüßéèêçñáíó "
+
+
+def letter_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, the share of each of LETTERS in the lower-case text, and the language as a number."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("t"), (F.array_position(F.array(*[F.lit(x) for x in LANGUAGES]), F.col("lang")) - 1).alias("label"))
+    size = F.greatest(F.length("t"), F.lit(1))
+    share = [(F.length("t") - F.length(F.replace("t", F.lit(c)))) / size for c in LETTERS]
+    return d.where("label >= 0").select("doc_id", F.array(*share).alias("shares"), F.col("label").cast("double").alias("label"))
+
+
 # SQL forms of the derivations, for the oracle statements.
 SQL_EVENT_VOTES = (
     "(SELECT user_id, ["
@@ -70,7 +83,7 @@ SQL_EVENT_ITEMS = (
 SQL_MODEL_PREDICTIONS = (
     "(SELECT vec_id, m AS model, "
     f"CAST(list_position(embedding[m*{SLICE}+1:m*{SLICE}+{SLICE}], list_max(embedding[m*{SLICE}+1:m*{SLICE}+{SLICE}])) - 1 AS INTEGER) AS pred "
-    f"FROM embeddings, range(0, {N_MODELS}) r(m))"
+    f"FROM embeddings, range(0, {N_VOTERS}) r(m))"
 )
 
 SQL_MODEL_VOTES = (

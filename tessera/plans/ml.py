@@ -1,4 +1,4 @@
-"""Spark ML feature stages and models (inventory section K).  Estimators are the distributed ones
+"""Spark ML feature stages and estimators (inventory section K).  Estimators are the distributed ones
 of ``pyspark.ml``; vectors are turned back into arrays with ``vector_to_array`` at the edges."""
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from pyspark.ml.feature import (
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def string_index(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -90,17 +91,23 @@ def linreg(df: DataFrame, features: str, label: str, reg: float = 0.0, l1: float
     return LinearRegression(featuresCol=features, labelCol=label, regParam=reg, elasticNetParam=l1).fit(df)
 
 
-def elastic_net(df: DataFrame, features: str, label: str, alphas: Sequence[float], ratios: Sequence[float]) -> DataFrame:
-    """One fit per (alpha, l1 ratio); RMSE, MAE and R2 kept per run (on the training rows)."""
+def held_out(df: DataFrame, key: str, parts: int = 4, name: str = "held_out") -> DataFrame:
+    """Mark one row in ``parts``, told by the hash of its key, as not to be learnt from."""
+    return df.withColumn(name, F.pmod(F.xxhash64(F.col(key), F.lit(17)), F.lit(parts)) == 0)
+
+
+def elastic_net(train: DataFrame, test: DataFrame, features: str, label: str, alphas: Sequence[float], ratios: Sequence[float]) -> DataFrame:
+    """One fit on ``train`` per (alpha, l1 ratio); RMSE, MAE and R2 on ``test`` kept per run."""
+    train = train.persist()
     rows = []
     ev = RegressionEvaluator(labelCol=label, predictionCol="prediction")
     for a in alphas:
         for r in ratios:
-            m = linreg(df, features, label, a, r)
-            p = m.transform(df)
+            p = linreg(train, features, label, a, r).transform(test)
             rows.append((float(a), float(r), ev.evaluate(p, {ev.metricName: "rmse"}), ev.evaluate(p, {ev.metricName: "mae"}),
                          ev.evaluate(p, {ev.metricName: "r2"})))
-    return df.sparkSession.createDataFrame(rows, "alpha double, l1_ratio double, rmse double, mae double, r2 double")
+    train.unpersist()
+    return test.sparkSession.createDataFrame(rows, "alpha double, l1_ratio double, rmse double, mae double, r2 double")
 
 
 def rf_regress(df: DataFrame, features: str, label: str, seed: int = 42, trees: int = 20):
@@ -117,18 +124,28 @@ def boosted(df: DataFrame, features: str, label: str, valid_col: str, iters: int
     return OneVsRest(classifier=gbt, featuresCol=features, labelCol=label).fit(df)
 
 
-def cross_validate(df: DataFrame, features: str, label: str, depths: Sequence[int], folds: int = 2, seed: int = 42):
-    rf = RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=10, seed=seed)
-    grid = ParamGridBuilder().addGrid(rf.maxDepth, list(depths)).build()
+def _selected(estimator, grid, label: str, folds: int, seed: int, df: DataFrame):
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
-    return CrossValidator(estimator=rf, estimatorParamMaps=grid, evaluator=ev, numFolds=folds, seed=seed).fit(df)
+    return CrossValidator(estimator=Pipeline(stages=[estimator]), estimatorParamMaps=grid, evaluator=ev, numFolds=folds, seed=seed).fit(df)
+
+
+def cross_validate(df: DataFrame, features: str, label: str, depths: Sequence[int], folds: int = 2, seed: int = 42, trees: int = 10):
+    """Forests of each depth by cross-validation: ``avgMetrics`` are the accuracies, ``bestModel`` is the
+    pipeline of the best one, fitted on all of ``df``."""
+    rf = RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=trees, seed=seed)
+    return _selected(rf, ParamGridBuilder().addGrid(rf.maxDepth, list(depths)).build(), label, folds, seed, df)
 
 
 def mlp_grid(df: DataFrame, features: str, label: str, n_in: int, n_out: int, hidden: Sequence[int], folds: int = 2):
+    """Perceptrons of each hidden width by cross-validation, as ``cross_validate``."""
     mlp = MultilayerPerceptronClassifier(featuresCol=features, labelCol=label, maxIter=50, seed=42, layers=[n_in, hidden[0], n_out])
-    grid = ParamGridBuilder().addGrid(mlp.layers, [[n_in, h, n_out] for h in hidden]).build()
-    ev = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
-    return CrossValidator(estimator=mlp, estimatorParamMaps=grid, evaluator=ev, numFolds=folds, seed=42).fit(df)
+    return _selected(mlp, ParamGridBuilder().addGrid(mlp.layers, [[n_in, h, n_out] for h in hidden]).build(), label, folds, 42, df)
+
+
+def kept_best(selection, path: str) -> PipelineModel:
+    """The best pipeline of a selection, saved at ``path`` and loaded from there."""
+    save_model(selection.bestModel, path)
+    return load_model(path)
 
 
 def score(df: DataFrame, model: PipelineModel, keep: Sequence[str]) -> DataFrame:

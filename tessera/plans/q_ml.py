@@ -1,4 +1,4 @@
-"""Queries for section K (ML stages and models).  Learned outputs have no SQL twin; their queries
+"""Queries for section K (ML stages and estimators).  Learned outputs have no SQL twin; their queries
 return the scored rows (or run metrics) and the tests check stated properties."""
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.plans import ml as K
 from tessera.plans.catalog import register
+from tessera.plans.derived import LANGUAGES, LETTERS, letter_shares
 from tessera.session import scratch_path, table
 
 
@@ -129,24 +130,33 @@ def q_linreg_fit(spark, sf_dir):
     return spark.createDataFrame([(float(m.intercept), [float(x) for x in m.coefficients])], "intercept double, coefficients array<double>")
 
 
+def _split(df, key):
+    marked = K.held_out(df, key)
+    return marked, marked.where(~F.col("held_out"))
+
+
 @register("ml_elastic_net")
 def q_elastic(spark, sf_dir):
-    return K.elastic_net(_li_features(spark, sf_dir), "features", "label", [0.1, 1.0], [0.0, 0.5])
+    """Fitted on three quarters of the order keys, measured on the last one."""
+    li = K.assemble(table(spark, sf_dir, "lineitem"), ["l_quantity", "l_discount", "l_tax"])
+    d = K.held_out(li.select("l_orderkey", "features", F.col("l_extendedprice").alias("label")), "l_orderkey").select("features", "label", "held_out")
+    return K.elastic_net(d.where(~F.col("held_out")), d.where("held_out"), "features", "label", [0.1, 1.0], [0.0, 0.5])
 
 
 @register("ml_forest_regression")
 def q_rf_reg(spark, sf_dir):
-    d = _li_features(spark, sf_dir)
-    m = K.rf_regress(d, "features", "label", trees=10)
-    return m.transform(d).select("label", "prediction")
+    """Predictions of all rows; those held out have not been learnt from."""
+    li = K.assemble(table(spark, sf_dir, "lineitem"), ["l_quantity", "l_discount", "l_tax"])
+    d, train = _split(li.select("l_orderkey", "features", F.col("l_extendedprice").alias("label")), "l_orderkey")
+    return K.rf_regress(train, "features", "label", trees=10).transform(d).select("label", "prediction", "held_out")
 
 
 @register("ml_forest_classifier")
 def q_rf_cls(spark, sf_dir):
-    e = _emb(spark, sf_dir)
-    m = K.rf_classify(e, "features", "label", trees=10)
-    return m.transform(e).select("vec_id", "prediction", vector_to_array("probability").alias("probability"),
-                                 vector_to_array("rawPrediction").alias("raw"))
+    e, train = _split(_emb(spark, sf_dir), "vec_id")
+    m = K.rf_classify(train, "features", "label", trees=10)
+    return m.transform(e).select("vec_id", "label", "prediction", vector_to_array("probability").alias("probability"),
+                                 vector_to_array("rawPrediction").alias("raw"), "held_out")
 
 
 @register("ml_boosted_trees")
@@ -170,6 +180,42 @@ def q_mlp(spark, sf_dir):
     return spark.createDataFrame([(float(h), float(s)) for h, s in zip([16, 32], cv.avgMetrics)], "hidden double, accuracy double")
 
 
+def _chosen(spark, sf_dir, select, name):
+    """Tell the language of a document by its letters: select on three quarters, keep the best pipeline,
+    score the last quarter with what was saved."""
+    shares = letter_shares(spark, sf_dir).select("doc_id", array_to_vector("shares").alias("features"), "label")
+    d, train = _split(shares, "doc_id")
+    best = K.kept_best(select(train), scratch_path(spark, name))
+    return best.transform(d.where("held_out")).select("doc_id", "label", "prediction", vector_to_array("probability").alias("probability"))
+
+
+@register("ml_cross_validate_best")
+def q_cv_best(spark, sf_dir):
+    return _chosen(spark, sf_dir, lambda d: K.cross_validate(d, "features", "label", [2, 6], folds=2, trees=10), "forest")
+
+
+@register("ml_mlp_grid_best")
+def q_mlp_best(spark, sf_dir):
+    return _chosen(spark, sf_dir, lambda d: K.mlp_grid(d, "features", "label", len(LETTERS), len(LANGUAGES), [8, 16], folds=2), "perceptron")
+
+
+@register(
+    "ml_feature_values",
+    """WITH p AS (SELECT o_orderpriority AS v, row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) AS i FROM orders GROUP BY 1),
+            s AS (SELECT o_orderstatus AS v, row_number() OVER (ORDER BY count(*) DESC, o_orderstatus) AS i FROM orders GROUP BY 1),
+            n AS (SELECT (SELECT count(*) FROM p) AS np, (SELECT count(*) FROM s) AS ns, stddev_samp(o_totalprice) AS sd FROM orders)
+       SELECT o_orderkey, list_concat(list_concat(list_transform(range(1, np + 1), lambda k: CASE WHEN k = p.i THEN 1.0 ELSE 0.0 END),
+                                                  list_transform(range(1, ns + 1), lambda k: CASE WHEN k = s.i THEN 1.0 ELSE 0.0 END)),
+                                      [round(o_totalprice / sd, 6)])::DOUBLE[] AS features
+       FROM orders JOIN p ON p.v = o_orderpriority JOIN s ON s.v = o_orderstatus, n""",
+)
+def q_feature_values(spark, sf_dir):
+    """The vectors of the fitted chain of feature stages."""
+    o = table(spark, sf_dir, "orders")
+    m = K.feature_stages(["o_orderpriority", "o_orderstatus"], ["o_totalprice"]).fit(o)
+    return m.transform(o).select("o_orderkey", F.transform(vector_to_array("features"), lambda x: F.round(x, 6)).alias("features"))
+
+
 def _fit_pipeline(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     from pyspark.ml.regression import LinearRegression
