@@ -4,123 +4,112 @@ Documents are tokenised in tasks (Arrow batches), cut into pieces of at most ``c
 reduced to a histogram of piece lengths.  There are only ``capacity`` lengths, so the histogram stays
 small at any corpus size: the packing is planned on it, as bin patterns with a repeat count, and each
 piece finds its place in the plan by its rank among the pieces of its length.  The ranks come from a
-salted two-level numbering, so no task holds all pieces of one length.
+two-level numbering in parts, so no task holds all pieces of one length; full pieces need none.
 """
 
 from __future__ import annotations
 
 import bisect
+import json
 import os
-import re
-import struct
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import written
+from tessera.llm.common import give_back, unused, written
 
 END_ID = 2
 CAPACITY = 1024
-#: Groups that each length's numbering is spread over.
-SALT = 128
-#: Words in one generation of a worker's cache; it keeps two, and what is used passes to the younger.
-CACHE_WORDS = 500_000
+#: Groups that the numbering of the pieces is spread over.
+GROUPS = 4096
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-class CachedEncoder:
-    """Byte-level BPE ids of whole texts as little-endian 32-bit bytes, with bounded word caches.
+# Fixed value: the pattern of byte-level pre-tokenizers.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-    The pre-tokenizer never joins a single space between two non-spaces to what stands before it, so
-    a text may be encoded word by word, each with its leading space.  Texts with other white space
-    around a space are cut only where that holds.  A word new to the cache is cut once more into
-    letters and marks, which the pre-tokenizer also keeps apart, as those parts repeat more often."""
 
-    _cut = re.compile(r"(?<=\S)(?= \S)")
-    _parts = re.compile(r"( ?[^\W\d_]+)([^\w\s']+)?(?:(\n)([^\W\d_]+)([^\w\s']+)?)?")
+def _bytes_of_signs() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: printable Latin-1 characters
+    stand for themselves, the other bytes for the characters from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
+class Encoder:
+    """Ids of whole texts by a byte-level BPE tokenizer file, as little-endian 32-bit bytes.
+
+    In such a file the merges stand in the order of the ids they make, so the vocabulary is a table of
+    ranks, by which ``tiktoken`` finds the same ids faster and without a cache.  Both cut a text by the
+    classes of its characters, which stand fixed up to U+024F; any other character is first tried in both,
+    once a worker.  Texts with a character that they treat differently, or with an added token of the
+    file, go to the tokenizer itself, and so does everything if the file is of another kind."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}  # a space stands before each
-        self.older: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}  # words and parts as they stand
-        self.before: dict[str, bytes] = {}
-
-    def _learn(self, chunks: set[str]) -> None:
-        """Have the ids of all chunks in ``known``."""
-        if len(self.known) > CACHE_WORDS:
-            self.before, self.known = self.known, {}
-        new = []
-        for c in chunks - self.known.keys():
-            if c in self.before:
-                self.known[c] = self.before[c]
-            else:
-                new.append(c)
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for chunk, enc in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self.known[chunk] = struct.pack(f"<{len(enc.ids)}I", *enc.ids)
-
-    def _parted(self, chunk: str) -> list[str]:
-        m = self._parts.fullmatch(chunk)
-        if not m:
-            return [chunk]
-        parts = [g for g in m.groups() if g]
-        return parts if m[1].lstrip(" ").isalpha() and (m[4] is None or m[4].isalpha()) else [chunk]
-
-    def _cut_all(self, text: str) -> list[str]:
-        return [c for c in self._cut.split(text) if c]
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.words) > CACHE_WORDS:
-            self.older, self.words = self.words, {}
-        words, older, plans, need = self.words, self.older, [], set()
-        fresh: dict[str, list[str]] = {}
-        for t in texts:
-            row = t.split(" ")
-            first = row[0]
-            new = []
-            for p in [p for p in row if p not in words and p not in fresh]:
-                if p in older:
-                    words[p] = older[p]
-                else:
-                    new.append(p)
-            if not first or first[-1].isspace() or any(not p or p[0].isspace() or p[-1].isspace() for p in new):
-                row = [self._parted(c) for c in self._cut_all(t)]
-                need.update(p for c in row for p in c)
-                plans.append((None, row))
-                continue
-            for p in new:
-                fresh[p] = self._parted(" " + p)
-            head = self._parted(first)
-            need.update(head)
-            plans.append((head, row))
-        for parts in fresh.values():
-            need.update(parts)
-        self._learn(need)
-        known = self.known
-        for p, parts in fresh.items():
-            words[p] = b"".join([known[x] for x in parts])
-        for head, row in plans:
-            if head is None:
-                yield b"".join([known[x] for c in row for x in c])
-            else:
-                yield b"".join([known[x] for x in head] + [words[p] for p in row[1:]])
-
-
-_ENCODERS: dict[str, CachedEncoder] = {}
-
-
-def _encoder(path: str) -> CachedEncoder:
+        self.path, self._tokenizer, self.fast = path, None, None
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        self.added = [t["content"] for t in file.get("added_tokens") or []]
+        self.agreed, self.apart = set(map(chr, range(0x250))), set()
+        self.fast = self._ranked(file)
+
+    def _ranked(self, file: dict):
+        import tiktoken
+
+        model, cut = file["model"], file.get("pre_tokenizer") or {}
+        options = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges")
+        if model.get("type") != "BPE" or file.get("normalizer") or any(model.get(x) for x in options):
+            return None
+        if cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True):
+            return None
+        byte, vocab = _bytes_of_signs(), model["vocab"]
+        merges = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["merges"]]
+        made = [vocab.get(m, -1) for m in merges]
+        if made != sorted(set(made)) or (made and made[0] < 256):
+            return None
+        ranks = {bytes(byte[c] for c in t): n for t, n in vocab.items() if t not in self.added}
+        return tiktoken.Encoding("ranks", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    @property
+    def tokenizer(self):
+        if self._tokenizer is None:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
+
+            self._tokenizer = Tokenizer.from_file(self.path)
+        return self._tokenizer
+
+    def _plainly(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _same(self, text: str) -> bool:
+        """Whether both ways agree on all characters of a text."""
+        signs = set(text) - self.agreed
+        for c in signs - self.apart:
+            probes = [f"a{c}a 1{c}1 .{c}. {c}  {c}\n{c}", c * 3]
+            same = all(self.fast.encode_ordinary(p) == self._plainly(p) for p in probes)
+            (self.agreed if same else self.apart).add(c)
+        return not signs & self.apart
+
+    def encode(self, text: str) -> bytes:
+        if self.fast is None or any(t in text for t in self.added) or not (text.isascii() or self._same(text)):
+            return np.array(self._plainly(text), "<u4").tobytes()
+        return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def _encoder(path: str) -> Encoder:
+    """One a worker; it holds the vocabulary and nothing of the texts."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = CachedEncoder(path)
+        _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
 
 
@@ -137,17 +126,16 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPAC
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = _encoder(tokenizer_path)
         for pdf in batches:
-            ids, texts = pdf["doc_id"].tolist(), [t or "" for t in pdf["text"].tolist()]
-            for lo in range(0, len(ids), 256):
-                out = []
-                for doc, buf in zip(ids[lo : lo + 256], encoder.encode(texts[lo : lo + 256]), strict=True):
-                    buf += END_ID.to_bytes(4, "little")
-                    for k, (s, n) in enumerate(cut(len(buf) // 4, capacity)):
-                        out.append((doc, k, s, n, zlib.crc32(buf[4 * s : 4 * (s + n)])))
-                frame = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-                yield frame.assign(doc_id=frame["doc_id"].astype("Int64"))
+            out = []
+            for doc, text in zip(pdf["ident"], pdf["text"], strict=True):
+                buf = encoder.encode(text or "") + END_ID.to_bytes(4, "little")
+                for k, (s, n) in enumerate(cut(len(buf) // 4, capacity)):
+                    out.append((int(doc) if doc else None, k, s, n, zlib.crc32(buf[4 * s : 4 * (s + n)])))
+            frame = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+            yield frame.assign(doc_id=pd.array([x[0] for x in out], "Int64"))
+        give_back()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInPandas(run, PIECES)
+    return docs.select(F.col("doc_id").cast("long").cast("string").alias("ident"), F.col("text")).mapInPandas(run, PIECES)
 
 
 def plan_bins(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
@@ -221,28 +209,33 @@ def plan_places(plan: list[tuple[list[int], int]]) -> list[tuple[int, int, int,
     return places
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, salt: int = SALT) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS) -> DataFrame:
     """Add sequence_id and offset to pieces with a ``length``.  Rows that are equal in all columns
-    get different places; an empty table stays empty."""
+    get different places; an empty table stays empty.  ``pieces`` must be a table that has been
+    written, as it is read more than once.
+
+    A full piece is a sequence by itself, with a negative number.  The others are numbered within
+    their length; a frequent length is numbered in so many parts that there are about ``groups`` of them
+    in all, however many rows there are."""
     spark = pieces.sparkSession
     keys = [c for c in pieces.columns if c != "length"]
-    pieces = pieces.withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(salt)).cast("int"))
-    counts = pieces.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
-    counts = written(counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))), "packing-counts")
-    histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
-    schema = "length long, _from long, _to long, _first long, offset long"
-    places = spark.createDataFrame(plan_places(plan_bins(histogram, capacity)), schema)
-    # bounds of both broadcasts: capacity * salt counts, and a few places for each length
-    ranked = pieces.join(F.broadcast(counts.drop("_n")), ["length", "_salt"]).withColumn(
-        "_rank", F.col("_before") + F.row_number().over(Window.partitionBy("length", "_salt").orderBy(*keys)) - 1
-    )
-    found = ranked.alias("p").join(
-        F.broadcast(places).alias("q"),
-        (F.col("p.length") == F.col("q.length")) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")),
-    )
-    kept = [F.col(f"p.{c}") for c in pieces.columns if c != "_salt"]
-    return found.select(*kept, (F.col("_first") + F.col("_rank") - F.col("_from")).alias("sequence_id"), "offset")
+    part, ahead, first, last, sequence, own, place = unused(pieces.columns, "part", "before", "from", "to", "first", "rank", "offset_")
+    full = pieces.where(F.col("length") >= capacity)
+    rest = pieces.where(F.col("length") < capacity)
+    histogram = {r["length"]: r["n"] for r in rest.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most capacity rows
+    each = max(512, sum(histogram.values()) // groups)
+    parts = spark.createDataFrame([(n, -(-c // each)) for n, c in histogram.items()], f"length long, {part} long")
+    rest = rest.join(F.broadcast(parts), "length").withColumn(part, F.pmod(F.xxhash64(*keys), F.col(part)).cast("int"))
+    counts = rest.groupBy("length", part).agg(F.count(F.lit(1)).alias(own))
+    earlier = Window.partitionBy("length").orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("length", part, F.coalesce(F.sum(own).over(earlier), F.lit(0)).alias(ahead))
+    places = spark.createDataFrame(plan_places(plan_bins(histogram, capacity)), f"length long, {first} long, {last} long, {sequence} long, {place} long")
+    # bounds of both broadcasts: groups + capacity counts, and a few places for each length
+    numbered = F.row_number().over(Window.partitionBy("length", part).orderBy(*keys))
+    ranked = rest.join(F.broadcast(counts), ["length", part]).withColumn(own, F.col(ahead) + numbered - 1)
+    found = ranked.join(F.broadcast(places.withColumnRenamed("length", f"{place}n")), (F.col("length") == F.col(f"{place}n")) & (F.col(own) >= F.col(first)) & (F.col(own) < F.col(last)))
+    packed = found.select(*pieces.columns, (F.col(sequence) + F.col(own) - F.col(first)).alias("sequence_id"), F.col(place).alias("offset"))
+    return packed.unionByName(full.select(*pieces.columns, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset")))
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:

@@ -21,11 +21,34 @@ ODD = [
 ]
 
 
+def ids(encoded):
+    return list(struct.unpack(f"<{len(encoded) // 4}I", encoded))
+
+
 def test_encoder_equals_tokenizer(tokenizer):
-    enc = packing.CachedEncoder(tokenizer_path())
-    for text, got in zip(ODD, enc.encode(ODD), strict=True):
-        want = tokenizer.encode(text, add_special_tokens=False).ids
-        assert list(struct.unpack(f"<{len(got) // 4}I", got)) == want, text
+    enc = packing.Encoder(tokenizer_path())
+    assert enc.fast is not None
+    signs = [chr(c) for c in [*range(0x250), 0x300, 0x301, 0x660, 0x1680, 0x2003, 0x2028, 0x20AC, 0x3000, 0x4E00, 0xAC00, 0x1F642, 0x10FFFD]]
+    for text in [*ODD, *[f"a{c}b {c} 1{c}1\n{c}{c}" for c in signs], "".join(signs), " " * 5000 + "a" * 5000]:
+        assert ids(enc.encode(text)) == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_texts_of_characters_apart_go_to_the_tokenizer(tokenizer, monkeypatch):
+    enc = packing.Encoder(tokenizer_path())
+    text = "some 日本 text"
+    monkeypatch.setattr(enc, "_plainly", lambda t: [0] if t != text else tokenizer.encode(t, add_special_tokens=False).ids)
+    assert ids(enc.encode(text)) == tokenizer.encode(text, add_special_tokens=False).ids and enc.apart == set("日本")
+
+
+def test_a_file_of_another_kind_is_left_to_the_tokenizer():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    enc = packing.Encoder(path)
+    assert enc.fast is None
+    want = Tokenizer.from_file(path).encode("Some Words here", add_special_tokens=False).ids
+    assert ids(enc.encode("Some Words here")) == want
 
 
 def test_plan_uses_every_piece_once():

@@ -63,9 +63,8 @@ def test_decontamination(spark, stages):
 
 
 def test_packing_and_run(spark, stages):
-    enc = packing.CachedEncoder(C.tokenizer_path())
-    docs = rows(stages[4])
-    sizes = Counter({i: len(b) // 4 + 1 for (i, _), b in zip(docs, enc.encode([t for _, t in docs]), strict=True)})
+    enc = packing.Encoder(C.tokenizer_path())
+    sizes = Counter({i: len(enc.encode(t)) // 4 + 1 for i, t in rows(stages[4])})
     got = Counter()
     for r in stages[5].collect():
         got[r["doc_id"]] += r["length"]
