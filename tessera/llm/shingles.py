@@ -2,45 +2,48 @@
 
 from __future__ import annotations
 
-import itertools
-
 import numpy as np
 
-from tessera.llm.common import words_of
+from tessera.llm.bytewords import mix, words_in
 
 SHINGLE = 5
 
-_P = np.uint64(0xD6E8FEB86659FD93)
-_Q = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser: equal numbers stay equal, others spread."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+#: Bytes of texts that are read at once.
+GROUP_BYTES = 1 << 20
+_STEP = mix(np.arange(101, 101 + SHINGLE, dtype=np.uint64)) | np.uint64(1)
+
+
+def _joined(words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of ``size`` consecutive words from each place on."""
+    k = max(0, len(words) - size + 1)
+    total = np.full(k, size, np.uint64)
+    for j in range(size):
+        total += words[j : j + k] * _STEP[j]
+    return mix(total)
+
+
+def _sets(texts: list[bytes], size: int) -> list[np.ndarray]:
+    begin, _, words = words_in(b"\n".join(texts), lower=True)
+    hashes = _joined(words, size)
+    ends = np.searchsorted(begin, np.cumsum([len(t) + 1 for t in texts])).tolist()
+    out, first = [], 0
+    for e in ends:
+        own = hashes[first : e - size + 1] if e - first >= size else _joined(words[first:e], e - first) if e > first else hashes[:0]
+        out.append(np.unique(own))
+        first = e
+    return out
 
 
 def shingle_sets(texts: list[str | None], size: int = SHINGLE) -> list[np.ndarray]:
     """For each text the sorted distinct hashes of its ``size``-word shingles, with A-Z lower-cased;
     fewer words count as one shingle, no words as none."""
-    import xxhash
-
-    words = [[x.lower() for x in words_of(t)] for t in texts]
-    flat = list(itertools.chain.from_iterable(words))
-    ends = np.cumsum([len(w) for w in words], dtype=np.int64)
-    known = {w: xxhash.xxh64_intdigest(w) for w in set(flat)}
-    n = len(flat)
-    hashes = np.fromiter(map(known.__getitem__, flat), np.uint64, n)
-    up, back = np.full(n, _P, np.uint64), np.full(n, _Q, np.uint64)
-    if n:
-        up[0] = back[0] = 1
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * np.multiply.accumulate(up), dtype=np.uint64)])
-    back = np.multiply.accumulate(back)
-    out = []
-    for w, e in zip(words, ends.tolist(), strict=True):
-        s = e - len(w)
-        k = min(size, len(w))
-        at = np.arange(s, e - k + 1) if w else np.zeros(0, np.int64)
-        out.append(np.unique(mix((sums[at + k] - sums[at]) * back[at] + np.uint64(k))))
-    return out
+    out: list[np.ndarray] = []
+    group: list[bytes] = []
+    n = 0
+    for t in texts:
+        group.append(t.encode("utf-8", "surrogatepass") if t else b"")
+        n += len(group[-1])
+        if n >= GROUP_BYTES:
+            out += _sets(group, size)
+            group, n = [], 0
+    return out + (_sets(group, size) if group else [])

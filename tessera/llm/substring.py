@@ -14,7 +14,6 @@ passage inside otherwise different windows doesn't draw them all to one bucket.
 from __future__ import annotations
 
 import hashlib
-import itertools
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -23,7 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORDS, words_of
+from tessera.llm.bytewords import TO_SPACES, mix, numbered, powers, words_in
+from tessera.llm.common import WORDS, give_back, words_of
 
 WIDTH = 35
 #: Words of a minimiser.
@@ -33,51 +33,36 @@ BLOCK_WORDS, BUCKET_WORDS = 1_000_000, 1_000_000
 #: A triple is frequent if it is more than this share of all words; blocks report those they hold so often.
 FREQUENT_SHARE, FREQUENT_IN_BLOCK = 1 / (1 << 20), 24
 
-_P = np.uint64(0x9E3779B97F4A7C15)
-_Q = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-
-
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    p = np.full(n, base, np.uint64)
-    if n:
-        p[0] = 1
-    return np.multiply.accumulate(p)
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+_P = 0x9E3779B97F4A7C15
+_Q = pow(0x9E3779B97F4A7C15, -1, 1 << 64)
+#: Bytes that a block holds for each of its words.
+WORD_BYTES = 6
 
 
 class Words:
-    """The words of many texts as numbers: equal numbers are equal words.  ``bounds`` are the places
-    where a text begins, and the end."""
-
-    def __init__(self, texts: list[list[bytes]], width: int):
-        import xxhash
-
-        self.words = list(itertools.chain.from_iterable(texts))
-        self.bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
-        number = {w: k for k, w in enumerate(dict.fromkeys(self.words))}
-        n, self.width = len(self.words), width
-        self.ids = np.fromiter(map(number.__getitem__, self.words), np.int64, n)
-        hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in number), np.uint64, len(number))
-        self._back = _powers(_Q, n)
-        self._sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes[self.ids] * _powers(_P, n), dtype=np.uint64)])
-        self.text = np.repeat(np.arange(len(texts)), np.diff(self.bounds))
+    """The words of many texts, the lines of ``buffer``.  ``bounds`` are the places where a text begins,
+    and the end; words are numbered by place."""
+
+    def __init__(self, buffer: bytes, width: int):
+        self.buffer, self.width = buffer, width
+        self.begin, self.end, self.word = words_in(buffer)
+        n = self.n = len(self.begin)
+        lines = np.flatnonzero(np.frombuffer(buffer, np.uint8) == 0x0A)
+        self.bounds = np.concatenate([[0], np.searchsorted(self.begin, lines), [n]])
+        self._back = powers(_Q, n)
+        self._sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(self.word * powers(_P, n), out=self._sums[1:])
+        self.text = np.repeat(np.arange(len(self.bounds) - 1, dtype=np.int32), np.diff(self.bounds))
         #: where windows begin
         self.at = np.flatnonzero(np.arange(n) + width <= self.bounds[1:][self.text]) if n else np.zeros(0, np.int64)
 
     def hashes(self, length: int) -> np.ndarray:
         """Hash of the ``length`` words from each place on."""
-        k = len(self.words) - length + 1
+        k = self.n - length + 1
         return (self._sums[length:] - self._sums[:k]) * self._back[:k] if k > 0 else np.zeros(0, np.uint64)
 
     def triples(self) -> np.ndarray:
-        return _mix(self.hashes(TRIPLE)) >> np.uint64(1)
+        return mix(self.hashes(TRIPLE)) >> np.uint64(1)
 
     def minimisers(self, frequent: np.ndarray) -> np.ndarray:
         """Smallest triple of each window; ``frequent`` (sorted) ones come after all others."""
@@ -105,14 +90,15 @@ class Words:
         head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
         first[order] = head
         rest = order[~new]
+        ids = numbered(self.buffer, self.begin, self.end, self.word) if len(rest) else self.text
         a, b = self.at[rest], self.at[first[rest]]
         same = np.ones(len(rest), bool)
         for k in range(self.width):
-            same &= self.ids[a + k] == self.ids[b + k]
+            same &= ids[a + k] == ids[b + k]
         for key in np.unique(keys[rest[~same]]):  # different words of one hash
             seen: dict[bytes, int] = {}
             for w in np.sort(order[np.searchsorted(keys[order], key) : np.searchsorted(keys[order], key, "right")]):
-                first[w] = seen.setdefault(self.ids[self.at[w] : self.at[w] + self.width].tobytes(), w)
+                first[w] = seen.setdefault(ids[self.at[w] : self.at[w] + self.width].tobytes(), w)
         return first
 
 
@@ -124,21 +110,25 @@ def covered(at: np.ndarray, text: np.ndarray, width: int) -> tuple[np.ndarray, n
     return np.concatenate([[0], np.flatnonzero(cut) + 1]), np.concatenate([np.flatnonzero(cut), [len(at) - 1]])
 
 
-def _blocks(batches: Iterator[pd.DataFrame], limit: int) -> Iterator[tuple[list, list, list[list[bytes]]]]:
+def _blocks(batches: Iterator[pd.DataFrame], limit: int) -> Iterator[tuple[np.ndarray, np.ndarray, bytes]]:
+    """Keys of the texts of a block of about ``limit`` words, and the texts as lines."""
     one, two, texts, n = [], [], [], 0
+
+    def done():
+        return np.array(one, np.int64), np.array(two, np.int64), b"\n".join(texts)
+
     for pdf in batches:
         for k1, k2, t in zip(pdf["_k1"], pdf["_k2"], pdf["text"], strict=True):
-            w = words_of(t)
-            if w:
+            if t:
                 one.append(k1)
                 two.append(k2)
-                texts.append(w)
-                n += len(w)
-            if n >= limit:
-                yield one, two, texts
+                texts.append(t.encode("utf-8", "surrogatepass").translate(TO_SPACES))
+                n += len(texts[-1])
+            if n >= limit * WORD_BYTES:
+                yield done()
                 one, two, texts, n = [], [], [], 0
     if texts:
-        yield one, two, texts
+        yield done()
 
 
 def _frequent(keyed: DataFrame, width: int, block: int) -> tuple[int, list[int]]:
@@ -149,7 +139,8 @@ def _frequent(keyed: DataFrame, width: int, block: int) -> tuple[int, list[int]]
             w = Words(texts, width)
             t, n = np.unique(w.triples(), return_counts=True)
             often = n >= FREQUENT_IN_BLOCK
-            yield pd.DataFrame({"t": np.append(t[often].astype(np.int64), -1), "n": np.append(n[often], len(w.words))})
+            yield pd.DataFrame({"t": np.append(t[often].astype(np.int64), -1), "n": np.append(n[often], w.n)})
+        give_back()
 
     sums = keyed.mapInPandas(count, "t long, n long").groupBy("t").agg(F.sum("n").alias("n"))
     sums = sums.where((F.col("t") == -1) | (F.col("n") >= 2 * FREQUENT_IN_BLOCK)).persist()
@@ -178,7 +169,6 @@ def repeated_spans(keyed: DataFrame, width: int = WIDTH, block: int = BLOCK_WORD
             w = Words(texts, width)
             if not len(w.at):
                 continue
-            one, two = np.array(one, np.int64), np.array(two, np.int64)
             first = w.first_equal()
             times = np.bincount(first, minlength=len(first))
             twice = np.flatnonzero(times[first] > 1)
@@ -197,14 +187,15 @@ def repeated_spans(keyed: DataFrame, width: int = WIDTH, block: int = BLOCK_WORD
             to = (low[lo] % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(to, kind="stable")
             ends = np.flatnonzero(np.diff(to[order])) + 1
-            begin, end = at[lo], at[hi] + width
+            begin, last = at[lo], at[hi] + width - 1
             for group in np.split(order, ends):
                 t = text[lo[group]]
-                body = b"\n".join([b" ".join(w.words[s:e]) for s, e in zip(begin[group].tolist(), end[group].tolist(), strict=True)])
+                body = b"\n".join([texts[s:e] for s, e in zip(w.begin[begin[group]].tolist(), w.end[last[group]].tolist(), strict=True)])
                 places = np.column_stack([one[t], two[t], begin[group] - w.bounds[t]])
                 rows.append((int(to[group[0]]), False, len(group), pack(body), pack(places.tobytes())))
             for k in range(0, len(rows), 64):
                 yield pd.DataFrame(rows[k : k + 64], columns=["bucket", "local", "size", "body", "places"])
+        give_back()
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
         import zstandard
@@ -214,10 +205,9 @@ def repeated_spans(keyed: DataFrame, width: int = WIDTH, block: int = BLOCK_WORD
 
         spans = [load(x, 4) for x in pdf.loc[pdf["local"], "places"]]
         sent = pdf.loc[~pdf["local"]]
-        texts = [r.split() for x in sent["body"] for r in zstandard.ZstdDecompressor().decompress(x).split(b"\n")]
-        if texts:
+        if len(sent):
             places = np.concatenate([load(x, 3) for x in sent["places"]])
-            w = Words(texts, width)
+            w = Words(b"\n".join([zstandard.ZstdDecompressor().decompress(x) for x in sent["body"]]), width)
             first = w.first_equal()
             at = w.at[np.bincount(first, minlength=len(first))[first] > 1]
             run = w.text[at]
@@ -226,6 +216,7 @@ def repeated_spans(keyed: DataFrame, width: int = WIDTH, block: int = BLOCK_WORD
             shift = places[r, 2] - w.bounds[r]
             spans.append(np.column_stack([places[r, 0], places[r, 1], at[lo] + shift, at[hi] + width + shift]))
         out = np.concatenate(spans) if spans else np.zeros((0, 4), np.int64)
+        give_back()
         return pd.DataFrame({"_k1": out[:, 0], "_k2": out[:, 1], "start": out[:, 2].astype(np.int32), "stop": out[:, 3].astype(np.int32)})
 
     return keyed.mapInPandas(ship, SHIPPED).groupBy("bucket").applyInPandas(count, SPANS)
@@ -292,8 +283,10 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     inner = docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(rest[c]) for c in rest])
 
     @F.pandas_udf("string")
-    def cut(text: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None else t if s is None else cut_text(t, [(x["start"], x["stop"]) for x in s]) for t, s in zip(text, spans, strict=True)])
+    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for text, spans in batches:
+            yield pd.Series([None if t is None else t if s is None else cut_text(t, [(x["start"], x["stop"]) for x in s]) for t, s in zip(text, spans, strict=True)], dtype=object)
+        give_back()
 
     out = _with_spans(inner, width)
     out = out.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut("text", "_spans"))).drop("_spans")
