@@ -85,11 +85,12 @@ class _Codes:
         """The first ``width`` characters of the words ``rows``, of at least so many."""
         return self.flat[self.start[rows][:, None] + np.arange(width)]
 
-    def padded(self, rows: np.ndarray, back: bool = False) -> np.ndarray:
-        """The words ``rows`` from the front, or from the back, with 0 after their end."""
-        at = np.arange(int(self.size[rows].max(initial=0)))
-        place = self.start[rows][:, None] + ((self.size[rows][:, None] - 1 - at) if back else at)
-        return np.where(at < self.size[rows][:, None], self.flat[np.clip(place, 0, len(self.flat) - 1)], 0)
+    def padded(self, back: bool = False) -> np.ndarray:
+        """All words from the front, or from the back, a row each, with 0 after their end."""
+        at = np.arange(int(self.size.max(initial=0)) + 1)
+        place = self.start[:, None] + ((self.size[:, None] - 1 - at) if back else at)
+        inside = at < self.size[:, None]
+        return np.where(inside, self.flat[np.where(inside, place, 0)], 0) if len(self.flat) else np.zeros(place.shape, np.uint32)
 
 
 def _grown(h: np.ndarray, code: np.ndarray) -> np.ndarray:
@@ -201,23 +202,17 @@ def list_entries(words: list[str], known: tuple[np.ndarray, np.ndarray], least:
 # ---------------------------------------------------------------- pairs
 
 
-def near(codes: _Codes, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Which words ``a`` and ``b`` (rows of ``codes``) differ by exactly one edit."""
-    la, lb = codes.size[a], codes.size[b]
-    out = np.abs(la - lb) <= 1
-    at = np.flatnonzero(out)
-    most = np.maximum(la, lb)[at]
+def near(size: np.ndarray, front: np.ndarray, back: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which words ``a`` and ``b`` differ by exactly one edit; the words are given by their lengths and
+    their padded rows from either end."""
+    most = np.maximum(size[a], size[b])
     agree = []
-    for back in (False, True):
-        x, y = codes.padded(a[at], back), codes.padded(b[at], back)
-        width = max(x.shape[1], y.shape[1])
-        x, y = (np.pad(z, ((0, 0), (0, width + 1 - z.shape[1]))) for z in (x, y))
-        same = x == y
+    for rows in (front, back):
+        same = rows[a] == rows[b]
         same[:, -1] = False
         agree.append(np.argmin(same, axis=1))
     # the words agree before and after the edit; equal words agree all the way
-    out[at] = (agree[0] + agree[1] >= most - 1) & (agree[0] < most)
-    return out
+    return (np.abs(size[a] - size[b]) <= 1) & (agree[0] + agree[1] >= most - 1) & (agree[0] < most)
 
 
 def near_pairs(words: list[str], key: np.ndarray, long: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -230,16 +225,19 @@ def near_pairs(words: list[str], key: np.ndarray, long: np.ndarray, side: np.nda
     new = np.append(np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])), n) if n else np.zeros(1, np.int64)
     rest = np.repeat(new[1:], np.diff(new)) - np.arange(n) - 1
     ends = np.cumsum(rest)
+    front, back = codes.padded(), codes.padded(back=True)
     found, at = [], 0
     while at < n:
         to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, "right")))
         size = rest[at:to]
         a = np.repeat(np.arange(at, to), size)
         b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(size) - size, size)
-        ok = ~(long[a] & long[b]) & ((side[a] < 0) | (side[a] != side[b])) & (np.bitwise_count(letters[a] ^ letters[b]) <= 2)
+        ok = np.bitwise_count(letters[a] ^ letters[b]) <= 2
+        a, b = a[ok], b[ok]
+        ok = ~(long[a] & long[b]) & ((side[a] < 0) | (side[a] != side[b]))
         a, b = a[ok], b[ok]
         if len(a):
-            ok = near(codes, a, b)
+            ok = near(codes.size, front, back, a, b)
             found.append((a[ok], b[ok]))
         at = to
     return (np.concatenate([x[k] for x in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
@@ -275,8 +273,9 @@ def linked_words(vocab: DataFrame, least: int = 7) -> DataFrame:
         def found(pdf: pd.DataFrame) -> pd.DataFrame:
             word, n = pdf["word"].to_numpy(), pdf["n"].to_numpy()
             a, b = near_pairs(word.tolist(), pdf["key"].to_numpy(), pdf["long"].to_numpy(bool), pdf["side"].to_numpy())
-            out = pd.DataFrame({"word": np.concatenate([word[a], word[b]]), "other": np.concatenate([word[b], word[a]]), "other_n": np.concatenate([n[b], n[a]])})
-            return out.drop_duplicates()
+            turn = word[a] > word[b]
+            a, b = np.where(turn, b, a), np.where(turn, a, b)
+            return pd.DataFrame({"word": word[a], "n": n[a], "other": word[b], "other_n": n[b]}).drop_duplicates(["word", "other"])
 
         held: list[pd.DataFrame] = []
         for pdf in batches:
@@ -289,7 +288,9 @@ def linked_words(vocab: DataFrame, least: int = 7) -> DataFrame:
         if held:
             yield found(pd.concat(held))
 
-    return dealt.mapInPandas(merge, "word string, other string, other_n long").distinct()
+    pairs = dealt.mapInPandas(merge, "word string, n long, other string, other_n long").distinct()
+    both = F.array(F.struct("word", "other", "other_n"), F.struct(F.col("other").alias("word"), F.col("word").alias("other"), F.col("n").alias("other_n")))
+    return pairs.select(F.inline(both))
 
 
 def followed(links: DataFrame) -> DataFrame:

@@ -43,7 +43,8 @@ def vocabulary(seed, count, letters="abcdé"):
         k = r.randrange(len(w))
         words.add(r.choice([w[:k] + w[k + 1 :], w[:k] + r.choice(letters) + w[k:], w[:k] + r.choice(letters) + w[k + 1 :]]))
     words |= {"aaaaaaa", "aaaaaaaa", "aaaaaaaaa", "prefixed" + "a" * 3, "日本語の文字です", "日本語の文字でし", "日本語の文字でしす"}
-    return {w: r.choice([2, 3, 20, 35, 400, 5000]) for w in words if len(w) >= 7}
+    counts = {w: r.choice([2, 3, 20, 35, 400, 5000]) for w in sorted(words) if len(w) >= 7}
+    return counts | {"zzzzzzz": 2, "zzzzzzzz": 35, "zzzzzzzzz": 5000}  # a chain of forms
 
 
 @pytest.mark.parametrize("frequent,block", [(64, 1000), (2, 5), (0, 3)])
@@ -74,6 +75,7 @@ def test_affected_grams_bound():
     r = np.random.default_rng(5)
     words = sorted(vocabulary(5, 400))
     codes = spelling._Codes(words)
+    rows = codes.size, codes.padded(), codes.padded(back=True)
     for share in (0.0, 0.3, 1.0):
         seen = set()
         for w in words:
@@ -92,7 +94,7 @@ def test_affected_grams_bound():
             for b in range(a):
                 if one_edit(words[a], words[b]):
                     assert any((k, x) in lists[b] for k, _ in lists[a] for x in (False, True)) and {k for k, _ in lists[a]} & {k for k, _ in lists[b]}
-                    assert spelling.near(codes, np.array([a]), np.array([b]))[0]
+                    assert spelling.near(*rows, np.array([a]), np.array([b]))[0]
 
 
 def test_documents(spark):
