@@ -14,9 +14,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import split_of
+from tessera.llm.common import ident_text, ids_of, split_of
 
-#: The sample: documents a language, characters from each document, bytes of the dictionary.
+#: The sample: distinct texts a language, characters from each, bytes of the dictionary.
 DOCS, CHARS, BYTES = 64, 4096, 1 << 17
 #: Texts are encoded in blocks of so many bytes.
 BLOCK = 2048
@@ -30,23 +30,27 @@ RESULT = "doc_id long, held_out boolean, lang_pred string, score double, lang st
 
 def normal(text: str | None) -> str:
     """Lower case, with every run of anything but letters as one space."""
-    return _JUNK.sub(" ", text.lower()).strip() if text else ""
+    out = _JUNK.sub(" ", text.lower()).strip() if text else ""
+    if out and not out.replace(" ", "").isalpha():  # numbers that are no digits
+        out = " ".join("".join(c if c.isalpha() else " " for c in out).split())
+    return out
 
 
 def train(docs: DataFrame, docs_per_lang: int = DOCS, chars: int = CHARS, size: int = BYTES) -> dict[str, bytes]:
-    """Dictionary of each non-null ``lang``: the normalised beginnings of the ``docs_per_lang``
-    documents with the smallest hash, cut to ``size`` bytes.  The driver gets at most languages *
-    docs_per_lang * chars characters."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(11)), "text")
-    sample = (
-        docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-        .select("doc_id", "lang", F.substring("text", 1, chars).alias("text"))
-        .withColumn("_n", F.row_number().over(order))
-        .where(F.col("_n") <= docs_per_lang)
-    )
+    """Dictionary of each non-null ``lang``: pieces of the letters of the ``docs_per_lang`` distinct texts
+    with the smallest hash, each from a place that the hash gives, cut to ``size`` bytes.  Copies of a text
+    count once.  The driver gets at most languages * docs_per_lang * chars characters."""
+    full = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text", F.xxhash64("text", F.lit(11)).alias("h"))
+    smallest = Window.partitionBy("lang").orderBy("h")
+    drawn = full.select("lang", "h").distinct().withColumn("n", F.row_number().over(smallest)).where(F.col("n") <= docs_per_lang)
+    # so many texts of each language: a bounded list
+    few = full.join(F.broadcast(drawn.drop("n")), ["lang", "h"])
+    letters = few.select("lang", "h", F.trim(F.lower(F.regexp_replace("text", r"[^\p{L}]+", " "))).alias("text"))
+    start = F.pmod("h", F.greatest(F.length("text") - chars + 1, F.lit(1))) + 1
+    pieces = letters.select("lang", "h", F.substring("text", start, F.lit(chars)).alias("text")).groupBy("lang", "h").agg(F.min("text").alias("text"))
     by: dict[str, list[tuple[int, str]]] = {}
-    for r in sample.select("lang", "_n", "text").collect():
-        by.setdefault(r["lang"], []).append((r["_n"], normal(r["text"])))
+    for r in pieces.collect():
+        by.setdefault(r["lang"], []).append((r["h"], normal(r["text"])))
     return {k: " ".join(t for _, t in sorted(v)).encode()[:size] for k, v in sorted(by.items())}
 
 
@@ -94,9 +98,11 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MA
         for pdf in batches:
             got = [coder.classify(t, margin) for t in pdf["text"].tolist()]
             out = pd.DataFrame(got, columns=["lang_pred", "score", "lang", "margin", "rejected"])
-            yield pd.concat([pdf[["doc_id", "held_out"]].reset_index(drop=True), out], axis=1)
+            out.insert(0, "held_out", pdf["held_out"].to_numpy())
+            out.insert(0, "doc_id", ids_of(pdf["ident"]))
+            yield out
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (split_of(F.col("doc_id"), 3) == 1).alias("held_out"), "text")
+    rows = docs.select(ident_text().alias("ident"), (split_of(F.col("doc_id"), 3) == 1).alias("held_out"), "text")
     return rows.mapInPandas(run, RESULT)
 
 
