@@ -2,11 +2,14 @@
 
 The index holds BM25 weights divided by the item's own score, so one threshold fits all items.  Items
 of like length are neighbours and make up blocks, of which each posting list knows its greatest
-weight.  The block maxima of a passage's terms, summed for each block, rule out most blocks at once;
-block-max WAND searches the others and skips what can't reach the threshold.  Every item above it is
-then verified by the shingles of its question and its answer in the passage.
-
-The index is broadcast in parts of bounded size; documents stay where they are, without a shuffle.
+weight.  Block-max WAND runs over the whole lists of a passage's terms: its pivot jumps over every block
+whose maxima can't reach the threshold.  The sums of the block maxima, which it asks for, are a lower
+layer: they are added up for many passages at once in arrays.  Every item above the threshold is then
+verified by the shingles of its question and its answer in the passage.
+
+Counts, document frequencies and lengths of all items come from one Spark job, so weights and passages
+are the same however the items are cut into parts; a part of the index has a bounded size, and there is
+one at a time on the driver and on an executor.  Documents stay where they are, without a shuffle.
 """
 
 from __future__ import annotations
@@ -18,18 +21,21 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import give_back, ident_text, ids_of, unused, written
+
 K1, B = 1.2, 0.75
 #: Share of an item's own score that a passage must reach to be verified.
 THRESHOLD = 0.5
 SHINGLE, OVERLAP = 5, 0.75
 #: Items of a block, and characters of the items in one part of the index.
-BLOCK, PART_CHARS = 4, 16 << 20
+BLOCK, PART_CHARS = 4, 4 << 20
 #: Least words between the beginnings of passages, which are twice as long.
 STEP = 64
 
@@ -57,18 +63,29 @@ def question_answer(text: str) -> tuple[list[str], list[str]]:
     return (sum(parts[:-1], []), parts[-1]) if len(parts) > 1 else (parts[0], [])
 
 
+class Corpus(NamedTuple):
+    """Number of items with a word, of their words, words of the longest one, and the items that each
+    term is in."""
+
+    items: int
+    words: int
+    longest: int
+    df: dict[str, int]
+
+
 class Index:
     """Inverted index of items (id, text) with normalised BM25 weights and block maxima."""
 
-    def __init__(self, items: list[tuple[int, str]], block: int = BLOCK):
-        self.items = [(i, t, tokens(t)) for i, t in items]
-        self.items = sorted((x for x in self.items if x[2]), key=lambda x: (len(x[2]), x[0]))
-        n = len(self.items)
-        mean = sum(len(w) for _, _, w in self.items) / max(n, 1)
-        df = Counter(t for _, _, w in self.items for t in set(w))
-        self.longest = max((len(w) for _, _, w in self.items), default=0)
-        self.term: dict[str, int] = {t: k for k, t in enumerate(df)}
-        lists: list[list[tuple[int, float]]] = [[] for _ in df]
+    def __init__(self, items: list[tuple[int | None, str]], block: int = BLOCK, corpus: Corpus | None = None):
+        """``corpus``: what holds for all items, where these are a part of them."""
+        words = [(i, t, tokens(t)) for i, t in items]
+        self.items = sorted((x for x in words if x[2]), key=lambda x: (len(x[2]), x[0] is None, x[0] or 0, x[1]))
+        if corpus is None:
+            corpus = Corpus(len(self.items), sum(len(w) for _, _, w in self.items), max((len(w) for _, _, w in self.items), default=0), Counter(t for _, _, w in self.items for t in set(w)))
+        n, df, mean = corpus.items, corpus.df, corpus.words / max(corpus.items, 1)
+        self.longest = corpus.longest
+        self.term: dict[str, int] = {t: k for k, t in enumerate(dict.fromkeys(t for _, _, w in self.items for t in w))}
+        lists: list[list[tuple[int, float]]] = [[] for _ in self.term]
         for d, (_, _, w) in enumerate(self.items):
             tf = Counter(w)
             raw = {t: math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * c * (K1 + 1) / (c + K1 * (1 - B + B * len(w) / mean)) for t, c in tf.items()}
@@ -78,7 +95,7 @@ class Index:
         self.docs = [[d for d, _ in p] for p in lists]
         self.weights = [[x for _, x in p] for p in lists]
         self.block = block
-        self.blocks = -(-n // block)
+        self.blocks = -(-len(self.items) // block)
         self.maxima: list[dict[int, float]] = []
         for p in lists:
             most: dict[int, float] = {}
@@ -92,31 +109,40 @@ class Index:
         self.top = np.array([max(x) for x in self.weights] or [0.0])
         self._shingles: dict[int, tuple[set, set, set]] = {}
 
-    def promising(self, passages: list[np.ndarray], threshold: float) -> list[tuple[int, int]]:
-        """(passage, block) where the block maxima of the passage's distinct terms reach the threshold."""
+    def live(self, passages: list[np.ndarray], threshold: float) -> list[list[int]]:
+        """For each passage (its distinct terms) the blocks whose maxima reach the threshold."""
         terms = np.concatenate(passages)
         owner = np.repeat(np.arange(len(passages)), [len(p) for p in passages])
         n = self._from[terms + 1] - self._from[terms]
         at = np.repeat(self._from[terms] - np.cumsum(n) + n, n) + np.arange(n.sum())
         cell = np.repeat(owner, n) * self.blocks + self._block[at]
         sums = np.bincount(cell, self._most[at], len(passages) * self.blocks)
-        return [divmod(c, self.blocks) for c in np.flatnonzero(sums >= threshold - 1e-6).tolist()]
-
-    def search(self, terms: list[int], threshold: float, first: int = 0, end: int = 1 << 62) -> list[tuple[int, float]]:
-        """Block-max WAND: the items from ``first`` to before ``end`` whose weights for ``terms``
-        (distinct) reach the threshold."""
+        out: list[list[int]] = [[] for _ in passages]
+        for c in np.flatnonzero(sums >= threshold - 1e-6).tolist():
+            out[c // self.blocks].append(c % self.blocks)
+        return out
+
+    def search(self, terms: list[int], threshold: float, live: list[int] | None = None) -> list[tuple[int, float]]:
+        """Block-max WAND: the items whose weights for ``terms`` (distinct) reach the threshold; ``live``
+        are the blocks whose maxima do (rising)."""
         docs, weights, block = self.docs, self.weights, self.block
+        if live is None:
+            live = self.live([np.array(terms, np.int64)], threshold)[0] if terms else []
         found, limit = [], threshold - 1e-9
-        at = {t: bisect_left(docs[t], first) for t in terms}
-        queue = [(docs[t][k], t) for t, k in at.items() if k < len(docs[t]) and docs[t][k] < end]
-        heapq.heapify(queue)
+        if not live:
+            return found
+        at = dict.fromkeys(terms, 0)
+        queue: list[tuple[int, int]] = []
+        next_live = 0  # place in ``live``
 
         def advance(t: int, to: int) -> None:
             """Put the list of ``t`` back at its first item from ``to`` on."""
             at[t] = k = bisect_left(docs[t], to, at[t])
-            if k < len(docs[t]) and docs[t][k] < end:
+            if k < len(docs[t]):
                 heapq.heappush(queue, (docs[t][k], t))
 
+        for t in terms:
+            advance(t, live[0] * block)
         while queue:
             # lists in the order of their current item, until their greatest weights may suffice
             taken, bound, pivot = [], 0.0, None
@@ -131,6 +157,13 @@ class Index:
                 break
             while queue and queue[0][0] == pivot:
                 taken.append(heapq.heappop(queue))
+            next_live = bisect_left(live, pivot // block, next_live)
+            if next_live == len(live):
+                break
+            if live[next_live] > pivot // block:  # nothing before the next live block can suffice
+                for _, t in taken:
+                    advance(t, live[next_live] * block)
+                continue
             if taken[0][0] < pivot:
                 for d, t in taken:
                     if d < pivot:
@@ -138,15 +171,11 @@ class Index:
                     else:
                         heapq.heappush(queue, (d, t))
                 continue
-            if sum(self.maxima[t][pivot // block] for _, t in taken) >= limit:
-                score = sum(weights[t][at[t]] for _, t in taken)
-                if score >= limit:
-                    found.append((pivot, score))
-                to = pivot + 1
-            else:  # nothing before the end of the block, or the next list's item, can suffice
-                to = min((pivot // block + 1) * block, queue[0][0] if queue else 1 << 62)
+            score = sum(weights[t][at[t]] for _, t in taken)
+            if score >= limit:
+                found.append((pivot, score))
             for _, t in taken:
-                advance(t, max(to, pivot + 1))
+                advance(t, pivot + 1)
         return found
 
     def overlaps(self, d: int, passage: set[tuple[str, ...]], words: list[str]) -> tuple[float, float, float]:
@@ -180,9 +209,9 @@ class Index:
         for k in range(0, len(passages), 256):
             part = passages[k : k + 256]
             inside: dict[int, set] = {}
-            for m, b in self.promising([t for _, t in part], threshold):
+            for m, live in enumerate(self.live([t for _, t in part], threshold)):
                 s, terms = part[m]
-                for d, score in self.search(terms.tolist(), threshold, b * self.block, (b + 1) * self.block):
+                for d, score in self.search(terms.tolist(), threshold, live) if live else ():
                     passage = words[s : s + 2 * step]
                     if m not in inside:
                         inside[m] = shingles(passage)
@@ -196,44 +225,88 @@ class Index:
 RESULT = "doc_id long, item_id long, bm25 double, question_overlap double, answer_overlap double, overlap double"
 
 
-def _parts(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """The items in parts of about PART_CHARS characters, one at a time on the driver."""
-    items = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.col("text").isNotNull() & F.col("item_id").isNotNull())
-    size = items.agg(F.sum(F.length("text") + 64)).first()[0] or 0
+def _indexes(items: DataFrame) -> tuple[int, Iterator[Index]]:
+    """The number of parts of about PART_CHARS characters, and the index of one after the other, each
+    with the counts of all items.  Items with a null text have no word; a null id is an id."""
+    spark = items.sparkSession
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"words": [len(tokens(t)) for t in pdf["text"]], "terms": [list(set(tokens(t))) for t in pdf["text"]]})
+
+    texts = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.col("text").isNotNull())
+    size = texts.agg(F.sum(F.length("text") + 64)).first()[0] or 0
     n = max(1, math.ceil(size / PART_CHARS))
-    for k in range(n):
-        part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k)
-        yield [(r["item_id"], r["text"]) for r in part.orderBy("item_id", "text").collect()]
+    counted = written(texts.select("text").mapInPandas(read, "words long, terms array<string>").where("words > 0"), "decontam-items")
+    all_items = counted.agg(F.count(F.lit(1)), F.sum("words"), F.max("words")).first()
+    df = counted.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    df = written(df, "decontam-terms") if n > 1 else df
+
+    def build() -> Iterator[Index]:
+        for k in range(n):
+            part = texts.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k)
+            rows = sorted(((r["item_id"], r["text"]) for r in part.collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+            terms = df
+            if n > 1:  # the terms of this part: no more than its words
+                own = spark.createDataFrame([(t,) for t in {t for _, x in rows for t in tokens(x)}], "term string")
+                terms = df.join(own, "term")
+            yield Index(rows, corpus=Corpus(all_items[0] or 0, all_items[1] or 0, all_items[2] or 0, {r["term"]: r["df"] for r in terms.collect()}))
+
+    return n, build()
+
+
+def _found(docs: DataFrame, items: DataFrame, threshold: float, columns: list[str], shape: str, rows) -> DataFrame:
+    """What ``rows`` makes of the texts of ``docs`` with one index after the other."""
+    parts, indexes = _indexes(items)
+    out: list[DataFrame] = []
+    for index in indexes:
+        shared = docs.sparkSession.sparkContext.broadcast(index)
+
+        def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                yield rows(pdf, shared.value, threshold)
+
+        found = docs.select(*columns).mapInPandas(run, shape)
+        if parts == 1:
+            return found
+        out.append(written(found, "decontam-found"))
+        shared.destroy()
+    return reduce(DataFrame.unionByName, out)
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row for each document (doc_id, text) and test item (item_id, text) found in it: doc_id,
     item_id, bm25 (share of the item's own score), question_overlap, answer_overlap, overlap.  An item
     counts as found if a passage holds three quarters of its shingles, or of its question's and of its
-    answer's.  Null texts, texts and items without a word have no row; repeated rows have theirs each."""
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    spark = docs.sparkSession
+    answer's.  Null texts, texts and items without a word have no row; repeated rows have theirs each;
+    documents and items without an id are searched like all others, with a null in the result."""
 
-    def search(shared) -> DataFrame:
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            index = shared.value
-            for pdf in batches:
-                out = [(i, *x) for i, t in zip(pdf["doc_id"], pdf["text"], strict=True) for x in index.leaks(tokens(t), threshold)]
-                frame = pd.DataFrame(out, columns=["doc_id", "item_id", "bm25", "question_overlap", "answer_overlap", "overlap"])
-                yield frame.assign(doc_id=frame["doc_id"].astype("Int64"), item_id=frame["item_id"].astype("Int64"))
-
-        return narrow.mapInPandas(run, RESULT)
+    def rows(pdf: pd.DataFrame, index: Index, threshold: float) -> pd.DataFrame:
+        found = [(i, *x) for i, t in zip(pdf["ident"], pdf["text"], strict=True) for x in index.leaks(tokens(t), threshold)]
+        frame = pd.DataFrame(found, columns=["doc_id", "item_id", "bm25", "question_overlap", "answer_overlap", "overlap"])
+        return frame.assign(doc_id=ids_of(frame["doc_id"]), item_id=pd.array(frame["item_id"].tolist(), "Int64"))
 
-    return reduce(DataFrame.unionByName, [search(spark.sparkContext.broadcast(Index(p))) for p in _parts(items)])
+    return _found(docs.select(ident_text().alias("ident"), "text"), items, threshold, ["ident", "text"], RESULT, rows)
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents in which no test item is found, all columns as they are."""
-    shared = [docs.sparkSession.sparkContext.broadcast(Index(p)) for p in _parts(items)]
+    (hit,) = unused(docs.columns, "hit")
+    parts, indexes = _indexes(items)
+    if parts == 1:
+        shared = docs.sparkSession.sparkContext.broadcast(next(indexes))
+
+        @F.pandas_udf("boolean")
+        def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for text in batches:
+                yield pd.Series([not shared.value.leaks(tokens(t)) for t in text], dtype=bool)
+            give_back()
+
+        return docs.where(clean(F.col("text")))
 
-    @F.pandas_udf("boolean")
-    def clean(text: pd.Series) -> pd.Series:
-        words = [tokens(t) for t in text]
-        return pd.Series([not any(s.value.leaks(w) for s in shared) for w in words])
+    def rows(pdf: pd.DataFrame, index: Index, threshold: float) -> pd.DataFrame:
+        return pd.DataFrame({"text": [t for t in pdf["text"] if t and index.leaks(tokens(t), threshold)]}, dtype=object)
 
-    return docs.where(clean(F.col("text")))
+    # the texts that hold an item: few, as long as the corpus is not made of tests
+    bad = _found(docs.select("text"), items, THRESHOLD, ["text"], "text string", rows).distinct()
+    return docs.join(bad.withColumnRenamed("text", hit), F.col("text") == F.col(hit), "left_anti")

@@ -60,14 +60,33 @@ def test_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, 1), (1, None, 1), (None, ITEM, 1), (2, "", 2), (3, (ITEM + " and so on ") * 2000, 3)], "doc_id long, text string, item_id int")
     items = spark.createDataFrame([(7, ITEM), (7, ITEM), (None, ITEM), (8, None), (9, ""), (10, "?!")], "item_id long, text string")
     out = Counter((r["doc_id"], r["item_id"]) for r in D.contaminated(docs, items).collect())
-    assert out == {(None, 7): 2, (3, 7): 2}
+    assert out == {(None, 7): 2, (3, 7): 2, (None, None): 1, (3, None): 1}  # an item without an id counts too
     assert D.contaminated(docs.limit(0), items).count() == 0 and D.contaminated(docs, items.limit(0)).count() == 0
     kept = D.remove_contaminated(docs, items)
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 1, 2]
 
 
 def test_parts_of_the_index(spark, monkeypatch):
+    """Parts change nothing, the BM25 shares included."""
     docs, items = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
-    whole = Counter((r["doc_id"], r["item_id"]) for r in D.contaminated(docs, items).collect())
+    found = lambda: sorted((r["doc_id"], r["item_id"], round(r["bm25"], 9), r["overlap"]) for r in D.contaminated(docs, items).collect())
+    whole, left = found(), {r["doc_id"] for r in D.remove_contaminated(docs, items).collect()}
     monkeypatch.setattr(D, "PART_CHARS", 4000)
-    assert Counter((r["doc_id"], r["item_id"]) for r in D.contaminated(docs, items).collect()) == whole
+    assert found() == whole
+    assert {r["doc_id"] for r in D.remove_contaminated(docs, items).collect()} == left
+
+
+def test_wand_finds_what_adding_up_finds():
+    r = random.Random(1)
+    items = [(k, " ".join(r.choice("a b c d e f g h i j k l m n o p q r s t".split()) for _ in range(r.randrange(3, 40)))) for k in range(300)]
+    index = D.Index(items)
+    for _ in range(60):
+        terms = sorted(r.sample(range(len(index.term)), r.randrange(1, 12)))
+        for threshold in (0.2, 0.5, 0.8):
+            sums = Counter()
+            for t in terms:
+                for d, x in zip(index.docs[t], index.weights[t], strict=True):
+                    sums[d] += x
+            want = {d: x for d, x in sums.items() if x >= threshold - 1e-9}
+            got = dict(index.search(terms, threshold))
+            assert got.keys() == want.keys() and all(abs(got[d] - want[d]) < 1e-9 for d in got)
