@@ -18,12 +18,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import split_of, written
+from tessera.llm.common import ident_text, ids_of, split_of, written
 
 #: Expected number of distinct labelled texts in the sample, of each class.
 SAMPLE = 8000
-#: Entries of the lexicon at most, and what an entry needs in the sample.
-TERMS, LEAST_TEXTS = 2000, 3
+#: Toxic texts of the sample that an entry needs.
+LEAST_TEXTS = 3
 #: Least log-odds of an entry; less so many standard errors, they must still be half of that.
 LEAST_ODDS, ERRORS = 4.0, 2.0
 #: Lengths of the word beginnings that may become entries, besides whole words.
@@ -79,14 +79,21 @@ class Matcher:
         self.automaton.make_automaton()
 
     def mass(self, folded: str) -> float:
-        hits, exempt = {}, []
+        hits: dict[int, float] = {}
+        exempt: list[tuple[int, int]] = []
         for end, (n, weight) in self.automaton.iter(folded):
             start = end - n + 1
             if weight is None:
                 exempt.append((start, end))
             else:  # one hit a word: the heaviest
                 hits[start] = max(weight, hits.get(start, 0.0))
-        total = sum(w for s, w in hits.items() if not any(a <= s < b for a, b in exempt))
+        total, upto, k = 0.0, -1, 0
+        exempt.sort()
+        for s in sorted(hits):
+            while k < len(exempt) and exempt[k][0] <= s:
+                upto, k = max(upto, exempt[k][1]), k + 1
+            if s >= upto:
+                total += hits[s]
         return total / math.log2(2 + folded.count(" "))
 
 
@@ -100,7 +107,7 @@ def features(folded: str) -> set[str]:
     return found
 
 
-def choose(counts: list[tuple[str, int, int]], toxic: int, clean: int, terms: int = TERMS) -> dict[str, float]:
+def choose(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> dict[str, float]:
     """The lexicon from (feature, toxic texts, clean texts): log-odds weights of precise features, the
     most frequent first and of equals the longest; none that begins a chosen one or begins with it."""
     odds = lambda n, m: math.log((n + 0.5) / (toxic + 1)) - math.log((m + 0.5) / (clean + 1))
@@ -114,8 +121,6 @@ def choose(counts: list[tuple[str, int, int]], toxic: int, clean: int, terms: in
     for f in lexicon:
         begun.update(f[:k] for k in range(1, len(f) + 1))
     for f, n, m in sorted(counts, key=lambda x: (-x[1], -len(x[0]), x[0])):
-        if len(lexicon) >= terms:
-            break
         if n < LEAST_TEXTS or f in begun or any(f[:k] in lexicon for k in range(2, len(f))):
             continue
         error = math.sqrt(1 / (n + 0.5) + 1 / (m + 0.5))
@@ -176,8 +181,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[dic
     sums = texts.mapInPandas(count, "f string, n long, m long").groupBy("f").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
     toxic, clean = texts.agg(F.sum(F.when(F.col("toxic") == 1, 1).otherwise(0)), F.sum(F.when(F.col("toxic") == 1, 0).otherwise(1))).first()
     toxic, clean = toxic or 0, clean or 0
-    useful = sums.where(F.col("n") >= LEAST_TEXTS).where(F.col("n") * F.lit(clean) >= F.col("m") * F.lit(toxic))
-    counts = useful.orderBy(F.desc("n"), F.desc(F.length("f")), "f").limit(50 * TERMS).collect()
+    # all that may become entries: precise features of the bounded sample, and the base words
+    odds = F.log((F.col("n") + 0.5) / (toxic + 1)) - F.log((F.col("m") + 0.5) / (clean + 1))
+    error = F.sqrt(1 / (F.col("n") + 0.5) + 1 / (F.col("m") + 0.5))
+    precise = (F.col("n") >= LEAST_TEXTS) & (odds >= LEAST_ODDS - 1e-6) & (odds - ERRORS * error >= LEAST_ODDS / 2 - 1e-6)
+    counts = sums.where(precise | F.col("f").isin([f" {w} " for w in BASE])).collect()
     lexicon = choose([(r["f"], r["n"], r["m"]) for r in counts], toxic, clean)
     shared = spark.sparkContext.broadcast(lexicon)
 
@@ -206,9 +214,9 @@ def score(docs: DataFrame, lexicon: dict[str, float], curve: tuple[float, float]
         matcher = Matcher(terms, exceptions)
         for pdf in batches:
             p = [1 / (1 + math.exp(-max(-700.0, min(700.0, a + b * matcher.mass(fold(t)))))) for t in pdf["text"]]
-            yield pdf[["doc_id", "held_out"]].assign(score=p, predicted=[int(v >= 0.5) for v in p])
+            yield pd.DataFrame({"doc_id": ids_of(pdf["ident"]), "held_out": pdf["held_out"].to_numpy(), "score": p, "predicted": [int(v >= 0.5) for v in p]})
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (split_of(F.col("doc_id"), 5) == 0).alias("held_out"), "text")
+    rows = docs.select(ident_text().alias("ident"), (split_of(F.col("doc_id"), 5) == 0).alias("held_out"), "text")
     return rows.mapInPandas(run, RESULT)
 
 

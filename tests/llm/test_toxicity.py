@@ -74,3 +74,51 @@ def test_small_sample_scores_like_a_large_one(spark):
     for x in (0.0, weak / 2, weak):
         assert of(small, x) == pytest.approx(of(large, x), abs=0.12), (x, small, large)
     assert abs(small[0] - large[0]) < 0.7  # 2.3 if the classes of the sample count alike
+
+
+def naive_mass(folded, lexicon, exceptions=T.EXCEPTIONS):
+    exempt = [(k, k + len(p) + 1) for p in exceptions for k in range(len(folded)) if folded.startswith(f" {p} ", k)]
+    total = 0.0
+    for k in range(len(folded)):
+        found = [w for t, w in lexicon.items() if folded.startswith(t, k)]
+        if found and not any(a <= k < b for a, b in exempt):
+            total += max(found)
+    return total / T.math.log2(2 + folded.count(" "))
+
+
+def test_mass_against_naive_search():
+    r = random.Random(2)
+    lexicon = {" trash ": 2.0, " tra": 1.0, " clown ": 3.0, " scum ": 1.5, " id": 0.5, " idiot ": 2.5}
+    words = ["trash", "can", "bin", "clown", "fish", "pond", "scum", "idiot", "idle", "class", "costume", "x"]
+    matcher = T.Matcher(lexicon)
+    for _ in range(300):
+        folded = T.fold(" ".join(r.choice(words) for _ in range(r.randrange(30))))
+        assert matcher.mass(folded) == pytest.approx(naive_mass(folded, lexicon))
+
+
+def test_long_texts_of_hits_and_exceptions_take_linear_time():
+    import time
+
+    matcher = T.Matcher({" trash ": 2.0})
+    folded = T.fold("trash can trash " * 11_000)
+    began = time.process_time()
+    assert matcher.mass(folded) > 0 and len(folded) > 176_000
+    assert time.process_time() - began < 0.5
+
+
+def test_scores_are_the_curve_of_the_masses(spark):
+    """The score of every text by naive search; the curve is where the likelihood of the labels is greatest."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    learn = lambda df: df.where("crc32(cast(doc_id as string)) % 5 <> 0")
+    lexicon, (a, b) = T.train(learn(docs), learn(labels))
+    out = {r["doc_id"]: r["score"] for r in T.score_documents(docs, labels).collect()}
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for i, t in texts.items():
+        assert out[i] == pytest.approx(1 / (1 + T.math.exp(-a - b * naive_mass(T.fold(t), lexicon))), rel=1e-9)
+    by = {}
+    for r in learn(labels).collect():
+        if r["toxic"] is not None and r["doc_id"] in texts:
+            by[texts[r["doc_id"]]] = max(r["toxic"], by.get(texts[r["doc_id"]], 0))
+    x, y = [T.Matcher(lexicon).mass(T.fold(t)) for t in by], list(by.values())
+    left = [1 / (1 + T.math.exp(-a - b * v)) - w for v, w in zip(x, y, strict=True)]
+    assert abs(sum(left) + 1e-2 * a) < 1e-5 and abs(sum(v * e for v, e in zip(x, left, strict=True)) + 1e-2 * b) < 1e-5
