@@ -17,11 +17,12 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import written
-from tessera.llm.shingles import mix, shingle_sets
+from tessera.llm.bytewords import mix
+from tessera.llm.common import give_back, ident_text, ids_of, unused, written
+from tessera.llm.shingles import shingle_sets
 
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 75
@@ -70,11 +71,21 @@ def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in _parts(pdf):
             sets = shingle_sets(p["text"].tolist())
             yield pd.DataFrame({
-                "doc_id": p["doc_id"].astype("Int64").to_numpy(dtype=object, na_value=None), "n": [len(s) for s in sets],
+                "doc_id": ids_of(p["ident"]), "row": p["row"].to_numpy(), "n": [len(s) for s in sets],
                 "s1": [int(np.add.reduce(s).view(np.int64)) if len(s) else 0 for s in sets],
                 "s2": [int(np.add.reduce(mix(s)).view(np.int64)) if len(s) else 0 for s in sets],
                 "bands": [bands(s).view(np.int64) if len(s) else None for s in sets],
             })
+    give_back()
+
+
+def _row_hash() -> Column:
+    return F.xxhash64(ident_text(), F.coalesce("text", F.lit("")))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """ident (the id as text, empty if null), text and row, the hash of both."""
+    return docs.select(ident_text().alias("ident"), "text", _row_hash().alias("row"))
 
 
 def _filter_of(ids: DataFrame) -> np.ndarray:
@@ -94,21 +105,24 @@ def _filter_of(ids: DataFrame) -> np.ndarray:
     return out
 
 
-def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """id, n, s1 and the sets (64 bits: full, 32 bits: low) of the documents that may be among ``ids``."""
-    shared = docs.sparkSession.sparkContext.broadcast(_filter_of(ids))
+def _sets(keyed: DataFrame, need: DataFrame) -> DataFrame:
+    """id, n, s1 and the set as 64-bit numbers (full) and as their upper halves (low) of the classes
+    ``need`` (id, row, s1), from the one document that stands for each."""
+    shared = keyed.sparkSession.sparkContext.broadcast(_filter_of(need.select(F.col("row").alias("id"))))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits = shared.value
         for pdf in batches:
             p = pdf["p"].to_numpy()
-            may = pdf[(bits[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1 == 1]
+            may = pdf[(bits[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1 == 1].drop_duplicates("row")
             for part in _parts(may):
-                sets = [s for s in shingle_sets(part["text"].tolist())]
-                yield pd.DataFrame({"id": part["id"].to_numpy(), "n": [len(s) for s in sets], "s1": [int(np.add.reduce(s).view(np.int64)) if len(s) else 0 for s in sets], "full": [s.tobytes() for s in sets]})
+                sets = shingle_sets(part["text"].tolist())
+                yield pd.DataFrame({"row": part["row"].to_numpy(), "n": [len(s) for s in sets], "s1": [int(np.add.reduce(s).view(np.int64)) if len(s) else 0 for s in sets], "full": [s.tobytes() for s in sets], "low": [(s >> np.uint64(32)).astype(np.uint32).tobytes() for s in sets]})
+        give_back()
 
-    rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("id"), "text", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("p"))
-    return rows.mapInPandas(run, "id long, n int, s1 long, full binary")
+    rows = keyed.select("text", "row", F.pmod(F.xxhash64("row"), F.lit(FILTER_BITS)).alias("p"))
+    found = rows.mapInPandas(run, "row long, n int, s1 long, full binary, low binary")
+    return found.join(need, ["row", "s1"]).dropDuplicates(["id"]).select("id", "n", "s1", "full", "low")
 
 
 def confirm(edges: DataFrame, sets: DataFrame) -> DataFrame:
@@ -138,19 +152,26 @@ def confirm(edges: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """id, component (smallest id reachable) of the nodes of ``edges`` (a, b): the smallest label among
-    neighbours, then the label's own label, until nothing moves."""
-    both = written(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "component-edges")
-    labels = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("l"))
-    labels = written(labels.select(F.col("a").alias("id"), F.col("l").alias("component")), "component-labels")
-    while True:
-        near = both.join(labels.select(F.col("id").alias("b"), F.col("component").alias("l")), "b").groupBy("a").agg(F.min("l").alias("l"))
-        step = labels.join(near, labels["id"] == near["a"]).select("id", F.least("component", "l").alias("new"), F.col("component").alias("old"))
-        jump = step.alias("x").join(labels.select(F.col("id").alias("i"), F.col("component").alias("c")), F.col("new") == F.col("i"), "left")
-        after = written(jump.select("id", F.least("new", "c").alias("component"), "old"), "component-labels")
-        labels = after.select("id", "component")
-        if after.where("component <> old").isEmpty():
-            return labels
+    """id, component (the smallest id reachable) of the nodes of ``edges`` (a, b).
+
+    In each round a node takes the smallest of itself and its neighbours as its label, and then the
+    label's own label; the edges between labels that differ are the next round's graph, which shrinks fast.
+    The labels of the rounds are applied one after the other."""
+    turned = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    graph = written(edges.select("a", "b").unionByName(turned).where("a <> b").distinct(), "component-edges")
+    rounds: list[DataFrame] = []
+    while not rounds or not graph.isEmpty():
+        low = written(graph.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("l")), "component-labels")
+        # the distinct labels are looked up, not their members, as a large component is one label
+        jump = low.select("l").distinct().join(low.select(F.col("a").alias("l"), F.col("l").alias("m")), "l")
+        rounds.append(written(low.join(jump, "l", "left").select(F.col("a").alias("id"), F.least("l", "m").alias("label")), "component-labels"))
+        left = graph.join(rounds[-1].toDF("a", "x"), "a").select("x", "b").distinct()
+        right = left.join(rounds[-1].toDF("b", "y"), "b").where("x <> y")
+        graph = written(right.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "component-edges")
+    out = rounds[0]
+    for after in rounds[1:]:
+        out = out.join(after.toDF("label", "next"), "label", "left").select("id", F.coalesce("next", "label").alias("label"))
+    return out.select("id", F.col("label").alias("component"))
 
 
 def _blocked(members: DataFrame) -> DataFrame:
@@ -201,27 +222,25 @@ def _unlinked_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").where("a <> b").distinct()
 
 
-def _low(full: pd.Series) -> pd.Series:
-    return full.map(lambda x: (np.frombuffer(x, np.uint64) >> np.uint64(32)).astype(np.uint32).tobytes())
-
-
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document (doc_id, text; other columns are ignored): doc_id, n_shingles,
-    component_id, kept.  Null and empty texts and texts without a word have no shingle and are linked
-    with nothing.  Rows of one id count as one document where their component is concerned; rows
-    without an id take the id of a document of equal shingles, or none."""
-    rows = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(_sketch, "doc_id long, n long, s1 long, s2 long, bands array<long>"), "neardup-rows")
-    classes = rows.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"))
-    classes = written(classes, "neardup-classes")
-    keys = classes.where(F.col("id").isNotNull()).select("id", "n", F.explode("bands").alias("key"))
+def _classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` (doc_id, row, n, s1, s2), and their classes of equal shingle sets (n, s1, s2)
+    with the number of their component and its smallest doc_id, null if none has one."""
+    keyed = _keyed(docs)
+    rows = written(keyed.mapInPandas(_sketch, "doc_id long, row long, n long, s1 long, s2 long, bands array<long>"), "neardup-rows")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+    classes = rows.where("n > 0").groupBy("n", "s1", "s2").agg(first.alias("first"), F.first("bands").alias("bands"))
+    classes = classes.select("n", "s1", "s2", F.col("first.doc_id").alias("low"), F.col("first.row").alias("row"), "bands")
+    # numbered in the order of their documents, so that the centre of a star is its first document, which
+    # later copies were most likely made from; written with the number, so that it stays the same
+    order = [F.col("low").asc_nulls_last(), F.col("row")]
+    classes = classes.repartitionByRange(*order).sortWithinPartitions(*order)
+    classes = written(classes.withColumn("id", F.monotonically_increasing_id()), "neardup-classes")
+    keys = classes.select("id", "n", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("centre")).where("c > 1").drop("c")
     members = written(keys.join(buckets, "key"), "neardup-members")
     edges = written(members.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(), "neardup-edges")
-    ids = members.select("id").distinct()
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = _sets(narrow, ids).join(classes.select("id", F.col("s1").alias("of")), "id").where("s1 = of").drop("of").dropDuplicates(["id", "s1"])
-    low = F.pandas_udf(_low, "binary")
-    sets = written(sets.join(ids, "id").withColumn("low", low("full")), "neardup-sets")
+    need = classes.join(members.select("id").distinct(), "id").select("id", "row", "s1")
+    sets = written(_sets(keyed, need), "neardup-sets")
     links = written(confirm(edges, sets), "neardup-links")
     comp = components(links)
     held = members.select("key", "id", "n").join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -229,17 +248,39 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     found = written(confirm(written(more, "neardup-pairs"), sets), "neardup-links")
     if not found.isEmpty():
         comp = components(reduce(DataFrame.unionByName, [links, found]))
-    label = F.coalesce("component", "id", "doc_id")
-    out = rows.join(classes.select("n", "s1", "s2", "id"), ["n", "s1", "s2"], "left").join(comp, "id", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), label.alias("component_id"), F.col("doc_id").eqNullSafe(label).alias("kept"))
+    # the smallest document of each component, over the classes that have a link
+    linked = comp.join(classes.select("id", "low"), "id")
+    lowest = linked.groupBy("component").agg(F.min("low").alias("lowest"))
+    linked = linked.join(lowest, "component").select("id", "component", "lowest")
+    out = classes.select("n", "s1", "s2", "id", "low").join(linked, "id", "left")
+    return rows.drop("bands"), out.select("n", "s1", "s2", F.coalesce("component", "id").alias("component"), F.coalesce("lowest", "low").alias("lowest"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row per document (doc_id, text; other columns are ignored): doc_id, n_shingles,
+    component_id, kept.  Null and empty texts and texts without a word have no shingle and are linked
+    with nothing.  Rows of one id are documents of their own; rows without an id take the smallest id of
+    their component, or none."""
+    rows, classes = _classed(docs)
+    out = rows.join(classes, ["n", "s1", "s2"], "left").withColumn("label", F.coalesce("lowest", "doc_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.col("label").alias("component_id"), F.col("doc_id").eqNullSafe(F.col("label")).alias("kept"))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The documents with one of each group: the smallest id, one row of it; rows without a shingle or
-    without an id stay.  All columns as they are."""
-    found = near_duplicates(docs.select("doc_id", "text")).where(~F.col("kept") & F.col("doc_id").isNotNull())
-    gone = written(found.select("doc_id").distinct(), "neardup-gone")
-    many = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("doc_id")
-    once = docs.join(gone.unionByName(many).distinct(), "doc_id", "left_anti")
-    twice = docs.join(many, "doc_id", "left_semi").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    """The documents with one row of each group of near copies: the one of smallest id (null last), then
+    of smallest hash of its text; of rows that are equal in id and text one stays.  Only rows that are
+    linked go, also those without an id or with the id of another text; rows without a shingle stay.  All
+    columns as they are."""
+    rows, classes = _classed(docs.select("doc_id", "text"))
+    ident = F.coalesce("doc_id", F.lit(-1)).alias("ident")
+    grouped = rows.where("n > 0").join(classes, ["n", "s1", "s2"]).select("component", "doc_id", "row", ident)
+    grouped = written(grouped, "neardup-grouped")
+    best = grouped.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("best"))
+    best = written(best.select(F.col("best.row").alias("row"), F.coalesce("best.doc_id", F.lit(-1)).alias("ident")), "neardup-best")
+    gone = grouped.select("row", "ident").distinct().join(best, ["row", "ident"], "left_anti")
+    many = grouped.groupBy("row", "ident").agg(F.count(F.lit(1)).alias("c")).where("c > 1").join(best, ["row", "ident"], "left_semi").select("row", "ident")
+    r, k = unused(docs.columns, "row", "ident")
+    marked = docs.withColumns({r: _row_hash(), k: F.coalesce(F.col("doc_id").cast("long"), F.lit(-1))})
+    once = marked.join(gone.unionByName(many).toDF(r, k), [r, k], "left_anti")
+    twice = marked.join(many.toDF(r, k), [r, k], "left_semi").dropDuplicates([r, k])
     return once.unionByName(twice).select(*[F.col(f"`{c}`") for c in docs.columns])

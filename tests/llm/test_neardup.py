@@ -103,7 +103,16 @@ def test_odd_rows(spark):
     assert out == Counter({(1, 2, 1, True): 2, (None, 2, 1, False): 1, (None, 1, None, True): 1, (None, 0, None, True): 1, (2, 0, 2, True): 1, (3, 0, 3, True): 1, (3, 1, 3, True): 1})
     assert N.near_duplicates(df.limit(0)).count() == 0
     kept = N.keep_first(df)
-    assert kept.columns == df.columns and Counter(r["doc_id"] for r in kept.collect()) == Counter({None: 3, 1: 1, 2: 1, 3: 1})
+    assert kept.columns == df.columns and Counter(r["doc_id"] for r in kept.collect()) == Counter({None: 2, 1: 1, 2: 1, 3: 2})
+
+
+def test_only_linked_rows_go(spark):
+    """Other texts under one id stay, copies without an id go; which row stays doesn't depend on chance."""
+    one, two, three = ("first text of five words and more", "second one has other words in it", "a third text that is like none")
+    rows = [(1, one), (1, two), (1, one), (2, two), (None, three), (None, three), (None, one), (3, three + " x"), ((1 << 60) + 1, "x y z u v w"), ((1 << 60), "x y z u v w")]
+    df = spark.createDataFrame([(*r, "k", 5) for r in rows], "doc_id long, text string, row string, ident int").repartition(3)
+    got = Counter((r["doc_id"], r["text"]) for r in N.keep_first(df).collect())
+    assert got == Counter([(1, one), (1, two), (3, three + " x"), (1 << 60, "x y z u v w")])
 
 
 def test_blocks_are_bounded_by_members(spark, monkeypatch):
@@ -117,3 +126,27 @@ def test_blocks_are_bounded_by_members(spark, monkeypatch):
     rows = corpus(4)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert Counter(tuple(r) for r in N.near_duplicates(df).collect()) == brute(rows)
+
+
+def test_components_of_odd_graphs(spark):
+    r = random.Random(8)
+    chain = [(k, k + 1) for k in range(100, 180)]
+    r.shuffle(ids := list(range(1000, 1080)))
+    twisted = list(zip(ids, ids[1:]))
+    star = [(5000, k) for k in range(4000, 4060)] + [(k, 6000) for k in range(6001, 6030)]
+    loose = [(r.randrange(9000, 9100), r.randrange(9000, 9100)) for _ in range(60)]
+    edges = chain + twisted + star + loose + chain[:5] + [(7, 7)]
+    up = {}
+
+    def find(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            x, y = find(a), find(b)
+            up[max(x, y)] = min(x, y)
+    got = {x["id"]: x["component"] for x in N.components(spark.createDataFrame(edges, "a long, b long").repartition(3)).collect()}
+    assert got == {x: find(x) for x in list(up)}
+    assert N.components(spark.createDataFrame([], "a long, b long")).collect() == []
