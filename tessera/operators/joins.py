@@ -70,7 +70,7 @@ def label_index(df: DataFrame, col: str, labels: DataFrame, label_col: str, idx_
 
 
 #: Rows whose words are looked up together.
-BLOCK_ROWS = 2000
+BLOCK_ROWS = 500
 
 
 def _looked_up(df: DataFrame, key: str, words: str, table: DataFrame, run: Callable, shape: str) -> DataFrame:
