@@ -4,6 +4,7 @@ benchmark decontamination, packing.  Each stage works on all that the one before
 from __future__ import annotations
 
 import functools
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,20 +40,34 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, tokenizer_path())
 
 
-_before: list[str] = []
+#: Rows of a batch that goes to a Python worker.
+BATCH_ROWS = 1000
+
+
+class _Intermediate(threading.local):
+    """Folders of the tables that the last stage of this thread has read its result from."""
+
+    def __init__(self) -> None:
+        self.folders: list[str] = []
+
+
+_last = _Intermediate()
 
 
 def _stage(function, first: bool = False):
-    """A stage that begins by deleting the intermediate tables of the stage before it, whose result
-    has been written by then; the first one has none before it."""
+    """A stage that begins by deleting the intermediate tables of the stage before it in this thread,
+    whose result has been written by then; the first one has none before it.  Those of the last stage stay
+    until the application ends, as its result is read from them."""
 
     @functools.wraps(function)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        # rows hold whole texts: the default of 10,000 rows a batch takes far more memory than it saves time
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
         if not first:
-            discard(spark, _before)
+            discard(spark, _last.folders)
         with noting() as paths:
             out = function(spark, docs, sf_dir)
-        _before[:] = paths
+        _last.folders = paths
         return out
 
     return run_stage
