@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import itertools
 import math
-import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import split_of, written
-from tessera.llm.shingles import mix
+from tessera.llm.bytewords import mix
+from tessera.llm.common import give_back, shared_folder, split_of, written
 
 #: Bytes of the longest context.
 ORDER = 6
@@ -38,6 +38,8 @@ ORDER = 6
 SUFFIX = 3
 #: Characters of the texts in a block of strings, and for each bucket; strings predicted at once.
 STRING_CHARS, BUCKET_CHARS, PREDICTED = 6_000_000, 8_000_000, 1 << 18
+#: Bytes that a task keeps of what the blocks have sent to one bucket.
+SPOOL_BYTES = 64 << 20
 #: Characters of the texts that are counted, and scored, at once.
 COUNT_CHARS, SCORE_CHARS = 6_000_000, 1_500_000
 #: The end of a text, and what stands before it: a byte that UTF-8 doesn't use.
@@ -241,6 +243,48 @@ def _values(code: np.ndarray, n: np.ndarray, short: list[tuple[np.ndarray, np.nd
     return np.concatenate([model.log10(code[a : a + PREDICTED]) for a in range(0, len(code), PREDICTED)]).astype(np.float32)
 
 
+class Spool:
+    """What the blocks have sent to a bucket, kept until its values are known: in memory up to
+    ``SPOOL_BYTES``, beyond that in a file of the shared folder that the cluster names."""
+
+    def __init__(self, folder: str):
+        self.folder, self.held, self.size, self.path, self.stream = folder, [], 0, None, None
+
+    def add(self, block: int, codes: bytes) -> None:
+        self.held.append((block, codes))
+        self.size += len(codes)
+        if self.size > SPOOL_BYTES:
+            self._write()
+
+    def _files(self):
+        from pyarrow import fs
+
+        return fs.FileSystem.from_uri(self.folder)
+
+    def _write(self) -> None:
+        if self.stream is None:
+            files, folder = self._files()
+            files.create_dir(folder, recursive=True)
+            self.path = f"{folder}/{uuid.uuid4().hex}"
+            self.stream = files.open_output_stream(self.path)
+        for block, codes in self.held:
+            self.stream.write(np.array([block, len(codes)], np.int64).tobytes() + codes)
+        self.held, self.size = [], 0
+
+    def drain(self) -> Iterator[tuple[int, bytes]]:
+        """All that was added, once; the file goes."""
+        if self.stream is not None:
+            self.stream.close()
+            files, _ = self._files()
+            with files.open_input_stream(self.path) as f:
+                while head := f.read(16):
+                    block, length = np.frombuffer(head, np.int64).tolist()
+                    yield block, f.read(length)
+            files.delete_file(self.path)
+        yield from self.held
+        self.held, self.stream = [], None
+
+
 STRINGS = "bucket int, block long, codes binary, counts binary, rows binary, texts binary"
 VALUES = "block long, bucket int, vals binary, rows binary, texts binary"
 
@@ -248,6 +292,7 @@ VALUES = "block long, bucket int, vals binary, rows binary, texts binary"
 def _predicted(keyed: DataFrame, short: list[tuple[np.ndarray, np.ndarray]], buckets: int) -> DataFrame:
     """Two kinds of rows for each block: the values of its strings of a bucket, and its documents."""
     shared = keyed.sparkSession.sparkContext.broadcast(short)
+    folder = shared_folder(keyed.sparkSession, "ppm-spool")
 
     def ship(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import zstandard
@@ -273,17 +318,14 @@ def _predicted(keyed: DataFrame, short: list[tuple[np.ndarray, np.ndarray]], buc
 
     def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = [c.split()[0] for c in VALUES.split(", ")]
-        now, parts, size, least, spill = None, [], 0, 1 << 20, None
+        now, parts, size, least, spool = None, [], 0, 1 << 20, Spool(folder)
 
         def end() -> Iterator[pd.DataFrame]:
             code, n = _added(parts)
             value = _values(code, n, shared.value)
-            spill.seek(0)
-            while head := spill.read(16):
-                block, length = np.frombuffer(head, np.int64).tolist()
-                x = np.cumsum(_unplaned(spill.read(length), np.uint64), dtype=np.uint64)
+            for block, codes in spool.drain():
+                x = np.cumsum(_unplaned(codes, np.uint64), dtype=np.uint64)
                 yield pd.DataFrame([(block, now, _planes(value[np.searchsorted(code, x)]), None, None)], columns=columns)
-            spill.close()
 
         for pdf in batches:
             for r in pdf.itertuples():
@@ -293,8 +335,8 @@ def _predicted(keyed: DataFrame, short: list[tuple[np.ndarray, np.ndarray]], buc
                 if r.bucket != now:
                     if parts:
                         yield from end()
-                    now, parts, size, least, spill = r.bucket, [], 0, 1 << 20, tempfile.TemporaryFile()  # noqa: SIM115
-                spill.write(np.array([r.block, len(r.codes)], np.int64).tobytes() + r.codes)
+                    now, parts, size, least = r.bucket, [], 0, 1 << 20
+                spool.add(r.block, r.codes)
                 parts.append((np.cumsum(_unplaned(r.codes, np.uint64), dtype=np.uint64), _unplaned(r.counts, np.int32).astype(np.int64)))
                 size += len(parts[-1][0])
                 if size > least:  # the shipped counts never stay, only those of distinct strings

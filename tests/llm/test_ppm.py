@@ -157,3 +157,16 @@ def test_default_model_has_every_string(spark):
     model = P.Model(tables)
     for i, t in rows:
         assert out[i]["score"] == pytest.approx(model.score([P.lowered(t)])[0])
+
+
+def test_spool_in_memory_and_in_the_shared_folder(tmp_path, monkeypatch):
+    for limit in (1 << 20, 10):
+        monkeypatch.setattr(P, "SPOOL_BYTES", limit)
+        spool = P.Spool(f"file://{tmp_path}/spool-{limit}")
+        sent = [(k, bytes([k]) * (k % 7)) for k in range(40)]
+        for _ in range(2):  # one bucket after the other
+            for block, codes in sent:
+                spool.add(block, codes)
+            assert sorted(spool.drain()) == sorted(sent)
+        folder = tmp_path / f"spool-{limit}"
+        assert not folder.exists() or not list(folder.iterdir())
