@@ -6,21 +6,24 @@ Training round (repeated ``rounds`` times):
    vocabulary: the substrings of a token are joined with the vocabulary, the longest entry at each place
    is kept and the walk over the places is a fold inside the row; from each split start, all substrings
    to the end of the token receive the token's count;
-2. substrings below ``min_count`` are dropped.  From the longest down, one length after the other, a
-   substring whose count is still >= ``min_count`` is kept, and what is kept of it and of its extensions
-   is taken off its prefix of one character less.  (A kept string takes its count off all its prefixes;
-   as these are prefixes of each other, the sums can travel one character at a time.)  A length is one
-   aggregate, so a frequent prefix is no single task's;
+2. substrings below ``min_count`` are dropped.  From the longest down, a substring whose count is still
+   >= ``min_count`` is kept, and what is kept of it and of its extensions is taken off its prefix of one
+   character less.  (A kept string takes its count off all its prefixes; as these are prefixes of each
+   other, the sums can travel one character at a time.)  Strings of four and more characters are dealt by
+   their first four and walked in sorted order, which needs the open prefixes only; the three lengths
+   left are an aggregate each.  So the plan is as short for long tokens as for short ones;
 3. the new list is the reserved tokens, then kept substrings and every alphabet character sorted by
    (count, text) descending.
 
-Vocabularies are tables (id, subtoken) all through; nothing of a round is collected but its longest
-substring's length."""
+Vocabularies are tables (id, subtoken) all through; nothing of a round is collected but the length of
+the vocabulary's longest entry."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,13 +71,21 @@ def _substrings(tokens: DataFrame, most: int | None = None) -> DataFrame:
     return places.select("t", "s", ends).select("t", "s", "k", F.substr("t", F.col("s"), F.col("k")).alias("sub"))
 
 
+#: A vocabulary up to this size is sent to every task; above it, substrings travel to their entries.
+BROADCAST_ENTRIES = 200_000
+
+
 def split_tokens(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
     """t and pieces (s, k, id) of each distinct escaped token ``t``: the greedy split into entries of
     ``vocab`` (id, subtoken).  A token that can't be split is an error."""
-    most = vocab.agg(F.max(F.length("subtoken")).alias("m")).first()["m"] or 1
+    sizes = vocab.agg(F.max(F.length("subtoken")).alias("m"), F.count(F.lit(1)).alias("n")).first()
     entries = vocab.select(F.col("subtoken").alias("sub"), F.col("id").cast("int").alias("id"))
-    found = _substrings(tokens, most).join(entries, "sub").groupBy("t").agg(F.collect_list(F.struct("s", "k", "id")).alias("_e"))
-    whole = tokens.join(found, "t", "left")
+    entries = F.broadcast(entries) if sizes["n"] <= BROADCAST_ENTRIES else entries.hint("merge")
+    # dealt by the token, so that its substrings are put together where they were cut
+    dealt = tokens.select("t").repartition("t")
+    found = _substrings(dealt, sizes["m"] or 1).join(entries, "sub").groupBy("t").agg(F.collect_list(F.struct("s", "k", "id")).alias("_e"))
+    # tokens are as many as the text has: none of their tables may be sent to every task
+    whole = dealt.join(found.hint("merge"), "t", "left")
     return whole.select("t", _pieces(F.coalesce("_e", F.array().cast("array<struct<s:int,k:int,id:int>>")), F.length("t")).alias("pieces"))
 
 
@@ -85,36 +96,86 @@ def _escaped(token_counts: DataFrame, alphabet: Sequence[str]) -> DataFrame:
 def _substring_counts(escaped: DataFrame, vocab: DataFrame) -> DataFrame:
     """Count of every substring that begins where the split of a token begins an entry."""
     split = split_tokens(escaped.select("t"), vocab)
-    starts = escaped.join(split, "t").select("t", "n", F.explode(F.transform("pieces", lambda p: p["s"])).alias("s"))
+    starts = escaped.join(split.hint("merge"), "t").select("t", "n", F.explode(F.transform("pieces", lambda p: p["s"])).alias("s"))
     ends = F.explode(F.sequence(F.lit(1), F.length("t") - F.col("s") + 1)).alias("k")
     subs = starts.select("t", "n", "s", ends).select(F.substr("t", F.col("s"), F.col("k")).alias("sub"), "n")
     return subs.groupBy("sub").agg(F.sum("n").alias("count"))
 
 
+#: Strings of this length and longer are decided subtree by subtree, shorter ones length by length.
+SUBTREE = 4
+
+_LEFT = "sub string, count long, taken long, kept boolean"
+
+
+def _decide_subtrees(min_count: int):
+    """The decisions on sorted strings of SUBTREE and more characters, all strings of a subtree in one
+    partition: a walk with the open prefixes of the current string on a stack.  Yields the kept strings,
+    and for the prefix above each subtree what has been taken off it."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        stack: list[list] = []  # string, count, taken
+        out: list[tuple] = []
+
+        def close() -> None:
+            sub, count, taken = stack.pop()
+            good = count - taken >= min_count
+            if good:
+                out.append((sub, count - taken, 0, True))
+            up = count if good else taken
+            if stack:
+                stack[-1][2] += up
+            elif up:
+                out.append((sub[: SUBTREE - 1], 0, up, False))
+
+        def frame() -> pd.DataFrame:
+            rows, out[:] = list(out), []
+            return pd.DataFrame(rows, columns=["sub", "count", "taken", "kept"])
+
+        for pdf in batches:
+            for sub, count in zip(pdf["sub"], pdf["count"].tolist(), strict=True):
+                while stack and not sub.startswith(stack[-1][0]):
+                    close()
+                if stack and stack[-1][0] == sub:
+                    stack[-1][1] += count
+                else:
+                    stack.append([sub, count, 0])
+            if out:
+                yield frame()
+        while stack:
+            close()
+        if out:
+            yield frame()
+
+    return run
+
+
 def reduce_counts(counts: DataFrame, min_count: int) -> DataFrame:
     """The substrings (sub, count) that are kept, with what their kept extensions leave of the count:
     sub, count, for two and more characters; and all single characters, whatever is left of them.
     ``counts`` must hold every prefix of its strings."""
-    rows = cut_lineage(counts.where((F.col("count") >= min_count) | (F.length("sub") == 1)).withColumn("size", F.length("sub")))
-    longest = rows.agg(F.max("size").alias("m")).first()["m"] or 0
-    # rows that travel: sums for a prefix (kept = false), and strings that have been kept already
-    shape = ("sub", "count", "taken", "kept")
-    state = None
-    for size in range(longest, 0, -1):
-        level = rows.where(F.col("size") == size).select("sub", "count", F.lit(0).cast("long").alias("taken"), F.lit(False).alias("kept"))
-        level = level if state is None else level.unionByName(state)
-        sums = level.groupBy("sub", "kept").agg(F.sum("count").alias("count"), F.sum("taken").alias("taken"))
+    rows = cut_lineage(counts.where((F.col("count") >= min_count) | (F.length("sub") == 1)))
+    size = F.length("sub")
+    zero, no = F.lit(0).cast("long").alias("taken"), F.lit(False).alias("kept")
+    # a subtree is one partition's, but it streams through the task in order: only open prefixes are held
+    long = rows.where(size >= SUBTREE).select("sub", F.col("count").cast("long").alias("count"))
+    dealt = long.repartition(F.substring("sub", 1, SUBTREE)).sortWithinPartitions("sub")
+    state = cut_lineage(dealt.mapInPandas(_decide_subtrees(min_count), _LEFT))
+    done = [state.where("kept").select("sub", "count")]
+    state = state.where("not kept")
+    for k in range(SUBTREE - 1, 0, -1):
+        level = rows.where(size == k).select("sub", "count", zero, no).unionByName(state)
+        sums = level.groupBy("sub").agg(F.sum("count").alias("count"), F.sum("taken").alias("taken"))
         left = F.col("count") - F.col("taken")
-        decided = F.struct("sub", left.alias("count"), F.lit(0).cast("long").alias("taken"), F.lit(True).alias("kept"))
-        if size == 1:
-            return sums.select(F.when(F.col("kept"), F.struct(*shape)).otherwise(decided).alias("r")).select("r.sub", "r.count")
+        if k == 1:
+            done.append(sums.select("sub", left.alias("count")))
+            break
         good = left >= min_count
-        prefix = F.substring("sub", 1, size - 1)
+        done.append(sums.where(good).select("sub", left.alias("count")))
         # a kept string and its extensions take its whole count off the prefix
-        up = F.struct(prefix.alias("sub"), F.lit(0).cast("long").alias("count"), F.when(good, F.col("count")).otherwise(F.col("taken")).alias("taken"), F.lit(False).alias("kept"))
-        out = F.when(F.col("kept"), F.array(F.struct(*shape))).when(good, F.array(up, decided)).otherwise(F.array(up))
-        state = sums.select(F.inline(out))
-    return counts.limit(0)
+        up = F.when(good, F.col("count")).otherwise(F.col("taken")).alias("taken")
+        state = sums.select(F.substring("sub", 1, k - 1).alias("sub"), F.lit(0).cast("long").alias("count"), up, no)
+    return reduce(DataFrame.unionByName, done)
 
 
 def vocab_frame(spark: SparkSession, vocab: Sequence[str]) -> DataFrame:
@@ -172,7 +233,7 @@ def subword_encode(df: DataFrame, key: str, text: str, vocab: DataFrame, add_eos
     distinct = toks.where(F.col("token").isNotNull()).select("token").distinct()
     entries = cut_lineage(distinct.select("token", escape_token("token", _constants([c for c in alphabet if c])).alias("t")))
     split = split_tokens(entries.select("t").distinct(), vocab)
-    ids = entries.join(split, "t").select("token", F.transform("pieces", lambda p: p["id"]).alias("ids"))
+    ids = entries.join(split.hint("merge"), "t").select("token", F.transform("pieces", lambda p: p["id"]).alias("ids"))
     j = toks.join(ids.hint("merge"), "token", "left")
     parts = F.filter(F.array_sort(F.collect_list(F.struct("pos", "ids"))), lambda x: x["ids"].isNotNull())
     enc = j.groupBy(key).agg(F.flatten(F.transform(parts, lambda x: x["ids"])).alias("ids"))

@@ -105,3 +105,25 @@ def test_greedy_split_takes_the_longest(spark):
     got = {r.t: [(p.s, p.k) for p in r.pieces] for r in SW.split_tokens(tokens, voc).collect()}
     assert got == {"abcab": [(1, 4), (5, 1)], "aab": [(1, 1), (2, 2)]}
     assert spark.createDataFrame([("a\nb",)], "s string").select(escape_token("s", F.array(F.lit("a"), F.lit("b"), F.lit("\n")))).first()[0] == "a\\10;b_"
+
+
+def test_plans_do_not_grow_with_tokens(spark):
+    """A long token makes no longer plan, and no table of tokens is sent to every task."""
+    long = "ab" * 40
+    df = spark.createDataFrame([(long[:k], 5) for k in range(1, len(long) + 1)] + [("b", 9)], "sub string, count long")
+    kept = SW.reduce_counts(df, 3)
+    assert kept._jdf.queryExecution().executedPlan().toString().count("Exchange") <= 12
+    got = {r.sub: r["count"] for r in kept.collect()}
+    assert got == {long: 5, "a": 0, "b": 9}
+    voc = SW.vocab_frame(spark, ["a", "b", "ab"])
+    split = SW.split_tokens(spark.createDataFrame([("abb",), ("b",)], "t string"), voc)
+    assert split._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") <= 1
+    assert {r.t: [p.k for p in r.pieces] for r in split.collect()} == {"abb": [2, 1], "b": [1]}
+
+
+def test_entries_above_the_broadcast_bound_split_the_same(spark, monkeypatch):
+    tokens = spark.createDataFrame([("abcab",), ("aab",)], "t string")
+    voc = SW.vocab_frame(spark, ["a", "b", "c", "ab", "abc", "bb"])
+    small = {r.t: [(p.s, p.k) for p in r.pieces] for r in SW.split_tokens(tokens, voc).collect()}
+    monkeypatch.setattr(SW, "BROADCAST_ENTRIES", 2)
+    assert {r.t: [(p.s, p.k) for p in r.pieces] for r in SW.split_tokens(tokens, voc).collect()} == small
