@@ -50,7 +50,7 @@ def q_csv_defaults(spark, sf_dir):
 
 def _docs_folder(spark, sf_dir):
     path = scratch_path(spark, "docs-text")
-    table(spark, sf_dir, "documents").select("doc_id", "text").write.partitionBy("doc_id").text(path)
+    A.write_text_files(table(spark, sf_dir, "documents"), "doc_id", "text", path)
     return path
 
 
@@ -90,7 +90,7 @@ def q_labelled(spark, sf_dir):
 @register("read_files_base64", "SELECT page_id, strlen(html) + 1 AS n_bytes FROM pages")
 def q_base64(spark, sf_dir):
     path = scratch_path(spark, "pages-text")
-    table(spark, sf_dir, "pages").select("page_id", "html").write.partitionBy("page_id").text(path)
+    A.write_text_files(table(spark, sf_dir, "pages"), "page_id", "html", path)
     b = A.read_files_base64(spark, path, "*.txt")
     return b.select(
         F.regexp_extract("filename", r"page_id=(\d+)", 1).cast("bigint").alias("page_id"),

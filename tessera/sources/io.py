@@ -3,8 +3,10 @@ declares them; writers go to paths on the shared file system (never machine-loca
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,12 +39,13 @@ def read_csv_defaults(spark: SparkSession, path: str, schema: str, defaults: Map
 
 
 def read_docs(spark: SparkSession, path: str, mode: str = "file") -> DataFrame:
-    """A folder of text files: one row per file (path, text) or one row per stripped line."""
+    """A folder of text files, at any depth: one row per file (path, text) or one row per stripped line."""
+    deep = {"recursiveFileLookup": True}
     if mode == "file":
-        return spark.read.text(path, wholetext=True).select(
+        return spark.read.text(path, wholetext=True, **deep).select(
             F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")
         )
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
+    lines = spark.read.text(path, **deep).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
     return lines.select("path", F.regexp_replace("line", r"^\s+|\s+$", "").alias("line"))
 
 
@@ -91,6 +94,39 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def write_text_files(df: DataFrame, key: str, text: str, path: str) -> None:
+    """One text file for each key of a partition, ``<path>/part-<n>/<key column>=<key>.txt``; each row ends
+    with one line separator.  A task fills one folder and names it when it is complete, so nothing is
+    left to the driver, however many files there are.  Files are written through Arrow's file systems."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        files, root = fs.FileSystem.from_uri(path)
+        task = TaskContext.get()
+        done, folder = f"{root}/part-{task.partitionId():05d}", f"{root}/_part-{task.partitionId():05d}-{task.taskAttemptId()}"
+        files.create_dir(folder, recursive=True)
+        count, last, out = 0, None, None
+        for pdf in batches:
+            for k, value in zip(pdf["key"], pdf["text"], strict=True):
+                if k != last:
+                    if out is not None:
+                        out.close()
+                    last, count = k, count + 1
+                    out = files.open_output_stream(f"{folder}/{key}={k}.txt", compression=None)
+                out.write((value or "").encode() + b"\n")
+        if out is not None:
+            out.close()
+        if files.get_file_info(done).type == fs.FileType.NotFound:
+            files.move(folder, done)
+        yield pd.DataFrame({"files": [count]})
+
+    # the name that a writer of partition folders gives to null
+    named = F.coalesce(F.col(key).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    rows = df.select(named.alias("key"), F.col(text).alias("text")).sortWithinPartitions("key")
+    rows.mapInPandas(run, "files long").agg(F.sum("files")).first()
+
+
 def write_sharded(df: DataFrame, path: str, n: int, order: Sequence[str]) -> DataFrame:
     """Write rows round-robin (by ``order``) to exactly ``n`` shards, skipped when the output
     exists.  Returns the shard assignment."""
