@@ -2,7 +2,8 @@
 
 The log holds ``topic=<t>/partition=<p>/base=<b>/`` folders, each with the messages whose offsets are in
 ``[b, b + rows)``.  So the folder names are the index: a read of an offset range plans one input
-partition a segment that the range touches, without opening other segments; only the end of the
+partition a segment that the range touches (a stream: small neighbours together), without opening other
+segments; only the end of the
 log (the last offset of each topic partition) comes from the statistics in the footers of the last
 segments.  Files are opened through Arrow's file systems, so the log may lie wherever driver and
 executors reach it (a shared folder, an object store).
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
-#: Offsets of a segment.
+#: Offsets of a segment, and of the segments that one task of a stream reads.
 SEGMENT_ROWS = 1 << 16
 
 SCHEMA = "topic string, partition int, offset long, value string, range_idx int"
@@ -53,7 +54,7 @@ def write_log(messages: DataFrame, path: str, rows: int = SEGMENT_ROWS) -> None:
 
 @dataclass
 class Slice(InputPartition):
-    """Offsets first..last (inclusive) of one segment."""
+    """Offsets first..last (inclusive) of one segment or of several in a row."""
 
     root: str
     topic: str
@@ -95,13 +96,23 @@ class MessageLog:
             last = max([last, *(meta.row_group(k).column(at).statistics.max for k in range(meta.num_row_groups))])
         return last + 1
 
-    def slices(self, key: tuple[str, int], first: int, last: int, range_idx: int = 0) -> Iterator[Slice]:
-        """One slice for each segment that holds offsets of first..last."""
+    def slices(self, key: tuple[str, int], first: int, last: int, range_idx: int = 0, span: int = 0) -> Iterator[Slice]:
+        """The segments that hold offsets of first..last, one slice for each; neighbours are one slice as
+        long as they have at most ``span`` offsets."""
         segments = self.segments.get(key, [])
+        open_: Slice | None = None
         for k, (base, paths) in enumerate(segments):
             top = min(last, segments[k + 1][0] - 1) if k + 1 < len(segments) else last
-            if max(base, first) <= top:
-                yield Slice(self.root, key[0], key[1], paths, max(base, first), top, range_idx)
+            if max(base, first) > top:
+                continue
+            if open_ is not None and top - open_.first < span:
+                open_.files, open_.last = [*open_.files, *paths], top
+                continue
+            if open_ is not None:
+                yield open_
+            open_ = Slice(self.root, key[0], key[1], list(paths), max(base, first), top, range_idx)
+        if open_ is not None:
+            yield open_
 
 
 def _read(part: Slice) -> Iterator[pa.RecordBatch]:
@@ -180,7 +191,8 @@ class _LogStream(DataSourceStreamReader):
         out = []
         for topic, parts in end.items():
             for number, upto in parts.items():
-                out += log.slices((topic, int(number)), start.get(topic, {}).get(number, 0), upto - 1)
+                # a whole log of small segments is read here: no task for each
+                out += log.slices((topic, int(number)), start.get(topic, {}).get(number, 0), upto - 1, span=SEGMENT_ROWS)
         return out or [Slice(self.root, "", 0, [], 0, -1, 0)]
 
     def read(self, partition: Slice) -> Iterator[pa.RecordBatch]:
