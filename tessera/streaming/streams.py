@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -109,7 +110,9 @@ def running_state(stream: DataFrame, key: str, value: str) -> DataFrame:
 
 
 METRIC_ROWS = "name string, value double, global_step long, at timestamp"
-_WAITING = "last long, waiting array<struct<at:long,step:long,value:double>>"
+_WAITING = "last long, waiting binary"
+#: A waiting row; the state holds them as the bytes of one array, 24 a row.
+_ROW = np.dtype([("at", "<i8"), ("step", "<i8"), ("value", "<f8")])
 
 
 def _log_when_due(micros: int):
@@ -118,27 +121,34 @@ def _log_when_due(micros: int):
     it is the name's first one or at least ``micros`` after the last one logged."""
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, waiting = state.get if state.exists else (None, [])
-        waiting = [tuple(x) for x in waiting]
+        last, held = state.get if state.exists else (None, b"")
+        parts = [np.frombuffer(held, _ROW)]
         for pdf in batches:
             # rows that count for the watermark only are left out here, not by a filter that goes before it
             pdf = pdf[pdf["name"].notna() & pdf["at"].notna() & pdf["step"].notna()].astype({"at": "int64", "step": "int64"})
-            waiting += zip(pdf["at"].tolist(), pdf["step"].tolist(), pdf["value"].tolist(), strict=True)
+            part = np.empty(len(pdf), _ROW)
+            for c in _ROW.names:
+                part[c] = pdf[c]
+            parts.append(part)
         passed = state.getCurrentWatermarkMs()
-        waiting.sort(key=lambda x: x[:2])
+        waiting = np.concatenate(parts)
+        waiting = waiting[np.lexsort((waiting["step"], waiting["at"]))]
+        due = int(np.searchsorted(waiting["at"], passed * 1000))
         logged, k = [], 0
-        while k < len(waiting) and waiting[k][0] < passed * 1000:
-            if last is None or waiting[k][0] >= last + micros:
-                last = waiting[k][0]
-                logged.append(waiting[k])
-            k += 1
-        waiting = waiting[k:]
-        state.update((last, waiting))
-        if waiting:
-            state.setTimeoutTimestamp(max(waiting[0][0] // 1000, passed + 1))
+        while k < due:
+            # of the rows that have passed, the next one that is late enough
+            k = k if last is None else max(k, int(np.searchsorted(waiting["at"][:due], last + micros)))
+            if k < due:
+                last = int(waiting["at"][k])
+                logged.append(k)
+                k += 1
+        rows, waiting = waiting[logged], waiting[due:]
+        state.update((last, waiting.tobytes()))
+        if len(waiting):
+            state.setTimeoutTimestamp(max(int(waiting["at"][0]) // 1000, passed + 1))
         yield pd.DataFrame({
-            "name": pd.Series([key[0]] * len(logged), dtype=object), "value": pd.Series([x[2] for x in logged], dtype="float64"),
-            "global_step": pd.Series([x[1] for x in logged], dtype="int64"), "at": pd.to_datetime(pd.Series([x[0] for x in logged], dtype="int64"), unit="us"),
+            "name": pd.Series([key[0]] * len(rows), dtype=object), "value": pd.Series(rows["value"], dtype="float64"),
+            "global_step": pd.Series(rows["step"], dtype="int64"), "at": pd.to_datetime(pd.Series(rows["at"], dtype="int64"), unit="us"),
         })
 
     return run
