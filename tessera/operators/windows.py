@@ -246,6 +246,32 @@ def shifted_windows(col: str | Column, length: int) -> Column:
     return F.when(F.size(c) > length, wins)
 
 
+def shifted_window_rows(df: DataFrame, keys: Sequence[str], col: str, length: int) -> DataFrame:
+    """``shifted_windows`` as rows (keys, start from 1, input, target).  Only the starts are exploded: a
+    window is cut when its row is made, so no array of all windows of a row is built."""
+    long = df.where(F.size(col) > length)
+    starts = long.select(*keys, col, F.explode(F.sequence(F.lit(1), F.size(col) - length)).alias("_s"))
+    return starts.select(*keys, F.col("_s").cast("long").alias("start"), F.slice(col, F.col("_s"), length).alias("input"),
+                         F.slice(col, F.col("_s") + 1, length).alias("target"))
+
+
+#: Windows cut from one piece of a text: a place in a string is found by walking there from its begin.
+PIECE_WINDOWS = 32
+
+
+def char_sequence_rows(df: DataFrame, keys: Sequence[str], col: str, length: int, step: int) -> DataFrame:
+    """``char_sequences`` as rows (keys, start, chars, next_char).  A text is first cut into pieces of some
+    windows, so that a window is a short walk from the begin of its piece, not of the text."""
+    n, span = F.length(col), step * PIECE_WINDOWS
+    pieces = df.where(n > length).select(*keys, F.explode(F.transform(
+        F.sequence(F.lit(0), n - length - 1, F.lit(span)),
+        lambda s: F.struct(s.alias("at"), F.substring(F.col(col), s + 1, F.lit(span - step + length + 1)).alias("piece")),
+    )).alias("_p")).select(*keys, "_p.at", "_p.piece")
+    starts = pieces.select(*keys, "at", "piece", F.explode(F.sequence(F.lit(0), F.length("piece") - length - 1, F.lit(step))).alias("_s"))
+    return starts.select(*keys, (F.col("at") + F.col("_s")).cast("long").alias("start"), F.substring("piece", F.col("_s") + 1, F.lit(length)).alias("chars"),
+                         F.substring("piece", F.col("_s") + 1 + length, F.lit(1)).alias("next_char"))
+
+
 def char_sequences(col: str | Column, length: int, step: int) -> Column:
     """Windows of ``length`` characters every ``step`` characters with the next character as label."""
     c = F.col(col) if isinstance(col, str) else col

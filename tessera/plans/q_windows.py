@@ -190,8 +190,7 @@ def q_shard_blocks(spark, sf_dir):
 def q_next_token_pairs(spark, sf_dir):
     """The training windows of all positions of all documents."""
     d = table(spark, sf_dir, "documents").select("doc_id", F.split("text", " ").alias("w")).filter(F.size("w") > 8)
-    every = d.select("doc_id", F.posexplode(W.shifted_windows("w", 8)).alias("p", "s"))
-    return every.select("doc_id", (F.col("p") + 1).cast("long").alias("start"), "s.input", "s.target")
+    return W.shifted_window_rows(d, ["doc_id"], "w", 8)
 
 
 @register(
@@ -201,9 +200,7 @@ def q_next_token_pairs(spark, sf_dir):
 )
 def q_char_sequences(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "text").filter(F.length("text") > 40)
-    return d.select("doc_id", F.explode(W.char_sequences("text", 40, 20)).alias("s")).select(
-        "doc_id", F.col("s.start").cast("bigint").alias("start"), "s.chars", "s.next_char"
-    )
+    return W.char_sequence_rows(d, ["doc_id"], "text", 40, 20)
 
 
 @register(
