@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tessera.plans import ml as K
 from tessera.plans.catalog import register
 from tessera.plans.derived import LANGUAGES, LETTERS, letter_shares
-from tessera.session import scratch_path, table
+from tessera.session import cut_lineage, scratch_path, table
 
 
 def _emb(spark, sf_dir):
@@ -183,7 +183,8 @@ def q_mlp(spark, sf_dir):
 def _chosen(spark, sf_dir, select, name):
     """Tell the language of a document by its letters: select on three quarters, keep the best pipeline,
     score the last quarter with what was saved."""
-    shares = letter_shares(spark, sf_dir).select("doc_id", array_to_vector("shares").alias("features"), "label")
+    # the narrow table is written once: every fold, round and tree reads it, not the texts
+    shares = cut_lineage(letter_shares(spark, sf_dir)).select("doc_id", array_to_vector("shares").alias("features"), "label")
     d, train = _split(shares, "doc_id")
     best = K.kept_best(select(train), scratch_path(spark, name))
     return best.transform(d.where("held_out")).select("doc_id", "label", "prediction", vector_to_array("probability").alias("probability"))
