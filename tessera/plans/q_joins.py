@@ -9,7 +9,7 @@ from tessera.operators.text import bucket_bounds, vocab_sorted
 from tessera.operators.windows import running_sums
 from tessera.plans.catalog import register
 from tessera.plans.derived import SQL_MODEL_PREDICTIONS, model_predictions, model_votes
-from tessera.session import table
+from tessera.session import cut_lineage, table
 
 
 @register(
@@ -81,7 +81,7 @@ def _words(df):
        FROM documents LEFT JOIN (SELECT w.doc_id, id, p FROM w JOIN v USING (word)) e USING (doc_id) GROUP BY documents.doc_id""",
 )
 def q_vocab_encode(spark, sf_dir):
-    d = _words(table(spark, sf_dir, "documents"))
+    d = cut_lineage(_words(table(spark, sf_dir, "documents")))
     vocab = vocab_sorted(d.select(F.explode("words").alias("word")), "word")
     return C.encode_words(d, "doc_id", "words", vocab)
 
