@@ -38,14 +38,22 @@ def read_csv_defaults(spark: SparkSession, path: str, schema: str, defaults: Map
     return df.drop(*unused)
 
 
+def _fewer_tasks(files: DataFrame) -> DataFrame:
+    """Scans count a small file as 4 MB, so folders of small files become tasks of some 30 files: several
+    of these are put in one task, but four tasks are left to each core."""
+    parts = files.rdd.getNumPartitions()
+    return files.coalesce(max(parts // 16, 4 * files.sparkSession.sparkContext.defaultParallelism, 1))
+
+
 def read_docs(spark: SparkSession, path: str, mode: str = "file") -> DataFrame:
     """A folder of text files, at any depth: one row per file (path, text) or one row per stripped line."""
     deep = {"recursiveFileLookup": True}
     if mode == "file":
-        return spark.read.text(path, wholetext=True, **deep).select(
+        return _fewer_tasks(spark.read.text(path, wholetext=True, **deep).select(
             F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")
-        )
+        ))
     lines = spark.read.text(path, **deep).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
+    lines = _fewer_tasks(lines)
     return lines.select("path", F.regexp_replace("line", r"^\s+|\s+$", "").alias("line"))
 
 
@@ -64,7 +72,7 @@ def read_labelled_dirs(spark: SparkSession, root: str, ext: str) -> DataFrame:
 def read_files_base64(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """Binary files read in parallel to (filename, base64 content)."""
     b = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
-    return b.select(F.col("path").alias("filename"), F.base64("content").alias("b64"))
+    return _fewer_tasks(b.select(F.col("path").alias("filename"), F.col("content"))).select("filename", F.base64("content").alias("b64"))
 
 
 def read_fixed_records(spark: SparkSession, path: str, rec_len: int, header_len: int, magic: int, trailer_len: int = 0,
