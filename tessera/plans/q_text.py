@@ -111,12 +111,12 @@ def q_char_rank(spark, sf_dir):
        FROM c GROUP BY doc_id, "order\"""",
 )
 def q_ngram_counts(spark, sf_dir):
-    """Per document and order, the n-gram count table summarised inside each row (the document is
-    the grouping key, so the counting needs no shuffle); ``ngram_counts`` gives the full table."""
+    """The n-gram count table of the documents, summarised by document and order; rows that share a
+    ``doc_id`` are one document, whose n-grams are counted together."""
     d = table(spark, sf_dir, "documents").select("doc_id", lower_words().alias("t"))
-    s = d.select("doc_id", F.inline(X.ngram_stats("t", 4)))
-    return s.filter(F.col("n_total") > 0).select(
-        "doc_id", F.col("order").cast("int").alias("order"), "n_distinct", "n_total", "max_count"
+    c = X.ngram_counts(d, "doc_id", "t", 4)
+    return c.groupBy("doc_id", F.col("order").cast("int").alias("order")).agg(
+        F.count(F.lit(1)).alias("n_distinct"), F.sum("n").alias("n_total"), F.max("n").alias("max_count")
     )
 
 

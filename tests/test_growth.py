@@ -2,14 +2,17 @@
 rows, compact state, one pass over texts."""
 
 import glob
+import re
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from tessera.operators import text as X
 from tessera.operators import windows as W
 from tessera.sources import io as A
@@ -53,6 +56,40 @@ def test_ngrams_are_counted_inside_rows_and_over_shared_keys(spark):
     assert [(r.ngram, r.n) for r in counted] == [("a", 2), ("b", 2)]
 
 
+def test_ngram_counts_of_documents_are_grouped_by_key(spark, tmp_path):
+    """The summary is one of the count table: rows that share an id, null too, are counted together."""
+    rows = [(1, "A b a, b"), (1, "a b"), (2, "x"), (3, None), (4, "--"), (None, "z z"), (None, "z y"), (5, "É 1 é 1")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    counts = Counter()
+    for k, text in rows:
+        words = re.findall(r"\w+", (text or "").lower())
+        counts.update((k, o, " ".join(words[i : i + o])) for o in range(1, 5) for i in range(len(words) - o + 1))
+    expected = {}
+    for (k, o, _), n in counts.items():
+        expected.setdefault((k, o), []).append(n)
+    out = entry.queries()["agg_ngram_counts"](spark, str(tmp_path))
+    got = [tuple(r) for r in out.select("doc_id", "order", "n_distinct", "n_total", "max_count").collect()]
+    assert sorted(got, key=str) == sorted(((k, o, len(n), sum(n), max(n)) for (k, o), n in expected.items()), key=str)
+    plain = entry.oracle_sql()["agg_ngram_counts"].replace("FROM documents", f"FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert sorted(got, key=str) == sorted(duckdb.sql(f"SELECT doc_id, \"order\", n_distinct, n_total, max_count FROM ({plain})").fetchall(), key=str)
+
+
+def test_ngram_table_in_parts(monkeypatch):
+    """Counted as strings: tokens that are null or hold a blank, too; small parts add up to the whole."""
+    plain = [["a", "b", "a", "b", "a"], [], None, ["", ""], ["é"] * 9, ["a", "b"]]
+    for extra in ([], [["a", None, "a", None, None], ["a b", "c", "a", "b c"]]):
+        segments = pa.array(plain + extra, pa.list_(pa.string()))
+        expected = Counter()
+        for k, w in enumerate(segments.to_pylist()):
+            expected.update((o, k, " ".join(x for x in w[i : i + o] if x is not None)) for o in (1, 2, 3) for i in range(len(w or []) - o + 1))
+        for bytes_ in (1 << 24, 3):
+            monkeypatch.setattr(X, "BATCH_BYTES", bytes_)
+            parts = list(X._ngram_table(segments, 3))
+            rows = [((o, k, g), n) for o, of, grams, times in parts for k, g, n in zip(of.tolist(), grams.to_pylist(), times.tolist())]
+            assert len(rows) == len(expected) and dict(rows) == expected
+            assert extra or bytes_ > 3 or len(parts) > 3
+
+
 def test_ngram_stats_in_blocks(spark, monkeypatch):
     segments = pa.array([["a", "b", "a"], [], None, ["c"], ["a", None, "a", None], ["d"] * 9], pa.list_(pa.string()))
     whole = X._ngram_stats(segments, 2)
